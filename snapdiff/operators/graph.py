@@ -75,7 +75,7 @@ def degrees(adj: DataFrame) -> DataFrame:
 def _edge_fingerprint(e: DataFrame) -> tuple[int, int]:
     row = e.agg(
         F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(F.xxhash64("u", "v")), F.lit(0)).alias("h"),
+        F.coalesce(F.bit_xor(F.xxhash64("u", "v")), F.lit(0)).alias("h"),
     ).first()
     return int(row["n"]), int(row["h"])
 
