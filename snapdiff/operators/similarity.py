@@ -37,6 +37,10 @@ from snapdiff.session import cut_lineage
 DEFAULT_DECAY = 0.63
 DEFAULT_DEPTH = 2
 
+# Recursive scores are accumulated as integers in units of 2^-48 (exact,
+# order-independent sums; the grain is far below any reported digit).
+FIXED_ONE = float(2**48)
+
 
 @dataclass
 class SideGraph:
@@ -105,18 +109,23 @@ def _level(
     vc_o = _value_counts(SideGraph(go.vals, adj_o, go.ctx), "a", "_o")
     vc_p = _value_counts(SideGraph(gp.vals, adj_p, gp.ctx), "b", "_p")
     contrib = vc_o.join(vc_p, "stored_value").select(
-        *ko, "a", *kp, "b", (F.col("n_o") * F.col("n_p")).cast("double").alias("c")
+        *ko, "a", *kp, "b", (F.col("n_o") * F.col("n_p")).alias("e"), F.lit(0).cast("long").alias("q")
     )
     if prev is not None:
+        # sum_{x in N(a), y in N(b)} R(x, y) as (A_o R) A_p^T: aggregate per (a, y)
+        # before the second join. Scores enter as fixed-point integers, so the
+        # sums are exact and independent of partitioning and merge order.
         ao = _rename_ctx(adj_o, go.ctx, "_o").select(*ko, F.col("src").alias("a"), F.col("dst").alias("x"))
         ap = _rename_ctx(adj_p, gp.ctx, "_p").select(*kp, F.col("src").alias("b"), F.col("dst").alias("y"))
-        via = (
-            ao.join(prev.withColumnRenamed("a", "x").withColumnRenamed("b", "y"), [*ko, "x"])
-            .join(ap, [*kp, "y"])
-            .select(*ko, "a", *kp, "b", F.col("score").alias("c"))
+        rq = prev.select(
+            *ko, F.col("a").alias("x"), *kp, F.col("b").alias("y"), F.floor(F.col("score") * FIXED_ONE).alias("q")
         )
+        half = ao.join(rq, [*ko, "x"]).groupBy(*ko, "a", *kp, "y").agg(F.sum("q").alias("q"))
+        via = half.join(ap, [*kp, "y"]).select(*ko, "a", *kp, "b", F.lit(0).cast("long").alias("e"), "q")
         contrib = contrib.unionByName(via)
-    summed = contrib.groupBy(*ko, "a", *kp, "b").agg(F.sum("c").alias("s"))
+    summed = contrib.groupBy(*ko, "a", *kp, "b").agg(
+        (F.sum("e").cast("double") + F.sum("q").cast("double") / F.lit(FIXED_ONE)).alias("s")
+    )
     deg_o = _rename_ctx(go.degrees(), go.ctx, "_o").select(*ko, F.col("src").alias("a"), F.col("deg").alias("deg_a"))
     deg_p = _rename_ctx(gp.degrees(), gp.ctx, "_p").select(*kp, F.col("src").alias("b"), F.col("deg").alias("deg_b"))
     val_o = _rename_ctx(go.vals, go.ctx, "_o").select(*ko, F.col("node_id").alias("a"), F.col("stored_value").alias("va"))

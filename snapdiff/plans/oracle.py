@@ -287,11 +287,11 @@ def _all_ctes() -> dict[str, tuple[str, list[str]]]:
     )
     c["lvl2"] = (_level2("vc_o", "vc_p", "deg_o", "deg_p", "act_o", "act_p", False), ["vc_o", "vc_p", "deg_o", "deg_p", "act_o", "act_p"])
     c["raw3"] = (
-        "SELECT a, b, sum(c) AS s FROM ("
-        "SELECT o.node_id AS a, p.node_id AS b, CAST(o.n * p.n AS DOUBLE) AS c FROM vc_o o "
+        "SELECT a, b, CAST(sum(e) AS DOUBLE) + CAST(CAST(sum(q) AS BIGINT) AS DOUBLE) / CAST(281474976710656 AS DOUBLE) AS s "
+        "FROM (SELECT o.node_id AS a, p.node_id AS b, o.n * p.n AS e, CAST(0 AS BIGINT) AS q FROM vc_o o "
         "JOIN vc_p p ON o.stored_value = p.stored_value "
-        "UNION ALL SELECT uo.src AS a, up.src AS b, r.score AS c FROM und_o uo "
-        "JOIN lvl2 r ON r.a = uo.dst JOIN und_p up ON up.dst = r.b) t GROUP BY a, b",
+        "UNION ALL SELECT uo.src AS a, up.src AS b, 0 AS e, CAST(floor(r.score * 281474976710656) AS BIGINT) AS q "
+        "FROM und_o uo JOIN lvl2 r ON r.a = uo.dst JOIN und_p up ON up.dst = r.b) t GROUP BY a, b",
         ["vc_o", "vc_p", "und_o", "und_p", "lvl2"],
     )
     c["lvl3"] = (
