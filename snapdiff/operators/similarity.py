@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapdiff.functions.exprs import ORIGINAL, PERTURBED, score_round
-from snapdiff.operators.graph import active_nodes, degrees, undirected
+from snapdiff.operators.graph import active_nodes, undirected
+from snapdiff.operators.skew import salted_join
 from snapdiff.session import cut_lineage
 
 # Fixed defaults of the similarity step.
@@ -45,20 +46,24 @@ FIXED_ONE = float(2**48)
 @dataclass
 class SideGraph:
     """One snapshot as relations. ``vals`` lists the candidate nodes (the
-    adjacency keys) with their values; ``adj`` the (directed) neighbour rows;
-    ``ctx`` the context columns carried by both (e.g. the shard id)."""
+    adjacency keys) with their values; ``adj`` the (directed) neighbour rows,
+    each carrying its source's neighbour count ``sdeg``; ``ctx`` the context
+    columns carried by both (e.g. the shard id)."""
 
     vals: DataFrame  # (*ctx, node_id, stored_value)
-    adj: DataFrame  # (*ctx, src, dst)
+    adj: DataFrame  # (*ctx, src, dst, sdeg)
     ctx: list[str] = field(default_factory=list)
 
-    def degrees(self) -> DataFrame:
-        return self.adj.groupBy(*self.ctx, "src").agg(F.count(F.lit(1)).alias("deg"))
+
+def with_degrees(adj: DataFrame, ctx: list[str]) -> DataFrame:
+    """Attach each row's source degree (A2) — one aggregate and one join, once per graph."""
+    deg = adj.groupBy(*ctx, "src").agg(F.count(F.lit(1)).alias("sdeg"))
+    return adj.select(*ctx, "src", "dst").join(deg, [*ctx, "src"])
 
 
 def whole_graph(nodes: DataFrame, edges: DataFrame) -> SideGraph:
     """Snapshot as one graph: undirected distinct adjacency, isolated nodes dropped."""
-    adj = cut_lineage(undirected(edges))
+    adj = cut_lineage(with_degrees(undirected(edges), []))
     vals = cut_lineage(active_nodes(nodes, adj).select("node_id", "stored_value"))
     return SideGraph(vals=vals, adj=adj)
 
@@ -73,13 +78,14 @@ def _pair_keys(go: SideGraph, gp: SideGraph) -> tuple[list[str], list[str]]:
     return [f"{c}_o" for c in go.ctx], [f"{c}_p" for c in gp.ctx]
 
 
-def _value_counts(g: SideGraph, node: str, suffix: str) -> DataFrame:
-    """(*ctx, node, stored_value, n): how many neighbours of ``node`` hold each value."""
+def _value_counts(g: SideGraph, adj: DataFrame, node: str, suffix: str) -> DataFrame:
+    """(*ctx, node, stored_value, n, deg): how many neighbours of ``node``
+    hold each value, plus the node's degree."""
     vals = g.vals.select(*g.ctx, F.col("node_id").alias("dst"), "stored_value")
     counts = (
-        g.adj.join(vals, [*g.ctx, "dst"])
+        adj.join(vals, [*g.ctx, "dst"])
         .groupBy(*g.ctx, F.col("src").alias(node), "stored_value")
-        .agg(F.count(F.lit(1)).alias(f"n{suffix}"))
+        .agg(F.count(F.lit(1)).alias(f"n{suffix}"), F.max("sdeg").alias(f"deg_{node}"))
     )
     return _rename_ctx(counts, g.ctx, suffix)
 
@@ -91,13 +97,16 @@ def _level(
     decay: float,
     restrict_o: DataFrame | None = None,
     restrict_p: DataFrame | None = None,
+    drop_equal: bool = True,
 ) -> DataFrame:
     """Non-equal pairs with positive score at one level (>= 2).
 
     ``prev`` holds the non-equal positive pairs of the level below as
     ``(*ctx_o, a, *ctx_p, b, score)`` (None at level 2, where only value-equal
     pairs score). ``restrict_o`` / ``restrict_p`` limit a / b to a node set
-    ``(*ctx, node_id)`` — the top-level pruning."""
+    ``(*ctx, node_id)`` — the top-level pruning. ``drop_equal=False`` skips
+    removing value-equal pairs, valid when the restricted nodes have no
+    value-equal partner at all."""
     ko, kp = _pair_keys(go, gp)
     adj_o, adj_p = go.adj, gp.adj
     if restrict_o is not None:
@@ -105,39 +114,52 @@ def _level(
     if restrict_p is not None:
         adj_p = adj_p.join(restrict_p.withColumnRenamed("node_id", "src"), [*gp.ctx, "src"], "left_semi")
 
-    # value-equal neighbour pairs, pre-aggregated per (node, value) on each side
-    vc_o = _value_counts(SideGraph(go.vals, adj_o, go.ctx), "a", "_o")
-    vc_p = _value_counts(SideGraph(gp.vals, adj_p, gp.ctx), "b", "_p")
-    contrib = vc_o.join(vc_p, "stored_value").select(
-        *ko, "a", *kp, "b", (F.col("n_o") * F.col("n_p")).alias("e"), F.lit(0).cast("long").alias("q")
+    # value-equal neighbour pairs, pre-aggregated per (node, value) on each side;
+    # a value shared by many nodes is spread over a salt grid (skew.salted_join)
+    vc_o = _value_counts(go, adj_o, "a", "_o")
+    vc_p = _value_counts(gp, adj_p, "b", "_p")
+    contrib = salted_join(vc_o, vc_p, ["stored_value"], [*ko, "a"], [*kp, "b"]).select(
+        *ko, "a", *kp, "b",
+        (F.col("n_o") * F.col("n_p")).alias("e"),
+        F.lit(0).cast("long").alias("q"),
+        "deg_a", "deg_b",
     )
     if prev is not None:
         # sum_{x in N(a), y in N(b)} R(x, y) as (A_o R) A_p^T: aggregate per (a, y)
         # before the second join. Scores enter as fixed-point integers, so the
         # sums are exact and independent of partitioning and merge order.
-        ao = _rename_ctx(adj_o, go.ctx, "_o").select(*ko, F.col("src").alias("a"), F.col("dst").alias("x"))
-        ap = _rename_ctx(adj_p, gp.ctx, "_p").select(*kp, F.col("src").alias("b"), F.col("dst").alias("y"))
+        ao = _rename_ctx(adj_o, go.ctx, "_o").select(
+            *ko, F.col("src").alias("a"), F.col("dst").alias("x"), F.col("sdeg").alias("deg_a")
+        )
+        ap = _rename_ctx(adj_p, gp.ctx, "_p").select(
+            *kp, F.col("src").alias("b"), F.col("dst").alias("y"), F.col("sdeg").alias("deg_b")
+        )
         rq = prev.select(
             *ko, F.col("a").alias("x"), *kp, F.col("b").alias("y"), F.floor(F.col("score") * FIXED_ONE).alias("q")
         )
-        half = ao.join(rq, [*ko, "x"]).groupBy(*ko, "a", *kp, "y").agg(F.sum("q").alias("q"))
-        via = half.join(ap, [*kp, "y"]).select(*ko, "a", *kp, "b", F.lit(0).cast("long").alias("e"), "q")
+        half = (
+            salted_join(ao, rq, [*ko, "x"], ["a"], [*kp, "y"])
+            .groupBy(*ko, "a", *kp, "y")
+            .agg(F.sum("q").alias("q"), F.max("deg_a").alias("deg_a"))
+        )
+        via = salted_join(half, ap, [*kp, "y"], [*ko, "a"], ["b"]).select(
+            *ko, "a", *kp, "b", F.lit(0).cast("long").alias("e"), "q", "deg_a", "deg_b"
+        )
         contrib = contrib.unionByName(via)
     summed = contrib.groupBy(*ko, "a", *kp, "b").agg(
-        (F.sum("e").cast("double") + F.sum("q").cast("double") / F.lit(FIXED_ONE)).alias("s")
+        (F.sum("e").cast("double") + F.sum("q").cast("double") / F.lit(FIXED_ONE)).alias("s"),
+        F.max("deg_a").alias("deg_a"),
+        F.max("deg_b").alias("deg_b"),
     )
-    deg_o = _rename_ctx(go.degrees(), go.ctx, "_o").select(*ko, F.col("src").alias("a"), F.col("deg").alias("deg_a"))
-    deg_p = _rename_ctx(gp.degrees(), gp.ctx, "_p").select(*kp, F.col("src").alias("b"), F.col("deg").alias("deg_b"))
-    val_o = _rename_ctx(go.vals, go.ctx, "_o").select(*ko, F.col("node_id").alias("a"), F.col("stored_value").alias("va"))
-    val_p = _rename_ctx(gp.vals, gp.ctx, "_p").select(*kp, F.col("node_id").alias("b"), F.col("stored_value").alias("vb"))
-    scored = (
-        summed.join(deg_o, [*ko, "a"])
-        .join(deg_p, [*kp, "b"])
-        .join(val_o, [*ko, "a"])
-        .join(val_p, [*kp, "b"])
-        .where(~F.coalesce(F.col("va") == F.col("vb"), F.lit(False)))
-    )
-    return scored.select(
+    if drop_equal:
+        val_o = _rename_ctx(go.vals, go.ctx, "_o").select(*ko, F.col("node_id").alias("a"), F.col("stored_value").alias("va"))
+        val_p = _rename_ctx(gp.vals, gp.ctx, "_p").select(*kp, F.col("node_id").alias("b"), F.col("stored_value").alias("vb"))
+        summed = (
+            summed.join(val_o, [*ko, "a"])
+            .join(val_p, [*kp, "b"])
+            .where(~F.coalesce(F.col("va") == F.col("vb"), F.lit(False)))
+        )
+    return summed.select(
         *ko, "a", *kp, "b",
         (F.lit(float(decay)) * F.col("s") / (F.col("deg_a") * F.col("deg_b"))).alias("score"),
     )
@@ -264,8 +286,9 @@ def match_from_graphs(
     ko, kp = _pair_keys(go, gp)
     if depth >= 2:
         prev = _inner_levels(go, gp, decay, depth)
-        top_o = _level(go, gp, prev, decay, restrict_o=un_o)
-        top_p = _level(go, gp, prev, decay, restrict_p=un_p)
+        # unmatched nodes have no value-equal partner: no equal pair to drop
+        top_o = _level(go, gp, prev, decay, restrict_o=un_o, drop_equal=False)
+        top_p = _level(go, gp, prev, decay, restrict_p=un_p, drop_equal=False)
         best_o = _best_per_node(top_o.where(F.col("score") > 0), "a", "b")
         best_p = _best_per_node(top_p.where(F.col("score") > 0), "b", "a")
     else:
@@ -308,7 +331,7 @@ def shard_graph(shard_nodes: DataFrame, shard_adj: DataFrame) -> tuple[SideGraph
     """Shards as a context-keyed graph plus its subject rows ``(part, node_id)``."""
     g = SideGraph(
         vals=cut_lineage(shard_nodes.select("part", "node_id", "stored_value")),
-        adj=cut_lineage(shard_adj.select("part", "src", "dst")),
+        adj=cut_lineage(with_degrees(shard_adj, ["part"])),
         ctx=["part"],
     )
     subjects = shard_nodes.where(F.col("is_subject")).select("part", "node_id")
