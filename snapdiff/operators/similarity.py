@@ -175,11 +175,13 @@ def _inner_levels(go: SideGraph, gp: SideGraph, decay: float, depth: int) -> Dat
 
 def value_equal_pairs(go: SideGraph, gp: SideGraph) -> DataFrame:
     """Every (a, b) with equal values. Quadratic within a value group by
-    definition; only the all-pairs report uses it."""
+    definition (only the all-pairs report needs it); hot values are salted."""
     ko, kp = _pair_keys(go, gp)
     vo = _rename_ctx(go.vals, go.ctx, "_o").select(*ko, F.col("node_id").alias("a"), "stored_value")
     vp = _rename_ctx(gp.vals, gp.ctx, "_p").select(*kp, F.col("node_id").alias("b"), "stored_value")
-    return vo.join(vp, "stored_value").select(*ko, "a", *kp, "b", F.lit(1.0).alias("score"))
+    return salted_join(vo, vp, ["stored_value"], [*ko, "a"], [*kp, "b"]).select(
+        *ko, "a", *kp, "b", F.lit(1.0).alias("score")
+    )
 
 
 def simrank_pairs(go: SideGraph, gp: SideGraph, decay: float = DEFAULT_DECAY, depth: int = DEFAULT_DEPTH) -> DataFrame:
