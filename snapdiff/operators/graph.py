@@ -34,17 +34,18 @@ def out_adjacency(nodes: DataFrame, edges: DataFrame, as_lists: bool = False) ->
 
 
 def chunked_lists(rows: DataFrame, key: str | list[str], item: str) -> DataFrame:
-    """Collect ``item`` per key into sorted lists of at most LIST_CHUNK entries.
+    """Collect ``item`` per key into sorted lists of about LIST_CHUNK entries.
 
-    The chunk number comes from a per-key row number; each (key, chunk)
-    group is bounded, so no task ever holds a whole hub's list."""
+    A key with d items is cut into ceil(d / LIST_CHUNK) chunks by hashing the
+    item, so a hub's list is spread over many groups (and tasks) instead of
+    being numbered by one window in one task."""
     keys = [key] if isinstance(key, str) else list(key)
-    w = Window.partitionBy(*keys).orderBy(F.col(item).asc_nulls_first())
-    numbered = rows.withColumn("_rn", F.row_number().over(w) - 1)
-    return (
-        numbered.groupBy(*keys, (F.col("_rn") / LIST_CHUNK).cast("int").alias("chunk"))
-        .agg(F.sort_array(F.collect_list(item)).alias("neighbors"))
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_d"))
+    n_chunks = F.greatest(F.ceil(F.col("_d") / F.lit(LIST_CHUNK)), F.lit(1))
+    chunked = rows.join(sizes, keys).withColumn(
+        "chunk", F.pmod(F.xxhash64(item), n_chunks.cast("long")).cast("int")
     )
+    return chunked.groupBy(*keys, "chunk").agg(F.sort_array(F.collect_list(item)).alias("neighbors"))
 
 
 def undirected(edges: DataFrame) -> DataFrame:

@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The change detector compares two complete snapshots; it has no unbounded
+input, watermark, window or per-key state, so nothing here is needed. New
+snapshots are compared as new batch jobs.
+"""
