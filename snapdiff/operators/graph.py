@@ -111,8 +111,8 @@ def connected_components(adj: DataFrame, max_rounds: int = 64) -> DataFrame:
     Alternating large-star / small-star rounds (Kiveris et al., "Connected
     Components in MapReduce and Beyond", SoCC 2014): O(log^2 n) rounds, each a
     few shuffles, no per-component collection. Every round is checkpointed to
-    the shared folder so lineage stays flat and executor loss only replays
-    one round. Convergence (a forest of stars rooted at the least id) is one
+    the shared folder, so lineage stays flat and executor loss replays at
+    most one round. Convergence (a forest of stars rooted at the least id) is one
     semi-join per round.
     """
     e = adj.select(F.col("src").alias("u"), F.col("dst").alias("v"))

@@ -26,6 +26,7 @@ def local_session(cores: int | str = "*", partitions: int = 8, app: str = "snapd
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("SNAPDIFF_DRIVER_MEMORY", "16g"))
     )
     spark = builder.getOrCreate()
