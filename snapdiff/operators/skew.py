@@ -35,8 +35,9 @@ def _grid(nl: F.Column, nr: F.Column, budget: int) -> tuple[F.Column, F.Column]:
     return s_l, s_r
 
 
-def hot_keys(left: DataFrame, right: DataFrame, on: list[str], pairs_per_task: int = PAIRS_PER_TASK) -> DataFrame:
+def hot_keys(left: DataFrame, right: DataFrame, on: list[str], pairs_per_task: int | None = None) -> DataFrame:
     """``(*on, _sl, _sr)`` for every key whose pair count exceeds the budget."""
+    pairs_per_task = pairs_per_task or PAIRS_PER_TASK
     lc = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_nl"))
     rc = right.groupBy(*on).agg(F.count(F.lit(1)).alias("_nr"))
     both = lc.join(rc, on).where(F.col("_nl") * F.col("_nr") > F.lit(pairs_per_task))
@@ -50,7 +51,7 @@ def salted_join(
     on: list[str],
     left_id: list[str],
     right_id: list[str],
-    pairs_per_task: int = PAIRS_PER_TASK,
+    pairs_per_task: int | None = None,
 ) -> DataFrame:
     """Inner join of ``left`` and ``right`` on ``on``; ``left_id`` / ``right_id``
     are columns that spread a side's rows of one key over salts."""
