@@ -228,9 +228,9 @@ def build_shards(nodes: DataFrame, edges: DataFrame, k: int = 3, hops: int = 2)
     ``shard_nodes(part, node_id, stored_value, is_subject)`` — subjects of the
     part plus its ``hops``-hop halo; ``shard_adj(part, src, dst)`` — the
     induced adjacency. Values are looked up by an equi-join (J2/P8)."""
-    adj = undirected(edges)
+    adj = cut_lineage(undirected(edges))  # read by components, k-hop and induced
     subjects = partition_nodes(adj, k)
-    members = khop(adj, subjects, hops)
+    members = cut_lineage(khop(adj, subjects, hops))  # read three times below
     shard_adj = induced(adj, members)
     flagged = members.join(
         subjects.select("part", "node_id", F.lit(True).alias("is_subject")), ["part", "node_id"], "left"

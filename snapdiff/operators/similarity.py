@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from snapdiff.functions.exprs import ORIGINAL, PERTURBED, score_round
 from snapdiff.operators.graph import active_nodes, undirected
 from snapdiff.operators.skew import salted_join
-from snapdiff.session import cut_lineage
+from snapdiff.session import cut_lineage, in_parallel
 
 # Fixed defaults of the similarity step.
 DEFAULT_DECAY = 0.63
@@ -205,7 +205,8 @@ def simrank(
 ) -> DataFrame:
     """Whole-graph SimRank between two snapshots: ``(a, b, score)`` for every
     pair with a positive score (value-equal pairs score 1)."""
-    return simrank_pairs(whole_graph(nodes_o, edges_o), whole_graph(nodes_p, edges_p), decay, depth)
+    go, gp = in_parallel(lambda: whole_graph(nodes_o, edges_o), lambda: whole_graph(nodes_p, edges_p))
+    return simrank_pairs(go, gp, decay, depth)
 
 
 # ---------------------------------------------------------------- value matches
@@ -289,8 +290,10 @@ def match_from_graphs(
     if depth >= 2:
         prev = _inner_levels(go, gp, decay, depth)
         # unmatched nodes have no value-equal partner: no equal pair to drop
-        top_o = _level(go, gp, prev, decay, restrict_o=un_o, drop_equal=False)
-        top_p = _level(go, gp, prev, decay, restrict_p=un_p, drop_equal=False)
+        top_o, top_p = in_parallel(
+            lambda: _level(go, gp, prev, decay, restrict_o=un_o, drop_equal=False),
+            lambda: _level(go, gp, prev, decay, restrict_p=un_p, drop_equal=False),
+        )
         best_o = _best_per_node(top_o.where(F.col("score") > 0), "a", "b")
         best_p = _best_per_node(top_p.where(F.col("score") > 0), "b", "a")
     else:
@@ -326,7 +329,8 @@ def best_match(
     depth: int = DEFAULT_DEPTH,
 ) -> DataFrame:
     """Whole-graph best match for every non-isolated node of both snapshots."""
-    return match_from_graphs(whole_graph(nodes_o, edges_o), whole_graph(nodes_p, edges_p), decay, depth)
+    go, gp = in_parallel(lambda: whole_graph(nodes_o, edges_o), lambda: whole_graph(nodes_p, edges_p))
+    return match_from_graphs(go, gp, decay, depth)
 
 
 def shard_graph(shard_nodes: DataFrame, shard_adj: DataFrame) -> tuple[SideGraph, DataFrame]:
@@ -352,6 +356,7 @@ def sharded_match(
     of shard i is scored against every node of shard j using the shards'
     induced adjacencies; the best over all j wins (A5). The shard ids are
     join keys, so all k*k pairs run as one set of joins."""
-    go, subj_o = shard_graph(shard_nodes_o, shard_adj_o)
-    gp, subj_p = shard_graph(shard_nodes_p, shard_adj_p)
+    (go, subj_o), (gp, subj_p) = in_parallel(
+        lambda: shard_graph(shard_nodes_o, shard_adj_o), lambda: shard_graph(shard_nodes_p, shard_adj_p)
+    )
     return match_from_graphs(go, gp, decay, depth, subj_o, subj_p)

@@ -32,7 +32,7 @@ from snapdiff.plans.change_detection import (
     sharded_matches,
 )
 from snapdiff.plans.fixtures import Snapshots, load_table, snapshots
-from snapdiff.session import cut_lineage, scratch_path
+from snapdiff.session import cut_lineage, in_parallel, scratch_path
 from snapdiff.sources.changes import read_changes, write_change_docs
 from snapdiff.sources.graph_io import node_count_values, node_counts, split_components, stack_components
 from snapdiff.sources.matches import decode_matches, encode_matches
@@ -43,13 +43,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def _both(snap: Snapshots, fn: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
     """Apply a per-snapshot operator to both snapshots, tagged by side."""
-    o = fn(snap.nodes_o, snap.edges_o).select(F.lit(ORIGINAL).alias("side"), "*")
-    p = fn(snap.nodes_p, snap.edges_p).select(F.lit(PERTURBED).alias("side"), "*")
-    return o.unionByName(p)
+    o, p = in_parallel(lambda: fn(snap.nodes_o, snap.edges_o), lambda: fn(snap.nodes_p, snap.edges_p))
+    return o.select(F.lit(ORIGINAL).alias("side"), "*").unionByName(p.select(F.lit(PERTURBED).alias("side"), "*"))
 
 
 def _graphs(snap: Snapshots) -> tuple[S.SideGraph, S.SideGraph]:
-    return S.whole_graph(snap.nodes_o, snap.edges_o), S.whole_graph(snap.nodes_p, snap.edges_p)
+    return tuple(
+        in_parallel(lambda: S.whole_graph(snap.nodes_o, snap.edges_o), lambda: S.whole_graph(snap.nodes_p, snap.edges_p))
+    )
 
 
 def _rounded_pairs(df: DataFrame) -> DataFrame:
@@ -198,15 +199,19 @@ def q_build_shards(spark, sf_dir):
 
 def q_shard_pairs(spark, sf_dir):
     snap = snapshots(spark, sf_dir)
-    so, _ = G.build_shards(snap.nodes_o, snap.edges_o, DEFAULT_PARTS, DEFAULT_HOPS)
-    sp, _ = G.build_shards(snap.nodes_p, snap.edges_p, DEFAULT_PARTS, DEFAULT_HOPS)
-    return G.shard_pairs(cut_lineage(so), cut_lineage(sp))
+    so, sp = in_parallel(
+        lambda: cut_lineage(G.build_shards(snap.nodes_o, snap.edges_o, DEFAULT_PARTS, DEFAULT_HOPS)[0]),
+        lambda: cut_lineage(G.build_shards(snap.nodes_p, snap.edges_p, DEFAULT_PARTS, DEFAULT_HOPS)[0]),
+    )
+    return G.shard_pairs(so, sp)
 
 
 def q_shard_roundtrip(spark, sf_dir):
     snap = snapshots(spark, sf_dir)
-    shards_o = tuple(cut_lineage(x) for x in G.build_shards(snap.nodes_o, snap.edges_o, DEFAULT_PARTS, DEFAULT_HOPS))
-    shards_p = tuple(cut_lineage(x) for x in G.build_shards(snap.nodes_p, snap.edges_p, DEFAULT_PARTS, DEFAULT_HOPS))
+    shards_o, shards_p = in_parallel(
+        lambda: tuple(cut_lineage(x) for x in G.build_shards(snap.nodes_o, snap.edges_o, DEFAULT_PARTS, DEFAULT_HOPS)),
+        lambda: tuple(cut_lineage(x) for x in G.build_shards(snap.nodes_p, snap.edges_p, DEFAULT_PARTS, DEFAULT_HOPS)),
+    )
     path = scratch_path(spark, "shards")
     write_shards(shards_o, shards_p, path)
     nodes, adj = read_shards(spark, path)

@@ -15,7 +15,7 @@ from snapdiff.operators.classify import classify
 from snapdiff.operators.evaluate import confusion_scores, score_report, traceability_scores
 from snapdiff.operators.graph import build_shards
 from snapdiff.operators.similarity import DEFAULT_DECAY, DEFAULT_DEPTH, best_match, sharded_match
-from snapdiff.session import cut_lineage
+from snapdiff.session import cut_lineage, in_parallel
 from snapdiff.sources.graph_io import node_count_values
 
 # Fixed defaults of the sharded flow.
@@ -47,8 +47,10 @@ def sharded_matches(
     decay: float = DEFAULT_DECAY,
     depth: int = DEFAULT_DEPTH,
 ) -> DataFrame:
-    so, ao = build_shards(nodes_o, edges_o, parts, hops)
-    sp, ap = build_shards(nodes_p, edges_p, parts, hops)
+    (so, ao), (sp, ap) = in_parallel(
+        lambda: tuple(cut_lineage(x) for x in build_shards(nodes_o, edges_o, parts, hops)),
+        lambda: tuple(cut_lineage(x) for x in build_shards(nodes_p, edges_p, parts, hops)),
+    )
     return sharded_match(so, ao, sp, ap, decay, depth)
 
 

@@ -66,3 +66,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss; never localCheckpoint)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def in_parallel(*thunks):
+    """Run independent driver-side steps (each submitting its own Spark jobs)
+    concurrently, so small stages of one snapshot overlap with the other's.
+    Returns the results in order."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    if len(thunks) <= 1:
+        return [t() for t in thunks]
+    with ThreadPoolExecutor(max_workers=len(thunks)) as pool:
+        futures = [pool.submit(t) for t in thunks]
+        return [f.result() for f in futures]
