@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from snapdiff.functions.exprs import ORIGINAL, PERTURBED, score_round
 from snapdiff.operators.graph import active_nodes, undirected
-from snapdiff.operators.skew import salted_join
+from snapdiff.operators.skew import hot_keys, salted_join
 from snapdiff.session import cut_lineage, in_parallel
 
 # Fixed defaults of the similarity step.
@@ -98,6 +98,7 @@ def _level(
     restrict_o: DataFrame | None = None,
     restrict_p: DataFrame | None = None,
     drop_equal: bool = True,
+    best_for: str | None = None,
 ) -> DataFrame:
     """Non-equal pairs with positive score at one level (>= 2).
 
@@ -106,7 +107,12 @@ def _level(
     pairs score). ``restrict_o`` / ``restrict_p`` limit a / b to a node set
     ``(*ctx, node_id)`` — the top-level pruning. ``drop_equal=False`` skips
     removing value-equal pairs, valid when the restricted nodes have no
-    value-equal partner at all."""
+    value-equal partner at all.
+
+    ``best_for='o'|'p'`` asks only for enough pairs to find each restricted
+    node's best partner. The hottest shared value is then not expanded into
+    pairs (see :func:`_hot_value_candidates`), which keeps a value held by a
+    large share of all nodes linear instead of quadratic."""
     ko, kp = _pair_keys(go, gp)
     adj_o, adj_p = go.adj, gp.adj
     if restrict_o is not None:
@@ -118,7 +124,18 @@ def _level(
     # a value shared by many nodes is spread over a salt grid (skew.salted_join)
     vc_o = _value_counts(go, adj_o, "a", "_o")
     vc_p = _value_counts(gp, adj_p, "b", "_p")
-    contrib = salted_join(vc_o, vc_p, ["stored_value"], [*ko, "a"], [*kp, "b"]).select(
+    hot = hot_keys(vc_o, vc_p, ["stored_value"])
+    hottest = None
+    if best_for is not None:
+        top = hot.orderBy(F.col("_pairs").desc(), "stored_value").select("stored_value").limit(1).collect()
+        hottest = top[0]["stored_value"] if top else None
+    if hottest is not None:
+        cold = F.col("stored_value") != F.lit(hottest)
+        hot = cut_lineage(hot.where(cold))
+        value_pairs = salted_join(vc_o.where(cold), vc_p.where(cold), ["stored_value"], [*ko, "a"], [*kp, "b"], hot=hot)
+    else:
+        value_pairs = salted_join(vc_o, vc_p, ["stored_value"], [*ko, "a"], [*kp, "b"], hot=hot)
+    contrib = value_pairs.select(
         *ko, "a", *kp, "b",
         (F.col("n_o") * F.col("n_p")).alias("e"),
         F.lit(0).cast("long").alias("q"),
@@ -147,9 +164,14 @@ def _level(
         )
         contrib = contrib.unionByName(via)
     summed = contrib.groupBy(*ko, "a", *kp, "b").agg(
-        (F.sum("e").cast("double") + F.sum("q").cast("double") / F.lit(FIXED_ONE)).alias("s"),
-        F.max("deg_a").alias("deg_a"),
-        F.max("deg_b").alias("deg_b"),
+        F.sum("e").alias("e"), F.sum("q").alias("q"), F.max("deg_a").alias("deg_a"), F.max("deg_b").alias("deg_b")
+    )
+    if hottest is not None:
+        summed = _hot_value_candidates(summed, vc_o, vc_p, hottest, ko, kp, best_for)
+    summed = summed.select(
+        *ko, "a", *kp, "b",
+        (F.col("e").cast("double") + F.col("q").cast("double") / F.lit(FIXED_ONE)).alias("s"),
+        "deg_a", "deg_b",
     )
     if drop_equal:
         val_o = _rename_ctx(go.vals, go.ctx, "_o").select(*ko, F.col("node_id").alias("a"), F.col("stored_value").alias("va"))
@@ -165,6 +187,51 @@ def _level(
     )
 
 
+def _hot_value_candidates(
+    summed: DataFrame, vc_o: DataFrame, vc_p: DataFrame, hot: str, ko: list[str], kp: list[str], best_for: str
+) -> DataFrame:
+    """Exact best-partner candidates without expanding the hottest value h.
+
+    Pairs already enumerated (through any other value or the level below)
+    get h's term ``n_a(h) * n_b(h)`` added. A partner that meets a node only
+    through h scores ``C * n_a(h) * n_b(h) / (d_a * d_b)``; for a fixed node
+    its rank depends on the partner's ratio ``n(h) / d`` alone, so one global
+    top-1 partner (largest ratio, least id on ties) stands for all of them.
+    A partner that also overlaps elsewhere is enumerated with a larger exact
+    score, so the best per node is unchanged."""
+    is_hot = F.col("stored_value") == F.lit(hot)
+    ho = vc_o.where(is_hot).select(*ko, "a", F.col("n_o").alias("ha"), "deg_a")
+    hp = vc_p.where(is_hot).select(*kp, "b", F.col("n_p").alias("hb"), "deg_b")
+    exact = (
+        summed.join(ho.select(*ko, "a", "ha"), [*ko, "a"], "left")
+        .join(hp.select(*kp, "b", "hb"), [*kp, "b"], "left")
+        .select(
+            *ko, "a", *kp, "b",
+            (F.col("e") + F.coalesce("ha", F.lit(0)) * F.coalesce("hb", F.lit(0))).alias("e"),
+            "q", "deg_a", "deg_b",
+        )
+    )
+    if best_for == "o":
+        free, free_keys, node, n_free, d_free, fixed, n_fixed = hp, kp, "b", "hb", "deg_b", ho, "ha"
+    else:
+        free, free_keys, node, n_free, d_free, fixed, n_fixed = ho, ko, "a", "ha", "deg_a", hp, "hb"
+    # top-1 over the free side: a bounded single row, read as scalars
+    star = (
+        free.orderBy((F.col(n_free) / F.col(d_free)).desc(), F.col(node).asc())
+        .select(*free_keys, node, n_free, d_free)
+        .limit(1)
+        .collect()
+    )
+    if not star:
+        return exact
+    best = star[0]
+    lit_cols = [F.lit(best[c]).alias(c) for c in (*free_keys, node)] + [F.lit(best[d_free]).cast("long").alias(d_free)]
+    cand = fixed.select(
+        "*", *lit_cols, (F.col(n_fixed) * F.lit(int(best[n_free]))).alias("e"), F.lit(0).cast("long").alias("q")
+    ).select(*ko, "a", *kp, "b", "e", "q", "deg_a", "deg_b")
+    return exact.unionByName(cand)
+
+
 def _inner_levels(go: SideGraph, gp: SideGraph, decay: float, depth: int) -> DataFrame | None:
     """Non-equal positive pairs of level depth-1 (None when depth-1 < 2)."""
     prev = None
@@ -291,8 +358,8 @@ def match_from_graphs(
         prev = _inner_levels(go, gp, decay, depth)
         # unmatched nodes have no value-equal partner: no equal pair to drop
         top_o, top_p = in_parallel(
-            lambda: _level(go, gp, prev, decay, restrict_o=un_o, drop_equal=False),
-            lambda: _level(go, gp, prev, decay, restrict_p=un_p, drop_equal=False),
+            lambda: _level(go, gp, prev, decay, restrict_o=un_o, drop_equal=False, best_for="o"),
+            lambda: _level(go, gp, prev, decay, restrict_p=un_p, drop_equal=False, best_for="p"),
         )
         best_o = _best_per_node(top_o.where(F.col("score") > 0), "a", "b")
         best_p = _best_per_node(top_p.where(F.col("score") > 0), "b", "a")

@@ -42,7 +42,7 @@ def hot_keys(left: DataFrame, right: DataFrame, on: list[str], pairs_per_task: i
     rc = right.groupBy(*on).agg(F.count(F.lit(1)).alias("_nr"))
     both = lc.join(rc, on).where(F.col("_nl") * F.col("_nr") > F.lit(pairs_per_task))
     s_l, s_r = _grid(F.col("_nl"), F.col("_nr"), pairs_per_task)
-    return both.select(*on, s_l.alias("_sl"), s_r.alias("_sr"))
+    return both.select(*on, s_l.alias("_sl"), s_r.alias("_sr"), (F.col("_nl") * F.col("_nr")).alias("_pairs"))
 
 
 def salted_join(
@@ -52,12 +52,15 @@ def salted_join(
     left_id: list[str],
     right_id: list[str],
     pairs_per_task: int | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Inner join of ``left`` and ``right`` on ``on``; ``left_id`` / ``right_id``
-    are columns that spread a side's rows of one key over salts."""
+    are columns that spread a side's rows of one key over salts. ``hot`` may
+    pass a precomputed :func:`hot_keys` table."""
     spark = left.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hot = hot_keys(left, right, on, pairs_per_task)
+    if hot is None:
+        hot = hot_keys(left, right, on, pairs_per_task)
     n_hot = hot.count()
     if n_hot == 0:
         return left.repartition(n, *on).join(right.repartition(n, *on), on)

@@ -31,8 +31,8 @@ def brute(adj_o, val_o, adj_p, val_p, decay, depth):
     return {(a, b): sim(a, b, depth) for a in adj_o for b in adj_p}
 
 
-def random_graph(rnd, ids, n_edges, hot_share):
-    values = {i: ("hot" if rnd.random() < hot_share else f"v{rnd.randrange(6)}") for i in ids}
+def random_graph(rnd, ids, n_edges, hot_share, n_values=6):
+    values = {i: ("hot" if rnd.random() < hot_share else f"v{rnd.randrange(n_values)}") for i in ids}
     edges = set()
     for _ in range(n_edges):
         a, b = rnd.sample(ids, 2)
@@ -44,12 +44,12 @@ def random_graph(rnd, ids, n_edges, hot_share):
     return adj, {i: values[i] for i in adj}
 
 
-@pytest.mark.parametrize("seed,depth", [(1, 2), (2, 2), (3, 3)])
-def test_random_graphs_with_hot_value(spark, monkeypatch, seed, depth):
+@pytest.mark.parametrize("seed,depth,n_values", [(1, 2, 6), (2, 2, 60), (3, 3, 6), (4, 3, 60), (5, 2, 200)])
+def test_random_graphs_with_hot_value(spark, monkeypatch, seed, depth, n_values):
     monkeypatch.setattr(skew, "PAIRS_PER_TASK", 20)
     rnd = random.Random(seed)
-    adj_o, val_o = random_graph(rnd, list(range(1, 31)), 45, 0.33)
-    adj_p, val_p = random_graph(rnd, list(range(11, 41)), 45, 0.33)
+    adj_o, val_o = random_graph(rnd, list(range(1, 31)), 45, 0.33, n_values)
+    adj_p, val_p = random_graph(rnd, list(range(11, 41)), 45, 0.33, n_values)
     go, gp = graph(spark, adj_o, val_o), graph(spark, adj_p, val_p)
     ref = brute(adj_o, val_o, adj_p, val_p, 0.63, depth)
 
@@ -68,3 +68,32 @@ def test_random_graphs_with_hot_value(spark, monkeypatch, seed, depth):
                 assert matches[(side, n)] == (-neg, s)
             else:
                 assert matches[(side, n)] == (None, 0.0)
+
+
+def test_hottest_value_shortcut_is_used_and_exact(spark, monkeypatch):
+    """Half of all nodes share one value; ties in n(h)/d are frequent. The
+    top level must take the linear shortcut for that value and still agree
+    with brute force, tie-breaks included."""
+    calls = []
+    real = S._hot_value_candidates
+
+    def spy(*args, **kwargs):
+        calls.append(args[3])
+        return real(*args, **kwargs)
+
+    monkeypatch.setattr(S, "_hot_value_candidates", spy)
+    monkeypatch.setattr(skew, "PAIRS_PER_TASK", 50)
+    rnd = random.Random(11)
+    adj_o, val_o = random_graph(rnd, list(range(1, 41)), 60, 0.5, 200)
+    adj_p, val_p = random_graph(rnd, list(range(21, 61)), 60, 0.5, 200)
+    unmatched = [n for n in adj_o if val_o[n] not in set(val_p.values())]
+    assert len(unmatched) >= 5
+    go, gp = graph(spark, adj_o, val_o), graph(spark, adj_p, val_p)
+    ref = brute(adj_o, val_o, adj_p, val_p, 0.63, 2)
+    matches = {(r["side"], r["node_id"]): (r["match_id"], r["score"]) for r in S.match_from_graphs(go, gp).collect()}
+    assert "hot" in calls
+    for side, nodes, others, key in (("original", adj_o, adj_p, lambda a, b: (a, b)), ("perturbed", adj_p, adj_o, lambda a, b: (b, a))):
+        for n in nodes:
+            scored = [(round(ref[key(n, m)], 12), -m) for m in others if ref[key(n, m)] > 0]
+            expected = (-max(scored)[1], max(scored)[0]) if scored else (None, 0.0)
+            assert matches[(side, n)] == expected, (side, n)
