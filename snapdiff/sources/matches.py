@@ -42,10 +42,17 @@ def decode_matches(lines: DataFrame, col: str = "value") -> DataFrame:
     )
 
 
-def write_matches(matches: DataFrame, path: str, text: bool = False) -> None:
-    """Typed parquet, or the tab-separated text form (``text=True``)."""
+def write_matches(matches: DataFrame, path: str, text: bool = False, ordered: bool = True) -> None:
+    """Typed parquet, or the tab-separated text form (``text=True``).
+
+    ``ordered`` sorts the text form by key in byte order with a distributed
+    range-partitioned sort: the part files, read in name order, are one
+    key-ordered sequence (what a single sorted output file would hold)."""
     if text:
-        encode_matches(matches).select(F.concat_ws("\t", "key", "value").alias("value")).write.mode("overwrite").text(path)
+        enc = encode_matches(matches)
+        if ordered:
+            enc = enc.orderBy("key")
+        enc.select(F.concat_ws("\t", "key", "value").alias("value")).write.mode("overwrite").text(path)
     else:
         matches.select(*[f.name for f in schemas.MATCHES.fields]).write.mode("overwrite").parquet(path)
 

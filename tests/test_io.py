@@ -115,3 +115,21 @@ def test_score_sink(spark):
     path = scratch_path(spark, "scores")
     write_scores(report, path)
     assert spark.read.json(path).first()["acc"] == 0.1
+
+
+def test_text_matches_are_written_in_key_order(spark):
+    m = spark.range(0, 500).select(
+        F.when(F.col("id") % 2 == 0, F.lit("original")).otherwise(F.lit("perturbed")).alias("side"),
+        F.col("id").alias("node_id"),
+        (F.col("id") + 1).alias("match_id"),
+        (F.col("id") / 1000.0).alias("score"),
+    )
+    path = scratch_path(spark, "ordered")
+    write_matches(m, path, text=True)
+    local = path.removeprefix("file:")
+    files = sorted(f for f in os.listdir(local) if f.startswith("part-"))
+    keys = []
+    for f in files:
+        with open(os.path.join(local, f)) as fh:
+            keys += [line.split("\t")[0] for line in fh if line.strip()]
+    assert len(keys) == 500 and keys == sorted(keys)
