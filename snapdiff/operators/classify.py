@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapdiff.functions.exprs import ORIGINAL, PERTURBED, match_key, score_round
+from snapdiff.functions.exprs import ORIGINAL, match_key, score_round
 from snapdiff.session import cut_lineage
 
 MODIFIED, REMOVED, ADDED = "Modified", "Removed", "Added"
@@ -95,4 +95,4 @@ def classify(matches: DataFrame, method: str = "two_means") -> DataFrame:
     return split.select("change_type", "node_id").unionByName(added)
 
 
-__all__ = ["ADDED", "MODIFIED", "REMOVED", "PERTURBED", "classify", "split_scores", "seeds_two", "lloyd_two"]
+__all__ = ["ADDED", "MODIFIED", "REMOVED", "classify", "split_scores", "seeds_two", "lloyd_two"]

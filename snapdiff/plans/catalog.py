@@ -14,10 +14,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapdiff.functions.exprs import ORIGINAL, PERTURBED, SCORE_DP, match_key, score_round
+from snapdiff.functions.exprs import ORIGINAL, PERTURBED, SCORE_DP, score_round
 from snapdiff.operators import graph as G
 from snapdiff.operators import similarity as S
-from snapdiff.operators.classify import classify, split_scores
+from snapdiff.operators.classify import split_scores
 from snapdiff.operators.evaluate import (
     confusion_scores,
     score_report,
@@ -36,7 +36,7 @@ from snapdiff.session import cut_lineage, in_parallel, scratch_path
 from snapdiff.sources.changes import read_changes, write_change_docs
 from snapdiff.sources.graph_io import node_count_values, node_counts, split_components, stack_components
 from snapdiff.sources.matches import decode_matches, encode_matches
-from snapdiff.sources.shards import read_shards, side_of, write_shards
+from snapdiff.sources.shards import read_shards, write_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
 

@@ -5,7 +5,6 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import graph
 from snapdiff.operators import graph as G
 from snapdiff.operators.similarity import match_from_graphs, sharded_match
 from snapdiff.session import scratch_path
