@@ -39,8 +39,20 @@ DEFAULT_DECAY = 0.63
 DEFAULT_DEPTH = 2
 
 # Recursive scores are accumulated as integers in units of 2^-48 (exact,
-# order-independent sums; the grain is far below any reported digit).
+# order-independent sums; the grain is far below any reported digit). Each
+# term is split into high and low 24-bit halves summed as two longs (hash
+# aggregation stays available), exact up to ~5e11 terms per pair.
 FIXED_ONE = float(2**48)
+HALF_BITS = 24
+
+
+def _fixed_parts(score: F.Column) -> list[F.Column]:
+    q = F.floor(score * FIXED_ONE)
+    return [F.shiftright(q, HALF_BITS).alias("qh"), q.bitwiseAND(F.lit((1 << HALF_BITS) - 1)).alias("ql")]
+
+
+def _no_q() -> list[F.Column]:
+    return [F.lit(0).cast("long").alias("qh"), F.lit(0).cast("long").alias("ql")]
 
 
 @dataclass
@@ -138,7 +150,7 @@ def _level(
     contrib = value_pairs.select(
         *ko, "a", *kp, "b",
         (F.col("n_o") * F.col("n_p")).alias("e"),
-        F.lit(0).cast("long").alias("q"),
+        *_no_q(),
         "deg_a", "deg_b",
     )
     if prev is not None:
@@ -151,26 +163,28 @@ def _level(
         ap = _rename_ctx(adj_p, gp.ctx, "_p").select(
             *kp, F.col("src").alias("b"), F.col("dst").alias("y"), F.col("sdeg").alias("deg_b")
         )
-        rq = prev.select(
-            *ko, F.col("a").alias("x"), *kp, F.col("b").alias("y"), F.floor(F.col("score") * FIXED_ONE).alias("q")
-        )
+        rq = prev.select(*ko, F.col("a").alias("x"), *kp, F.col("b").alias("y"), *_fixed_parts(F.col("score")))
         half = (
             salted_join(ao, rq, [*ko, "x"], ["a"], [*kp, "y"])
             .groupBy(*ko, "a", *kp, "y")
-            .agg(F.sum("q").alias("q"), F.max("deg_a").alias("deg_a"))
+            .agg(F.sum("qh").alias("qh"), F.sum("ql").alias("ql"), F.max("deg_a").alias("deg_a"))
         )
         via = salted_join(half, ap, [*kp, "y"], [*ko, "a"], ["b"]).select(
-            *ko, "a", *kp, "b", F.lit(0).cast("long").alias("e"), "q", "deg_a", "deg_b"
+            *ko, "a", *kp, "b", F.lit(0).cast("long").alias("e"), "qh", "ql", "deg_a", "deg_b"
         )
         contrib = contrib.unionByName(via)
     summed = contrib.groupBy(*ko, "a", *kp, "b").agg(
-        F.sum("e").alias("e"), F.sum("q").alias("q"), F.max("deg_a").alias("deg_a"), F.max("deg_b").alias("deg_b")
+        F.sum("e").alias("e"), F.sum("qh").alias("qh"), F.sum("ql").alias("ql"),
+        F.max("deg_a").alias("deg_a"), F.max("deg_b").alias("deg_b"),
     )
     if hottest is not None:
         summed = _hot_value_candidates(summed, vc_o, vc_p, hottest, ko, kp, best_for)
     summed = summed.select(
         *ko, "a", *kp, "b",
-        (F.col("e").cast("double") + F.col("q").cast("double") / F.lit(FIXED_ONE)).alias("s"),
+        (
+            F.col("e").cast("double")
+            + (F.col("qh").cast("double") * F.lit(float(2**HALF_BITS)) + F.col("ql").cast("double")) / F.lit(FIXED_ONE)
+        ).alias("s"),
         "deg_a", "deg_b",
     )
     if drop_equal:
@@ -208,7 +222,7 @@ def _hot_value_candidates(
         .select(
             *ko, "a", *kp, "b",
             (F.col("e") + F.coalesce("ha", F.lit(0)) * F.coalesce("hb", F.lit(0))).alias("e"),
-            "q", "deg_a", "deg_b",
+            "qh", "ql", "deg_a", "deg_b",
         )
     )
     if best_for == "o":
@@ -227,8 +241,8 @@ def _hot_value_candidates(
     best = star[0]
     lit_cols = [F.lit(best[c]).alias(c) for c in (*free_keys, node)] + [F.lit(best[d_free]).cast("long").alias(d_free)]
     cand = fixed.select(
-        "*", *lit_cols, (F.col(n_fixed) * F.lit(int(best[n_free]))).alias("e"), F.lit(0).cast("long").alias("q")
-    ).select(*ko, "a", *kp, "b", "e", "q", "deg_a", "deg_b")
+        "*", *lit_cols, (F.col(n_fixed) * F.lit(int(best[n_free]))).alias("e"), *_no_q()
+    ).select(*ko, "a", *kp, "b", "e", "qh", "ql", "deg_a", "deg_b")
     return exact.unionByName(cand)
 
 

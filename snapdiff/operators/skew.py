@@ -29,7 +29,7 @@ BROADCAST_MAX_ROWS = 200_000
 
 
 def _grid(nl: F.Column, nr: F.Column, budget: int) -> tuple[F.Column, F.Column]:
-    cells = F.ceil((nl * nr).cast("double") / F.lit(float(budget)))
+    cells = F.ceil(nl.cast("double") * nr.cast("double") / F.lit(float(budget)))
     s_l = F.least(F.ceil(F.sqrt(cells)), nl).cast("int")
     s_r = F.least(F.ceil(cells / s_l), nr).cast("int")
     return s_l, s_r
@@ -40,9 +40,11 @@ def hot_keys(left: DataFrame, right: DataFrame, on: list[str], pairs_per_task: i
     pairs_per_task = pairs_per_task or PAIRS_PER_TASK
     lc = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_nl"))
     rc = right.groupBy(*on).agg(F.count(F.lit(1)).alias("_nr"))
-    both = lc.join(rc, on).where(F.col("_nl") * F.col("_nr") > F.lit(pairs_per_task))
+    # pair counts in double: two sides of ~3e9 rows would overflow a long
+    pairs = F.col("_nl").cast("double") * F.col("_nr").cast("double")
+    both = lc.join(rc, on).where(pairs > F.lit(float(pairs_per_task)))
     s_l, s_r = _grid(F.col("_nl"), F.col("_nr"), pairs_per_task)
-    return both.select(*on, s_l.alias("_sl"), s_r.alias("_sr"), (F.col("_nl") * F.col("_nr")).alias("_pairs"))
+    return both.select(*on, s_l.alias("_sl"), s_r.alias("_sr"), pairs.alias("_pairs"))
 
 
 def salted_join(
