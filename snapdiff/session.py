@@ -79,3 +79,28 @@ def in_parallel(*thunks):
     with ThreadPoolExecutor(max_workers=len(thunks)) as pool:
         futures = [pool.submit(t) for t in thunks]
         return [f.result() for f in futures]
+
+
+def cluster_settings(input_bytes: int, executors: int, cores_per_executor: int) -> dict[str, str]:
+    """Spark settings sized for a run over ``input_bytes`` of snapshot tables.
+
+    Shuffle partitions target ~256 MB of shuffle input each (joins here
+    expand at most a few times before partial aggregation shrinks them), and
+    never fewer than two waves of the cluster's cores, so AQE can coalesce
+    downwards and split skewed partitions. Scan splits use the same size.
+    Apply with ``SparkSession.builder.config(map=...)``; checkpointing needs
+    ``spark.checkpoint.dir`` on shared storage in addition."""
+    target = 256 * 1024 * 1024
+    cores = max(1, executors * cores_per_executor)
+    partitions = max(2 * cores, -(-int(input_bytes) // target))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }
