@@ -391,13 +391,15 @@ def match_from_graphs(
             F.coalesce("score", F.lit(0.0)).alias("score"),
         )
 
-    perfect = perfect.join(
-        subj_o_ids.select(F.lit(ORIGINAL).alias("side"), "node_id").unionByName(
-            subj_p_ids.select(F.lit(PERTURBED).alias("side"), "node_id")
-        ),
-        ["side", "node_id"],
-        "left_semi",
-    )
+    if subjects_o is not None or subjects_p is not None:
+        # label_match covers every candidate node; keep only the subjects
+        perfect = perfect.join(
+            subj_o_ids.select(F.lit(ORIGINAL).alias("side"), "node_id").unionByName(
+                subj_p_ids.select(F.lit(PERTURBED).alias("side"), "node_id")
+            ),
+            ["side", "node_id"],
+            "left_semi",
+        )
     return perfect.unionByName(imperfect(un_o, best_o, ORIGINAL)).unionByName(imperfect(un_p, best_p, PERTURBED))
 
 
