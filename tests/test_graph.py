@@ -123,3 +123,17 @@ def test_induced_and_shards(spark):
     assert halo0 == [1, 2, 3, 4]
     e0 = sorted((r["src"], r["dst"]) for r in shard_adj.collect() if r["part"] == 0)
     assert e0 == [(1, 2), (2, 1), (2, 3), (3, 2), (3, 4), (4, 3)]
+
+
+def test_hub_holding_a_third_of_edges(spark):
+    """One node touches a third of all edges; results stay exact."""
+    hub = [(0, i) for i in range(1, 1001)]
+    chains = [(i, i + 1) for i in range(1001, 3000)]
+    adj = G.undirected(edges(spark, hub + chains))
+    cc = {r["node_id"]: r["component"] for r in G.connected_components(adj).collect()}
+    assert all(cc[i] == 0 for i in range(0, 1001)) and all(cc[i] == 1001 for i in range(1001, 3001))
+    deg = {r["node_id"]: r["degree"] for r in G.degrees(adj).collect()}
+    assert deg[0] == 1000
+    seeds = spark.createDataFrame([(0, 5)], "part int, node_id long")
+    reach = {r["node_id"] for r in G.khop(adj, seeds, 2).collect()}
+    assert reach == set(range(0, 1001))
