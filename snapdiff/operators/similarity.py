@@ -139,11 +139,12 @@ def _level(
     hot = hot_keys(vc_o, vc_p, ["stored_value"])
     hottest = None
     if best_for is not None:
+        hot = cut_lineage(hot)  # read twice: the hottest value, then the salt grid
         top = hot.orderBy(F.col("_pairs").desc(), "stored_value").select("stored_value").limit(1).collect()
         hottest = top[0]["stored_value"] if top else None
     if hottest is not None:
         cold = F.col("stored_value") != F.lit(hottest)
-        hot = cut_lineage(hot.where(cold))
+        hot = hot.where(cold)
         value_pairs = salted_join(vc_o.where(cold), vc_p.where(cold), ["stored_value"], [*ko, "a"], [*kp, "b"], hot=hot)
     else:
         value_pairs = salted_join(vc_o, vc_p, ["stored_value"], [*ko, "a"], [*kp, "b"], hot=hot)
