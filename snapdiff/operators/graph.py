@@ -136,8 +136,8 @@ def connected_components(adj: DataFrame, max_rounds: int = 64) -> DataFrame:
 
 
 def global_row_number(df: DataFrame, order_cols: list[str], group_cols: list[str] | None = None) -> DataFrame:
-    """1-based row number in ``order_cols`` order within ``group_cols``,
-    without a single-partition window.
+    """1-based row number in ``order_cols`` order within ``group_cols`` (plus
+    the group's row count ``group_size``), without a single-partition window.
 
     Range-partition and sort, read each row's position from
     ``monotonically_increasing_id`` (partition index in the high bits), then
@@ -160,7 +160,9 @@ def global_row_number(df: DataFrame, order_cols: list[str], group_cols: list[str
     )
     w = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
-        "_pid", *group_cols, "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off")
+        "_pid", *group_cols, "_first",
+        F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"),
+        F.sum("_n").over(Window.partitionBy(*group_cols)).alias("group_size"),
     )
     # at most (#partitions x #groups) rows: safe to broadcast
     ranked = keyed.join(F.broadcast(offsets), ["_pid", *group_cols])
@@ -186,10 +188,7 @@ def partition_nodes(adj: DataFrame, k: int = 3, components: DataFrame | None = N
     Returns ``(part, node_id)`` with part in 0..k-1."""
     comps = components if components is not None else connected_components(adj)
     ranked = global_row_number(comps, ["component", "node_id"])
-    total = int(ranked.agg(F.count(F.lit(1)).alias("n")).first()["n"])
-    return ranked.withColumn("_total", F.lit(total)).select(
-        ntile_expr("row_number", "_total", k).alias("part"), "node_id"
-    )
+    return ranked.select(ntile_expr("row_number", "group_size", k).alias("part"), "node_id")
 
 
 # ---------------------------------------------------------------- shards
