@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapdiff.llm import language, lines, packing
+from snapdiff.llm import language, lines, near, packing
 from snapdiff.llm.text import crc_mod
 from snapdiff.session import cut_lineage
 
@@ -32,6 +32,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(docs, stats=True)
 
 
+def op6_hyperminhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     docs = docs.withColumn("held_out", crc_mod("doc_id", 3) == 1)
@@ -42,5 +46,6 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op5_line_dedup": op5_line_dedup,
+    "op6_hyperminhash_near_dedup": op6_hyperminhash_near_dedup,
     "op8_language_id": op8_language_id,
 }
