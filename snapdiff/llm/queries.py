@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapdiff.llm import language, lines, near, packing
+from snapdiff.llm import decontam, language, lines, near, packing
 from snapdiff.llm.text import crc_mod
 from snapdiff.session import cut_lineage
 
@@ -27,6 +27,17 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(found)
 
 
+def op2_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.find_benchmark(docs, _table(spark, sf_dir, "benchmark")).drop("text")
+    found = found.withColumn("n_hit", decontam.n_hit("hit_spans"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("hit_items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "hit_items"), 256).alias("items_sha256"),
+        decontam.contaminated(F.col("n_words"), F.col("n_hit")).alias("contaminated"),
+    )
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return lines.dedup_lines(docs, stats=True)
@@ -45,6 +56,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_wu_manber_decontamination": op2_wu_manber_decontamination,
     "op5_line_dedup": op5_line_dedup,
     "op6_hyperminhash_near_dedup": op6_hyperminhash_near_dedup,
     "op8_language_id": op8_language_id,
