@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapdiff.llm import decontam, language, lines, near, packing
+from snapdiff.llm import decontam, language, lines, near, packing, repetition
 from snapdiff.llm.text import crc_mod
 from snapdiff.session import cut_lineage
 
@@ -38,6 +38,16 @@ def op2_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op3_repetition_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repetition.repetition(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    failed = repetition.base_failed()
+    return found.select(
+        "doc_id", "repetition.n_words", "repetition.word_chars", "repetition.n_symbols", "repetition.n_dup_lines",
+        "repetition.n_repeat_words", failed.alias("base_failed"), (~failed & ~repetition.repetitive()).alias("kept"),
+        "repetition.covered", "repetition.top",
+    )
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return lines.dedup_lines(docs, stats=True)
@@ -57,6 +67,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_wu_manber_decontamination": op2_wu_manber_decontamination,
+    "op3_repetition_coverage": op3_repetition_coverage,
     "op5_line_dedup": op5_line_dedup,
     "op6_hyperminhash_near_dedup": op6_hyperminhash_near_dedup,
     "op8_language_id": op8_language_id,
