@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapdiff.llm import decontam, language, lines, near, packing, repetition
+from snapdiff.llm import chat, decontam, language, licenses, lines, near, packing, repetition
 from snapdiff.llm.text import crc_mod
 from snapdiff.session import cut_lineage
 
@@ -57,6 +57,11 @@ def op6_hyperminhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.withColumns({c: F.concat_ws(",", c) for c in ("base_labels", "labels")})
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     docs = docs.withColumn("held_out", crc_mod("doc_id", 3) == 1)
@@ -64,11 +69,20 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs.select("doc_id", "text", "held_out"), net).drop("text")
 
 
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.createDataFrame([(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")], told.schema)
+    formatted = chat.format_trees(chat.linear_messages(told.union(own)))
+    return chat.read_back(formatted).withColumnRenamed("tree", "conv_id")
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_wu_manber_decontamination": op2_wu_manber_decontamination,
     "op3_repetition_coverage": op3_repetition_coverage,
     "op5_line_dedup": op5_line_dedup,
     "op6_hyperminhash_near_dedup": op6_hyperminhash_near_dedup,
+    "op7_license_scan": op7_license_scan,
     "op8_language_id": op8_language_id,
+    "op10_chat_formatting": op10_chat_formatting,
 }
