@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapdiff.llm import chat, decontam, language, licenses, lines, near, packing, repetition
+from snapdiff.llm import chat, decontam, language, licenses, lines, near, packing, repetition, suffix
 from snapdiff.llm.text import crc_mod
 from snapdiff.session import cut_lineage
 
@@ -69,6 +69,13 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs.select("doc_id", "text", "held_out"), net).drop("text")
 
 
+def op9_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix.repeated_spans(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     own = spark.createDataFrame([(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")], told.schema)
@@ -84,5 +91,6 @@ QUERIES = {
     "op6_hyperminhash_near_dedup": op6_hyperminhash_near_dedup,
     "op7_license_scan": op7_license_scan,
     "op8_language_id": op8_language_id,
+    "op9_repeated_bytes": op9_repeated_bytes,
     "op10_chat_formatting": op10_chat_formatting,
 }
