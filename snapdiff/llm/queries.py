@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapdiff.llm import chat, decontam, language, licenses, lines, near, packing, repetition, suffix
+from snapdiff.llm import chat, decontam, language, licenses, lines, near, packing, pitman_yor, repetition, suffix
 from snapdiff.llm.text import crc_mod
-from snapdiff.session import cut_lineage
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +47,13 @@ def op3_repetition_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_pitman_yor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pitman_yor.score_texts(docs, crc_mod("doc_id", 7) != 2)
+    return found.withColumn("held_out", ~F.col("training")).drop("training").withColumn(
+        "perplexity", pitman_yor.perplexity(F.col("score"), F.col("n_tokens")))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return lines.dedup_lines(docs, stats=True)
@@ -87,6 +93,7 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_wu_manber_decontamination": op2_wu_manber_decontamination,
     "op3_repetition_coverage": op3_repetition_coverage,
+    "op4_pitman_yor_scores": op4_pitman_yor_scores,
     "op5_line_dedup": op5_line_dedup,
     "op6_hyperminhash_near_dedup": op6_hyperminhash_near_dedup,
     "op7_license_scan": op7_license_scan,
