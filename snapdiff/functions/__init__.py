@@ -8,7 +8,7 @@ from snapdiff.functions.exprs import (
     half_up,
     match_key,
     match_value,
-    other_side,
+    score_key,
     score_round,
 )
 
@@ -20,6 +20,6 @@ __all__ = [
     "half_up",
     "match_key",
     "match_value",
-    "other_side",
+    "score_key",
     "score_round",
 ]

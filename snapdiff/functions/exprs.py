@@ -9,15 +9,24 @@ from pyspark.sql import functions as F
 ORIGINAL = "original"
 PERTURBED = "perturbed"
 
-# Scores are compared after rounding to this many decimals, so float noise
-# (0.63*3/9 vs 0.63/3) never decides a tie or a cluster boundary.
+# Reported scores have this many decimals. Comparisons never use them: an
+# absolute rounding would turn the small scores of hubs into zeros.
 SCORE_DP = 12
 
 
 def score_round(c: Column | str) -> Column:
+    """For output only."""
     return F.round(F.col(c) if isinstance(c, str) else c, SCORE_DP)
 
 
+def score_key(c: Column | str) -> Column:
+    """A double rounded to its 40 leading bits, whatever its size, so that noise in
+    the last bits does not decide a tie or a cluster boundary."""
+    x = F.col(c) if isinstance(c, str) else c
+    high = x * F.lit(float(2**13 + 1))
+    return high - (high - x)
+
+
 def half_up(c: Column | str, dp: int = 4) -> Column:
     """Decimal HALF_UP rounding of a double (Spark's ``round``)."""
     return F.round(F.col(c) if isinstance(c, str) else c, dp)
@@ -28,10 +37,6 @@ def guarded_ratio(num: Column, den: Column) -> Column:
     return F.coalesce(F.try_divide(num.cast("double"), den.cast("double")), F.lit(0.0))
 
 
-def other_side(side: Column) -> Column:
-    return F.when(side == F.lit(ORIGINAL), F.lit(PERTURBED)).otherwise(F.lit(ORIGINAL))
-
-
 def match_key(side: Column, node_id: Column) -> Column:
     """Text key `{side}_{id}`."""
     return F.concat_ws("_", side, node_id.cast("string"))

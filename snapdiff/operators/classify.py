@@ -10,18 +10,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapdiff.functions.exprs import ORIGINAL, match_key, score_round
+from snapdiff.functions.exprs import ORIGINAL, match_key, score_key
 from snapdiff.session import cut_lineage
 
 MODIFIED, REMOVED, ADDED = "Modified", "Removed", "Added"
-MAX_ROUNDS = 100
 
 
 def _label(scores: DataFrame, lo: float, hi: float) -> DataFrame:
     """Strictly nearer to ``lo`` -> Removed, otherwise Modified (ties go high).
     Distances are rounded before comparing, so float noise cannot break a tie."""
     s = F.col("score")
-    near_lo = score_round(F.abs(s - F.lit(lo))) < score_round(F.abs(s - F.lit(hi)))
+    near_lo = score_key(F.abs(s - F.lit(lo))) < score_key(F.abs(s - F.lit(hi)))
     return scores.select(
         "node_id", F.when(near_lo, F.lit(REMOVED)).otherwise(F.lit(MODIFIED)).alias("change_type")
     )
@@ -45,17 +44,16 @@ def lloyd_two(scores: DataFrame) -> tuple[float, float] | None:
     if ext["lo"] is None or ext["lo"] == ext["hi"]:
         return None
     lo, hi = float(ext["lo"]), float(ext["hi"])
-    for _ in range(MAX_ROUNDS):
+    seen = set()
+    while (lo, hi) not in seen:  # ends at a fixed point (each round lowers the spread)
+        seen.add((lo, hi))
         s = F.col("score")
-        low = score_round(F.abs(s - F.lit(lo))) < score_round(F.abs(s - F.lit(hi)))
+        low = score_key(F.abs(s - F.lit(lo))) < score_key(F.abs(s - F.lit(hi)))
         row = hist.agg(
             (F.sum(F.when(low, s * F.col("n"))) / F.sum(F.when(low, F.col("n")))).alias("lo"),
             (F.sum(F.when(~low, s * F.col("n"))) / F.sum(F.when(~low, F.col("n")))).alias("hi"),
-        ).select(score_round("lo").alias("lo"), score_round("hi").alias("hi")).first()
-        new_lo, new_hi = float(row["lo"]), float(row["hi"])
-        if (new_lo, new_hi) == (lo, hi):
-            break
-        lo, hi = new_lo, new_hi
+        ).select(score_key("lo").alias("lo"), score_key("hi").alias("hi")).first()
+        lo, hi = float(row["lo"]), float(row["hi"])
     return lo, hi
 
 
@@ -66,7 +64,7 @@ def split_scores(scores: DataFrame, method: str = "two_means") -> DataFrame:
     ``two_seeds``: a threshold midway between the first two distinct scores
     in text-key order, which is what the original code computes.
     One distinct score -> all Modified; no rows -> no rows."""
-    scores = scores.select("node_id", score_round("score").alias("score"))
+    scores = scores.select("node_id", score_key("score").alias("score"))
     if method == "two_means":
         centroids = lloyd_two(scores)
     elif method == "two_seeds":

@@ -40,12 +40,13 @@ def chunked_lists(rows: DataFrame, key: str | list[str], item: str) -> DataFrame
     item, so a hub's list is spread over many groups (and tasks) instead of
     being numbered by one window in one task."""
     keys = [key] if isinstance(key, str) else list(key)
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_d"))
+    sizes = cut_lineage(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_d")))
     n_chunks = F.greatest(F.ceil(F.col("_d") / F.lit(LIST_CHUNK)), F.lit(1))
     chunked = rows.join(sizes, keys).withColumn(
         "chunk", F.pmod(F.xxhash64(item), n_chunks.cast("long")).cast("int")
     )
-    return chunked.groupBy(*keys, "chunk").agg(F.sort_array(F.collect_list(item)).alias("neighbors"))
+    # dealt anew by chunk: left on the join's keys, the lists would keep a hub in one task
+    return chunked.repartition(*keys, "chunk").groupBy(*keys, "chunk").agg(F.sort_array(F.collect_list(item)).alias("neighbors"))
 
 
 def undirected(edges: DataFrame) -> DataFrame:
@@ -89,26 +90,30 @@ def connected_components(adj: DataFrame) -> DataFrame:
     the other, so that AQE can split a hub's edges over tasks. Every round is
     checkpointed to the shared folder, so executor loss replays one round.
     """
-    edges = adj.select(F.col("src").alias("u"), F.col("dst").alias("v"))
-    nodes = edges.select("u").union(edges.select("v")).distinct()
-    label = cut_lineage(nodes.select(F.col("u").alias("node_id"), F.col("u").alias("root")))
-    edges = edges.where(F.col("u") != F.col("v"))
-    edges = cut_lineage(edges.union(edges.select("v", "u")).distinct())
+    pairs = adj.select(F.col("src").alias("u"), F.col("dst").alias("v"))
+    label = pairs.select("u").union(pairs.select("v")).distinct().select(
+        F.col("u").alias("node_id"), F.col("u").alias("root"))
+    pairs = pairs.where(F.col("u") != F.col("v"))
+    edges = cut_lineage(pairs.union(pairs.select("v", "u")).distinct())
     turn = 0
     while not edges.isEmpty():
-        order = F.struct(F.xxhash64("v", F.lit(turn)).alias("h"), F.col("v").alias("v"))
-        own = F.struct(F.xxhash64("u", F.lit(turn)).alias("h"), F.col("u").alias("v"))
+        # the first round goes by id, which folds stars around small ids at once
+        rank = (lambda c: F.col(c)) if turn == 0 else (lambda c: F.xxhash64(c, F.lit(turn)))
+        order = F.struct(rank("v").alias("h"), F.col("v").alias("v"))
+        own = F.struct(rank("u").alias("h"), F.col("u").alias("v"))
         first = edges.groupBy("u").agg(F.min(order).alias("best"))
         choice = cut_lineage(first.select(F.col("u").alias("old"), F.least("best", own)["v"].alias("new")))
         ends = edges.join(choice, F.col("u") == F.col("old")).select(F.col("new").alias("u"), "v")
         ends = ends.join(choice, F.col("v") == F.col("old")).select("u", F.col("new").alias("v"))
-        label = cut_lineage(
-            label.join(choice, F.col("root") == F.col("old"), "left")
-            .select("node_id", F.coalesce("new", "root").alias("root"))
-        )
         edges = cut_lineage(ends.where(F.col("u") != F.col("v")).distinct())
+        label = label.join(choice, F.col("root") == F.col("old"), "left").select(
+            "node_id", F.coalesce("new", "root").alias("root"))
         turn += 1
-    least = cut_lineage(label.groupBy("root").agg(F.min("node_id").alias("component")))
+        if turn % 4 == 0:
+            label = cut_lineage(label)
+    label = cut_lineage(label)
+    least = label.groupBy("root").agg(F.min("node_id").alias("component"))
+    least = cut_lineage(least) if turn else least
     return label.join(least, "root").select("node_id", "component")
 
 
@@ -144,8 +149,9 @@ def global_row_number(df: DataFrame, order_cols: list[str], group_cols: list[str
         F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"),
         F.sum("_n").over(Window.partitionBy(*group_cols)).alias("group_size"),
     )
-    # at most (#partitions x #groups) rows: safe to broadcast
-    ranked = keyed.join(F.broadcast(offsets), ["_pid", *group_cols])
+    # without groups a row a partition; with groups their number decides, so the planner does
+    offsets = offsets if group_cols else F.broadcast(offsets)
+    ranked = keyed.join(offsets, ["_pid", *group_cols])
     return ranked.withColumn("row_number", F.col("_off") + F.col("_pos") - F.col("_first") + 1).drop(
         "_mid", "_pid", "_pos", "_first", "_off"
     )

@@ -29,7 +29,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapdiff.functions.exprs import ORIGINAL, PERTURBED, score_round
+from snapdiff.functions.exprs import ORIGINAL, PERTURBED, score_key
 from snapdiff.operators.graph import active_nodes, undirected
 from snapdiff.operators.skew import hot_keys, salted_join
 from snapdiff.session import cut_lineage, in_parallel
@@ -38,23 +38,6 @@ from snapdiff.session import cut_lineage, in_parallel
 DEFAULT_DECAY = 0.63
 DEFAULT_DEPTH = 2
 
-# Recursive scores are accumulated as integers in units of 2^-48 (exact,
-# order-independent sums; the grain is far below any reported digit). Each
-# term is split into high and low 24-bit halves summed as two longs (hash
-# aggregation stays available), exact up to ~5e11 terms per pair.
-FIXED_ONE = float(2**48)
-HALF_BITS = 24
-
-
-def _fixed_parts(score: F.Column) -> list[F.Column]:
-    q = F.floor(score * FIXED_ONE)
-    return [F.shiftright(q, HALF_BITS).alias("qh"), q.bitwiseAND(F.lit((1 << HALF_BITS) - 1)).alias("ql")]
-
-
-def _no_q() -> list[F.Column]:
-    return [F.lit(0).cast("long").alias("qh"), F.lit(0).cast("long").alias("ql")]
-
-
 @dataclass
 class SideGraph:
     """One snapshot as relations. ``vals`` lists the candidate nodes (the
@@ -68,15 +51,24 @@ class SideGraph:
 
 
 def with_degrees(adj: DataFrame, ctx: list[str]) -> DataFrame:
-    """Attach each row's source degree (A2) — one aggregate and one join, once per graph."""
-    deg = adj.groupBy(*ctx, "src").agg(F.count(F.lit(1)).alias("sdeg"))
+    """Attach each row's source degree (A2) — one aggregate and one join, once per graph.
+
+    The degrees are stored first: with a plain shuffle on either side AQE can
+    split a hub's rows over tasks, which it cannot above an aggregate."""
+    deg = cut_lineage(adj.groupBy(*ctx, "src").agg(F.count(F.lit(1)).alias("sdeg")))
     return adj.select(*ctx, "src", "dst").join(deg, [*ctx, "src"])
 
 
-def whole_graph(nodes: DataFrame, edges: DataFrame) -> SideGraph:
-    """Snapshot as one graph: undirected distinct adjacency, isolated nodes dropped."""
-    adj = cut_lineage(with_degrees(undirected(edges), []))
-    vals = cut_lineage(active_nodes(nodes, adj).select("node_id", "stored_value"))
+def whole_graph(nodes: DataFrame, edges: DataFrame, drop_isolated: bool = True, directed: bool = False) -> SideGraph:
+    """Snapshot as one graph over distinct node ids (of a repeated id the least value counts).
+
+    The adjacency is undirected and distinct, or with ``directed`` the given
+    distinct rows. Candidates are the nodes with a neighbour, or with
+    ``drop_isolated=False`` all nodes."""
+    rows = edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull()).select("src", "dst").distinct()
+    adj = cut_lineage(with_degrees(cut_lineage(rows if directed else undirected(edges)), []))
+    single = nodes.groupBy("node_id").agg(F.min("stored_value").alias("stored_value"))
+    vals = cut_lineage(active_nodes(single, adj) if drop_isolated else single)
     return SideGraph(vals=vals, adj=adj)
 
 
@@ -134,12 +126,12 @@ def _level(
 
     # value-equal neighbour pairs, pre-aggregated per (node, value) on each side;
     # a value shared by many nodes is spread over a salt grid (skew.salted_join)
-    vc_o = _value_counts(go, adj_o, "a", "_o")
-    vc_p = _value_counts(gp, adj_p, "b", "_p")
-    hot = hot_keys(vc_o, vc_p, ["stored_value"])
+    # stored once: read by the key counts, the join and the hot value's candidates
+    vc_o = cut_lineage(_value_counts(go, adj_o, "a", "_o"))
+    vc_p = cut_lineage(_value_counts(gp, adj_p, "b", "_p"))
+    hot = cut_lineage(hot_keys(vc_o, vc_p, ["stored_value"]))
     hottest = None
     if best_for is not None:
-        hot = cut_lineage(hot)  # read twice: the hottest value, then the salt grid
         top = hot.orderBy(F.col("_pairs").desc(), "stored_value").select("stored_value").limit(1).collect()
         hottest = top[0]["stored_value"] if top else None
     if hottest is not None:
@@ -151,41 +143,38 @@ def _level(
     contrib = value_pairs.select(
         *ko, "a", *kp, "b",
         (F.col("n_o") * F.col("n_p")).alias("e"),
-        *_no_q(),
+        F.lit(0.0).alias("q"),
         "deg_a", "deg_b",
     )
     if prev is not None:
         # sum_{x in N(a), y in N(b)} R(x, y) as (A_o R) A_p^T: aggregate per (a, y)
-        # before the second join. Scores enter as fixed-point integers, so the
-        # sums are exact and independent of partitioning and merge order.
+        # before the second join. Sums of positive doubles: their order moves the last
+        # bits only, which comparisons of deeper levels leave out (score_key).
         ao = _rename_ctx(adj_o, go.ctx, "_o").select(
             *ko, F.col("src").alias("a"), F.col("dst").alias("x"), F.col("sdeg").alias("deg_a")
         )
         ap = _rename_ctx(adj_p, gp.ctx, "_p").select(
             *kp, F.col("src").alias("b"), F.col("dst").alias("y"), F.col("sdeg").alias("deg_b")
         )
-        rq = prev.select(*ko, F.col("a").alias("x"), *kp, F.col("b").alias("y"), *_fixed_parts(F.col("score")))
-        half = (
+        rq = prev.select(*ko, F.col("a").alias("x"), *kp, F.col("b").alias("y"), F.col("score").alias("q"))
+        half = cut_lineage(
             salted_join(ao, rq, [*ko, "x"], ["a"], [*kp, "y"])
             .groupBy(*ko, "a", *kp, "y")
-            .agg(F.sum("qh").alias("qh"), F.sum("ql").alias("ql"), F.max("deg_a").alias("deg_a"))
+            .agg(F.sum("q").alias("q"), F.max("deg_a").alias("deg_a"))
         )
         via = salted_join(half, ap, [*kp, "y"], [*ko, "a"], ["b"]).select(
-            *ko, "a", *kp, "b", F.lit(0).cast("long").alias("e"), "qh", "ql", "deg_a", "deg_b"
+            *ko, "a", *kp, "b", F.lit(0).cast("long").alias("e"), "q", "deg_a", "deg_b"
         )
         contrib = contrib.unionByName(via)
     summed = contrib.groupBy(*ko, "a", *kp, "b").agg(
-        F.sum("e").alias("e"), F.sum("qh").alias("qh"), F.sum("ql").alias("ql"),
+        F.sum("e").alias("e"), F.sum("q").alias("q"),
         F.max("deg_a").alias("deg_a"), F.max("deg_b").alias("deg_b"),
     )
     if hottest is not None:
         summed = _hot_value_candidates(summed, vc_o, vc_p, hottest, ko, kp, best_for)
     summed = summed.select(
         *ko, "a", *kp, "b",
-        (
-            F.col("e").cast("double")
-            + (F.col("qh").cast("double") * F.lit(float(2**HALF_BITS)) + F.col("ql").cast("double")) / F.lit(FIXED_ONE)
-        ).alias("s"),
+        (F.col("e").cast("double") + F.col("q")).alias("s"),
         "deg_a", "deg_b",
     )
     if drop_equal:
@@ -198,7 +187,8 @@ def _level(
         )
     return summed.select(
         *ko, "a", *kp, "b",
-        (F.lit(float(decay)) * F.col("s") / (F.col("deg_a") * F.col("deg_b"))).alias("score"),
+        # one division of whole numbers at depth 2: equal ratios give equal doubles
+        (F.lit(float(decay)) * (F.col("s") / (F.col("deg_a").cast("double") * F.col("deg_b")))).alias("score"),
     )
 
 
@@ -223,7 +213,7 @@ def _hot_value_candidates(
         .select(
             *ko, "a", *kp, "b",
             (F.col("e") + F.coalesce("ha", F.lit(0)) * F.coalesce("hb", F.lit(0))).alias("e"),
-            "qh", "ql", "deg_a", "deg_b",
+            "q", "deg_a", "deg_b",
         )
     )
     if best_for == "o":
@@ -242,8 +232,8 @@ def _hot_value_candidates(
     best = star[0]
     lit_cols = [F.lit(best[c]).alias(c) for c in (*free_keys, node)] + [F.lit(best[d_free]).cast("long").alias(d_free)]
     cand = fixed.select(
-        "*", *lit_cols, (F.col(n_fixed) * F.lit(int(best[n_free]))).alias("e"), *_no_q()
-    ).select(*ko, "a", *kp, "b", "e", "qh", "ql", "deg_a", "deg_b")
+        "*", *lit_cols, (F.col(n_fixed) * F.lit(int(best[n_free]))).alias("e"), F.lit(0.0).alias("q")
+    ).select(*ko, "a", *kp, "b", "e", "q", "deg_a", "deg_b")
     return exact.unionByName(cand)
 
 
@@ -284,10 +274,15 @@ def simrank(
     edges_p: DataFrame,
     decay: float = DEFAULT_DECAY,
     depth: int = DEFAULT_DEPTH,
+    directed: bool = False,
 ) -> DataFrame:
     """Whole-graph SimRank between two snapshots: ``(a, b, score)`` for every
-    pair with a positive score (value-equal pairs score 1)."""
-    go, gp = in_parallel(lambda: whole_graph(nodes_o, edges_o), lambda: whole_graph(nodes_p, edges_p))
+    pair with a positive score (value-equal pairs score 1). With ``directed``
+    the edges are the adjacency ``(src, dst)`` as given: a node's neighbours
+    are its rows' ``dst``, and only nodes with a row of their own are compared."""
+    go, gp = in_parallel(
+        lambda: whole_graph(nodes_o, edges_o, directed=directed), lambda: whole_graph(nodes_p, edges_p, directed=directed)
+    )
     return simrank_pairs(go, gp, decay, depth)
 
 
@@ -301,9 +296,10 @@ def label_match(go: SideGraph, gp: SideGraph) -> DataFrame:
     costs one row per group, not its square."""
 
     def one_way(g: SideGraph, other: SideGraph, side: str) -> DataFrame:
-        counts = other.vals.groupBy("stored_value").agg(
+        # stored, so that AQE may split the nodes of a hot value over tasks
+        counts = cut_lineage(other.vals.groupBy("stored_value").agg(
             F.count(F.lit(1)).alias("n_equal"), F.min("node_id").alias("equal_id")
-        )
+        ))
         nodes = g.vals.select("node_id", "stored_value").distinct()
         return nodes.join(counts, "stored_value", "left").select(
             F.lit(side).alias("side"),
@@ -324,11 +320,15 @@ def unmatched_nodes(go: SideGraph, gp: SideGraph) -> DataFrame:
 # ---------------------------------------------------------------- best match
 
 
-def _best_per_node(pairs: DataFrame, node: str, other: str) -> DataFrame:
-    """A4/A5: argmax per node; ties on the rounded score go to the least id.
-    A struct max is a hash aggregate with a partial (map-side) step."""
+def _best_per_node(pairs: DataFrame, node: str, other: str, depth: int) -> DataFrame:
+    """A4/A5: argmax per node, with a partial (map-side) step; ties go to the least id.
+
+    At depth 2 scores are compared as they are: equal ratios are equal doubles,
+    however small. Deeper scores are sums whose last bits depend on the order
+    and are compared by their leading 40 bits."""
+    key = F.col("score") if depth == 2 else score_key("score")
     best = pairs.groupBy(node).agg(
-        F.max(F.struct(score_round("score").alias("s"), (-F.col(other)).alias("neg"))).alias("m")
+        F.max(F.struct(key.alias("s"), (-F.col(other)).alias("neg"))).alias("m")
     )
     return best.select(
         F.col(node).alias("node_id"), (-F.col("m.neg")).alias("match_id"), F.col("m.s").alias("score")
@@ -376,8 +376,8 @@ def match_from_graphs(
             lambda: _level(go, gp, prev, decay, restrict_o=un_o, drop_equal=False, best_for="o"),
             lambda: _level(go, gp, prev, decay, restrict_p=un_p, drop_equal=False, best_for="p"),
         )
-        best_o = _best_per_node(top_o.where(F.col("score") > 0), "a", "b")
-        best_p = _best_per_node(top_p.where(F.col("score") > 0), "b", "a")
+        best_o = _best_per_node(top_o.where(F.col("score") > 0), "a", "b", depth)
+        best_p = _best_per_node(top_p.where(F.col("score") > 0), "b", "a", depth)
     else:
         empty = equal.select(
             F.col("node_id"), F.col("equal_id").alias("match_id"), F.lit(0.0).alias("score")
@@ -411,9 +411,13 @@ def best_match(
     edges_p: DataFrame,
     decay: float = DEFAULT_DECAY,
     depth: int = DEFAULT_DEPTH,
+    drop_isolated: bool = True,
 ) -> DataFrame:
-    """Whole-graph best match for every non-isolated node of both snapshots."""
-    go, gp = in_parallel(lambda: whole_graph(nodes_o, edges_o), lambda: whole_graph(nodes_p, edges_p))
+    """Whole-graph best match for every node of both snapshots (isolated ones
+    only with ``drop_isolated=False``; they match by value alone)."""
+    go, gp = in_parallel(
+        lambda: whole_graph(nodes_o, edges_o, drop_isolated), lambda: whole_graph(nodes_p, edges_p, drop_isolated)
+    )
     return match_from_graphs(go, gp, decay, depth)
 
 

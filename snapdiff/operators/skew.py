@@ -10,9 +10,9 @@ its columns, right rows pick a column and are copied down its rows, so each
 
 The hot-key table holds at most (output pairs / pairs_per_task) rows; its
 row count is checked before it is broadcast, otherwise it is shuffle-joined.
-The join itself is repartitioned explicitly on (key, salt) so an exploding
-join keeps ``spark.sql.shuffle.partitions`` tasks even when its inputs are
-small enough for adaptive coalescing to squeeze them into one.
+Only where there are such keys is the join repartitioned explicitly on (key,
+salt): it explodes, and keeps ``spark.sql.shuffle.partitions`` tasks even when
+its inputs are small enough for adaptive coalescing to squeeze them into one.
 """
 
 from __future__ import annotations
@@ -62,11 +62,10 @@ def salted_join(
     spark = left.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if hot is None:
-        hot = hot_keys(left, right, on, pairs_per_task)
+        hot = cut_lineage(hot_keys(left, right, on, pairs_per_task))  # counted and joined
     n_hot = hot.count()
     if n_hot == 0:
-        return left.repartition(n, *on).join(right.repartition(n, *on), on)
-    hot = cut_lineage(hot)
+        return left.join(right, on)  # no key is large: the planner picks the width
     grid = F.broadcast(hot) if n_hot <= BROADCAST_MAX_ROWS else hot
     one = F.lit(1)
     lg = left.join(grid, on, "left").select(

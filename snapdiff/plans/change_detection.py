@@ -31,9 +31,12 @@ def detect_changes(
     decay: float = DEFAULT_DECAY,
     depth: int = DEFAULT_DEPTH,
     method: str = "two_means",
+    drop_isolated: bool = True,
 ) -> DataFrame:
-    """``changes(change_type, node_id)`` between two snapshots."""
-    matches = cut_lineage(best_match(nodes_o, edges_o, nodes_p, edges_p, decay, depth))
+    """``changes(change_type, node_id)`` between two snapshots. Nodes without an
+    edge are compared only with ``drop_isolated=False``; an added isolated node
+    can then be reported."""
+    matches = cut_lineage(best_match(nodes_o, edges_o, nodes_p, edges_p, decay, depth, drop_isolated))
     return classify(matches, method)
 
 

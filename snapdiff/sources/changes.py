@@ -38,9 +38,9 @@ def read_changes(spark: SparkSession, path: str, nested: bool = True, fmt: str =
 
 def change_docs(changes: DataFrame) -> DataFrame:
     """Flat changes -> nested documents, one per id block of DOC_CHUNK ids,
-    so no line grows with the data. Column ``value`` holds the JSON text."""
+    so no line grows with the data. Changes are a set: repeated rows count once. Column ``value`` holds the JSON text."""
     block = F.floor(F.col("node_id") / DOC_CHUNK).alias("block")
-    grouped = changes.groupBy(block).agg(
+    grouped = changes.select("change_type", "node_id").distinct().groupBy(block).agg(
         F.sort_array(F.collect_list(F.when(F.col("change_type") == "Modified", F.col("node_id")))).alias("Modified"),
         F.sort_array(F.collect_list(F.when(F.col("change_type") == "Removed", F.col("node_id")))).alias("Removed"),
         F.map_from_entries(
