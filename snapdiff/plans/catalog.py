@@ -18,24 +18,28 @@ from snapdiff.functions.exprs import ORIGINAL, PERTURBED, SCORE_DP, score_round
 from snapdiff.operators import graph as G
 from snapdiff.operators import similarity as S
 from snapdiff.operators.classify import split_scores
-from snapdiff.operators.evaluate import (
-    confusion_scores,
-    score_report,
-    scores_long,
-    traceability_scores,
-)
+from snapdiff.operators.evaluate import score_report, scores_long
 from snapdiff.plans.change_detection import (
     DEFAULT_HOPS,
     DEFAULT_PARTS,
     detect_changes,
     detect_changes_sharded,
+    evaluate,
+    evaluate_snapshots,
     sharded_matches,
 )
 from snapdiff.plans.fixtures import Snapshots, load_table, snapshots
 from snapdiff.session import cut_lineage, in_parallel, scratch_path
-from snapdiff.sources.changes import read_changes, write_change_docs
-from snapdiff.sources.graph_io import node_count_values, node_counts, split_components, stack_components
-from snapdiff.sources.matches import decode_matches, encode_matches
+from snapdiff.sources.changes import flatten_change_docs, change_docs, read_changes, write_change_docs
+from snapdiff.sources.graph_io import (
+    node_count_values,
+    node_counts,
+    read_edges,
+    read_nodes,
+    split_components,
+    stack_components,
+)
+from snapdiff.sources.matches import decode_matches, encode_matches, read_matches, write_matches
 from snapdiff.sources.shards import read_shards, write_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +65,10 @@ def _matches(snap: Snapshots) -> DataFrame:
     return cut_lineage(S.best_match(snap.nodes_o, snap.edges_o, snap.nodes_p, snap.edges_p))
 
 
+def _shown(matches: DataFrame) -> DataFrame:
+    return matches.withColumn("score", score_round("score"))
+
+
 def _original_unmatched(snap: Snapshots) -> DataFrame:
     m = _matches(snap)
     return m.where((F.col("side") == ORIGINAL) & (F.col("score") < 1)).select("node_id", "score")
@@ -74,9 +82,8 @@ def _evaluation(spark: SparkSession, sf_dir: str, changed_pred: str = "removed_a
     snap = snapshots(spark, sf_dir)
     pred = _predictions(snap)
     n_o, n_p = node_count_values(snap.nodes_o, snap.nodes_p)
-    conf = cut_lineage(confusion_scores(pred, snap.truth, n_o, n_p))
-    tl = cut_lineage(traceability_scores(pred, snap.truth, n_o, n_p, changed_pred))
-    return conf, tl
+    conf, tl = evaluate(pred, snap.truth, n_o, n_p, changed_pred)
+    return cut_lineage(conf), cut_lineage(tl)
 
 
 def _round_doubles(df: DataFrame, dp: int = SCORE_DP) -> DataFrame:
@@ -152,8 +159,8 @@ def _components(n, e):
     return cut_lineage(G.connected_components(cut_lineage(G.undirected(e))))
 
 
-def q_connected_components(spark, sf_dir):
-    return _both(snapshots(spark, sf_dir), _components)
+def q_connected_components(spark, sf_dir, sparse=False):
+    return _both(snapshots(spark, sf_dir, sparse), _components)
 
 
 def _parts(n, e, k=DEFAULT_PARTS):
@@ -161,28 +168,28 @@ def _parts(n, e, k=DEFAULT_PARTS):
     return cut_lineage(G.partition_nodes(adj, k))
 
 
-def q_partition_nodes(spark, sf_dir):
-    return _both(snapshots(spark, sf_dir), _parts)
+def q_partition_nodes(spark, sf_dir, sparse=False):
+    return _both(snapshots(spark, sf_dir, sparse), _parts)
 
 
-def q_khop_nodes(spark, sf_dir):
+def q_khop_nodes(spark, sf_dir, sparse=False):
     def members(n, e):
         adj = cut_lineage(G.undirected(e))
         return G.khop(adj, G.partition_nodes(adj, DEFAULT_PARTS), DEFAULT_HOPS)
 
-    return _both(snapshots(spark, sf_dir), members)
+    return _both(snapshots(spark, sf_dir, sparse), members)
 
 
-def q_induced_subgraph(spark, sf_dir):
+def q_induced_subgraph(spark, sf_dir, sparse=False):
     def sub(n, e):
         adj = cut_lineage(G.undirected(e))
         members = cut_lineage(G.khop(adj, G.partition_nodes(adj, DEFAULT_PARTS), DEFAULT_HOPS))
         return G.induced(adj, members)
 
-    return _both(snapshots(spark, sf_dir), sub)
+    return _both(snapshots(spark, sf_dir, sparse), sub)
 
 
-def q_build_shards(spark, sf_dir):
+def q_build_shards(spark, sf_dir, sparse=False):
     def counts(n, e):
         shard_nodes, shard_adj = G.build_shards(n, e, DEFAULT_PARTS, DEFAULT_HOPS)
         shard_nodes = cut_lineage(shard_nodes)
@@ -194,11 +201,11 @@ def q_build_shards(spark, sf_dir):
             "part", "n_subjects", "n_nodes", F.coalesce("n_edges", F.lit(0)).alias("n_edges")
         )
 
-    return _both(snapshots(spark, sf_dir), counts)
+    return _both(snapshots(spark, sf_dir, sparse), counts)
 
 
-def q_shard_pairs(spark, sf_dir):
-    snap = snapshots(spark, sf_dir)
+def q_shard_pairs(spark, sf_dir, sparse=False):
+    snap = snapshots(spark, sf_dir, sparse)
     so, sp = in_parallel(
         lambda: cut_lineage(G.build_shards(snap.nodes_o, snap.edges_o, DEFAULT_PARTS, DEFAULT_HOPS)[0]),
         lambda: cut_lineage(G.build_shards(snap.nodes_p, snap.edges_p, DEFAULT_PARTS, DEFAULT_HOPS)[0]),
@@ -206,8 +213,8 @@ def q_shard_pairs(spark, sf_dir):
     return G.shard_pairs(so, sp)
 
 
-def q_shard_roundtrip(spark, sf_dir):
-    snap = snapshots(spark, sf_dir)
+def q_shard_roundtrip(spark, sf_dir, sparse=False):
+    snap = snapshots(spark, sf_dir, sparse)
     shards_o, shards_p = in_parallel(
         lambda: tuple(cut_lineage(x) for x in G.build_shards(snap.nodes_o, snap.edges_o, DEFAULT_PARTS, DEFAULT_HOPS)),
         lambda: tuple(cut_lineage(x) for x in G.build_shards(snap.nodes_p, snap.edges_p, DEFAULT_PARTS, DEFAULT_HOPS)),
@@ -241,16 +248,16 @@ def q_simrank_depth3(spark, sf_dir):
 
 
 def q_best_match(spark, sf_dir):
-    return _matches(snapshots(spark, sf_dir))
+    return _shown(_matches(snapshots(spark, sf_dir)))
 
 
-def q_sharded_match(spark, sf_dir):
-    snap = snapshots(spark, sf_dir)
-    return sharded_matches(snap.nodes_o, snap.edges_o, snap.nodes_p, snap.edges_p)
+def q_sharded_match(spark, sf_dir, sparse=False):
+    snap = snapshots(spark, sf_dir, sparse)
+    return _shown(sharded_matches(snap.nodes_o, snap.edges_o, snap.nodes_p, snap.edges_p))
 
 
 def q_match_encode(spark, sf_dir):
-    m = _matches(snapshots(spark, sf_dir))
+    m = _shown(_matches(snapshots(spark, sf_dir)))
     enc = encode_matches(m, keep=["side", "node_id", "score"])
     return enc.select("side", "node_id", "key", F.split("value", "_").getItem(0).alias("match_part"), "score")
 
@@ -272,7 +279,7 @@ def _match_lines(m: DataFrame) -> DataFrame:
 
 
 def q_match_decode(spark, sf_dir):
-    m = _matches(snapshots(spark, sf_dir))
+    m = _shown(_matches(snapshots(spark, sf_dir)))
     return decode_matches(_match_lines(m)).select("side", "node_id", "match_id", score_round("score").alias("score"))
 
 
@@ -287,8 +294,8 @@ def q_split_two_means(spark, sf_dir):
     return split_scores(_original_unmatched(snapshots(spark, sf_dir)), "two_means")
 
 
-def q_classify_changes(spark, sf_dir):
-    snap = snapshots(spark, sf_dir)
+def q_classify_changes(spark, sf_dir, sparse=False):
+    snap = snapshots(spark, sf_dir, sparse)
     return detect_changes_sharded(snap.nodes_o, snap.edges_o, snap.nodes_p, snap.edges_p)
 
 
@@ -341,6 +348,65 @@ def q_evaluate_changes(spark, sf_dir):
     )
 
 
+# ---------------------------------------------------------------- by file, and the other signatures
+
+
+def q_nodes_read(spark, sf_dir):
+    snap = snapshots(spark, sf_dir)
+    path = scratch_path(spark, "nodes")
+    snap.nodes_p.write.json(path)
+    return read_nodes(spark, path, fmt="json")
+
+
+def q_edges_read(spark, sf_dir):
+    snap = snapshots(spark, sf_dir)
+    path = scratch_path(spark, "edges")
+    snap.edges_p.withColumn("weight", F.lit(1.5)).write.parquet(path)
+    return read_edges(spark, path)
+
+
+def q_match_files(spark, sf_dir):
+    """Matches through the text sink and the lenient scan, as they come back."""
+    path = scratch_path(spark, "matches")
+    write_matches(_shown(_matches(snapshots(spark, sf_dir))), path, text=True)
+    return _shown(read_matches(spark, path, text=True))
+
+
+def q_neighbor_lists(spark, sf_dir):
+    """A1's list form as text: each node's neighbours in order."""
+    def lists(n, e):
+        chunks = G.out_adjacency(n, e, as_lists=True)
+        whole = chunks.groupBy("node_id").agg(F.array_sort(F.flatten(F.collect_list("neighbors"))).alias("ids"))
+        return whole.select("node_id", F.array_join(F.col("ids").cast("array<string>"), ",").alias("neighbors"))
+
+    return _both(snapshots(spark, sf_dir, True), lists)
+
+
+def q_truth_tabs(spark, sf_dir):
+    """Change documents laid out with tabs, as the cleaning step expects them."""
+    docs = change_docs(snapshots(spark, sf_dir).truth)
+    return flatten_change_docs(docs.select(F.replace("value", F.lit(","), F.lit(",\t")).alias("value")))
+
+
+def q_evaluate_report(spark, sf_dir):
+    snap = snapshots(spark, sf_dir)
+    return evaluate_snapshots(_predictions(snap), snap.truth, snap.nodes_o, snap.nodes_p)
+
+
+def q_detect_all_nodes(spark, sf_dir):
+    snap = snapshots(spark, sf_dir, True)
+    return detect_changes(snap.nodes_o, snap.edges_o, snap.nodes_p, snap.edges_p, drop_isolated=False)
+
+
+def q_simrank_directed(spark, sf_dir):
+    snap = snapshots(spark, sf_dir, True)
+    return _rounded_pairs(S.simrank(snap.nodes_o, snap.edges_o, snap.nodes_p, snap.edges_p, directed=True))
+
+
+def _sparse(query: Query) -> Query:
+    return lambda spark, sf_dir: query(spark, sf_dir, True)
+
+
 QUERIES: dict[str, Query] = {
     "nodes_scan": q_nodes_scan,
     "edges_scan": q_edges_scan,
@@ -376,4 +442,21 @@ QUERIES: dict[str, Query] = {
     "score_report": q_score_report,
     "scores_long": q_scores_long,
     "evaluate_changes": q_evaluate_changes,
+    "connected_components_sparse": _sparse(q_connected_components),
+    "partition_nodes_sparse": _sparse(q_partition_nodes),
+    "khop_nodes_sparse": _sparse(q_khop_nodes),
+    "induced_subgraph_sparse": _sparse(q_induced_subgraph),
+    "build_shards_sparse": _sparse(q_build_shards),
+    "shard_pairs_sparse": _sparse(q_shard_pairs),
+    "shard_roundtrip_sparse": _sparse(q_shard_roundtrip),
+    "sharded_match_sparse": _sparse(q_sharded_match),
+    "classify_changes_sparse": _sparse(q_classify_changes),
+    "nodes_read": q_nodes_read,
+    "edges_read": q_edges_read,
+    "match_files": q_match_files,
+    "neighbor_lists": q_neighbor_lists,
+    "truth_tabs": q_truth_tabs,
+    "evaluate_report": q_evaluate_report,
+    "detect_all_nodes": q_detect_all_nodes,
+    "simrank_directed": q_simrank_directed,
 }

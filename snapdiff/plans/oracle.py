@@ -85,7 +85,7 @@ def _level2(vc_o: str, vc_p: str, deg_o: str, deg_p: str, val_o: str, val_p: str
     vp = "vb.part = r.j AND " if ctx else ""
     sel = "r.i, r.a, r.j, r.b" if ctx else "r.a, r.b"
     return (
-        f"SELECT {sel}, {DECAY} * r.s / (da.deg * db.deg) AS score FROM ("
+        f"SELECT {sel}, {DECAY} * (r.s / (da.deg * db.deg)) AS score FROM ("
         f"SELECT {ko}o.node_id AS a, {kp}p.node_id AS b, CAST(sum(o.n * p.n) AS DOUBLE) AS s "
         f"FROM {vc_o} o JOIN {vc_p} p ON o.stored_value = p.stored_value GROUP BY {grp}) r "
         f"JOIN {deg_o} da ON {on_o}da.node_id = r.a JOIN {deg_p} db ON {on_p}db.node_id = r.b "
@@ -95,21 +95,21 @@ def _level2(vc_o: str, vc_p: str, deg_o: str, deg_p: str, val_o: str, val_p: str
 
 
 def _best(pairs: str, lm: str, restrict_o: str = "", restrict_p: str = "") -> str:
-    """Best match per node, both directions; ties on the rounded score go to the least id."""
+    """Best match per node, both directions; equal scores go to the least id."""
     return f"""
     SELECT side, node_id, equal_id AS match_id, CAST(1.0 AS DOUBLE) AS score FROM {lm} WHERE n_equal > 0
     UNION ALL
     SELECT 'original', l.node_id, t.match_id, coalesce(t.score, CAST(0.0 AS DOUBLE))
     FROM {lm} l LEFT JOIN (
         SELECT q.a AS node_id, q.b AS match_id, {rnd('q.score')} AS score,
-               row_number() OVER (PARTITION BY q.a ORDER BY {rnd('q.score')} DESC, q.b ASC) AS rn
+               row_number() OVER (PARTITION BY q.a ORDER BY q.score DESC, q.b ASC) AS rn
         FROM {pairs} q {restrict_o} WHERE q.score > 0) t ON t.node_id = l.node_id AND t.rn = 1
     WHERE l.side = 'original' AND l.n_equal = 0
     UNION ALL
     SELECT 'perturbed', l.node_id, t.match_id, coalesce(t.score, CAST(0.0 AS DOUBLE))
     FROM {lm} l LEFT JOIN (
         SELECT q.b AS node_id, q.a AS match_id, {rnd('q.score')} AS score,
-               row_number() OVER (PARTITION BY q.b ORDER BY {rnd('q.score')} DESC, q.a ASC) AS rn
+               row_number() OVER (PARTITION BY q.b ORDER BY q.score DESC, q.a ASC) AS rn
         FROM {pairs} q {restrict_p} WHERE q.score > 0) t ON t.node_id = l.node_id AND t.rn = 1
     WHERE l.side = 'perturbed' AND l.n_equal = 0"""
 
@@ -218,21 +218,22 @@ def _evaluation_ctes() -> dict[str, tuple[str, list[str]]]:
 
 
 def _trace(dtl: str, cp_n: str) -> str:
-    base = (
-        f"SELECT CAST({dtl} AS BIGINT) AS dtl, CAST(mod_tp AS BIGINT) AS mod_right, "
-        f"CAST((n_o - (rem_na + add_na) - (mod_na - mod_tp)) + (n_p - ({cp_n}) - (mod_np - mod_tp)) AS BIGINT) AS unch, "
-        f"CAST((mod_na - mod_tp) + (({cp_n}) - {dtl}) AS BIGINT) AS ctl, "
-        f"CAST((mod_np - mod_tp) + ((rem_na + add_na) - {dtl}) AS BIGINT) AS wtl FROM ev_cnt JOIN ev_n ON true"
+    # both snapshots' nodes, less every true or predicted change, count half as old links each
+    errors = f"(mod_na + mod_np - 2 * mod_tp) + (rem_na + add_na + {cp_n} - 2 * {dtl})"
+    rows = (
+        f"SELECT CAST({dtl} AS BIGINT) AS dtl, CAST({errors} AS BIGINT) AS btl, "
+        f"CAST(mod_np - mod_tp + rem_na + add_na - {dtl} AS BIGINT) AS wtl, "
+        f"CAST(mod_tp AS BIGINT) + CAST(n_o + n_p - 2 * {dtl} - ({errors}) AS BIGINT) // 2 AS atl "
+        f"FROM ev_cnt JOIN ev_n ON true"
     )
-    t = f"SELECT dtl, CAST(mod_right + unch // 2 AS BIGINT) AS atl, ctl, wtl FROM ({base}) b"
-    t = f"SELECT dtl, atl, ctl, wtl, ctl + wtl AS btl, atl + dtl AS gtl, atl + dtl + ctl + wtl AS rtl FROM ({t}) c"
+    rows = f"SELECT dtl, atl, btl - wtl AS ctl, wtl, btl, atl + dtl AS gtl, atl + dtl + btl AS rtl FROM ({rows}) r"
 
     def ratio(n: str, d: str) -> str:
-        return f"CASE WHEN {d} <> 0 THEN CAST({n} AS DOUBLE) / CAST({d} AS DOUBLE) ELSE 0.0 END"
+        return f"coalesce(CAST({n} AS DOUBLE) / nullif(CAST({d} AS DOUBLE), 0), 0.0)"
 
     return (
         f"SELECT dtl, atl, ctl, wtl, btl, gtl, rtl, {ratio('atl', 'rtl')} AS acc, {ratio('wtl', 'rtl')} AS btlr, "
-        f"{ratio('gtl - btl', '2 * rtl')} + 0.5 AS vpr FROM ({t}) d"
+        f"{ratio('gtl - btl', '2 * rtl')} + 0.5 AS vpr FROM ({rows}) d"
     )
 
 
@@ -287,15 +288,14 @@ def _all_ctes() -> dict[str, tuple[str, list[str]]]:
     )
     c["lvl2"] = (_level2("vc_o", "vc_p", "deg_o", "deg_p", "act_o", "act_p", False), ["vc_o", "vc_p", "deg_o", "deg_p", "act_o", "act_p"])
     c["raw3"] = (
-        "SELECT a, b, CAST(sum(e) AS DOUBLE) + CAST(CAST(sum(q) AS BIGINT) AS DOUBLE) / CAST(281474976710656 AS DOUBLE) AS s "
-        "FROM (SELECT o.node_id AS a, p.node_id AS b, o.n * p.n AS e, CAST(0 AS BIGINT) AS q FROM vc_o o "
+        "SELECT a, b, sum(s) AS s FROM (SELECT o.node_id AS a, p.node_id AS b, CAST(o.n * p.n AS DOUBLE) AS s FROM vc_o o "
         "JOIN vc_p p ON o.stored_value = p.stored_value "
-        "UNION ALL SELECT uo.src AS a, up.src AS b, 0 AS e, CAST(floor(r.score * 281474976710656) AS BIGINT) AS q "
+        "UNION ALL SELECT uo.src AS a, up.src AS b, r.score AS s "
         "FROM und_o uo JOIN lvl2 r ON r.a = uo.dst JOIN und_p up ON up.dst = r.b) t GROUP BY a, b",
         ["vc_o", "vc_p", "und_o", "und_p", "lvl2"],
     )
     c["lvl3"] = (
-        f"SELECT r.a, r.b, {DECAY} * r.s / (da.deg * db.deg) AS score FROM raw3 r "
+        f"SELECT r.a, r.b, {DECAY} * (r.s / (da.deg * db.deg)) AS score FROM raw3 r "
         "JOIN deg_o da ON da.node_id = r.a JOIN deg_p db ON db.node_id = r.b "
         "JOIN act_o va ON va.node_id = r.a JOIN act_p vb ON vb.node_id = r.b "
         "WHERE NOT coalesce(va.stored_value = vb.stored_value, false)",
@@ -326,6 +326,18 @@ def _all_ctes() -> dict[str, tuple[str, list[str]]]:
 _CTES = _all_ctes()
 
 
+SPARSE_EDGES = (
+    "SELECT CAST(a.c_custkey AS BIGINT) AS src, CAST(b.c_custkey AS BIGINT) AS dst FROM customer a JOIN customer b "
+    "ON (b.c_custkey = a.c_custkey + 1 AND a.c_nationkey % 2 = b.c_nationkey % 2) "
+    "OR (b.c_custkey = a.c_custkey + 3 AND a.c_mktsegment = b.c_mktsegment)"
+)
+
+
+def _on_sparse(sql: str) -> str:
+    """The same statement over the second edge relation."""
+    return sql.replace(f"edges_o AS ({_CTES['edges_o'][0]})", f"edges_o AS ({SPARSE_EDGES})")
+
+
 def _with(final: str, *needed: str) -> str:
     order: list[str] = []
 
@@ -468,4 +480,25 @@ def oracle_sql() -> dict[str, str]:
         + " UNION ALL ".join(f"SELECT 'Traceability', '{s}', {s} FROM report" for s in ("acc", "btlr", "vpr")),
         "report",
     )
+    for name in ("connected_components", "partition_nodes", "khop_nodes", "induced_subgraph", "build_shards", "shard_pairs",
+                 "shard_roundtrip", "sharded_match", "classify_changes"):
+        q[f"{name}_sparse"] = _on_sparse(q[name])
+    q["nodes_read"] = _with("SELECT * FROM nodes_p", "nodes_p")
+    q["edges_read"] = _with("SELECT * FROM edges_p", "edges_p")
+    q["match_files"] = q["best_match"]
+    lists = (
+        "SELECT n.node_id, coalesce(string_agg(CAST(e.dst AS VARCHAR), ',' ORDER BY e.dst), '') AS neighbors "
+        "FROM nodes_{x} n LEFT JOIN edges_{x} e ON e.src = n.node_id GROUP BY n.node_id"
+    )
+    q["neighbor_lists"] = _on_sparse(_both(lists.format(x="o"), lists.format(x="p"), "nodes_o", "edges_o", "nodes_p", "edges_p"))
+    q["truth_tabs"] = q["truth_flatten"]
+    q["evaluate_report"] = q["score_report"]
+    everyone = {f"act_{x}": f"SELECT node_id, stored_value FROM nodes_{x}" for x in "op"}
+    own_rows = {f"und_{x}": f"SELECT DISTINCT src, dst FROM edges_{x}" for x in "op"}
+    for name, base, changed in (("detect_all_nodes", "detect_changes", everyone), ("simrank_directed", "simrank_pairs", own_rows)):
+        sql = _on_sparse(q[base])
+        for cte, body in changed.items():
+            assert f"{cte} AS ({_CTES[cte][0]})" in sql
+            sql = sql.replace(f"{cte} AS ({_CTES[cte][0]})", f"{cte} AS ({body})")
+        q[name] = sql
     return q
