@@ -29,7 +29,7 @@ def line_frequencies(docs: DataFrame, host: str = "source", text: str = "text")
     rows = docs.select(F.col(host).alias("host"), F.col(text).alias("text"))
     lines = rows.select(
         "host",
-        F.explode(F.array_distinct(F.transform(F.split("text", "\n", -1), F.trim))).alias("line"),
+        F.explode(F.array_distinct(F.transform(F.split("text", "\n", -1), lambda x: F.trim(x)))).alias("line"),
     ).where(F.length("line") > 0)
     seen = lines.groupBy("host", _key(F.col("line")).alias("line_key")).agg(F.count(F.lit(1)).alias("pages"))
     totals = rows.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
@@ -69,7 +69,7 @@ def dedup_lines(docs: DataFrame, host: str = "source", text: str = "text", id_co
     bad = boilerplate(docs, host, text, max_ratio, min_pages)
     rows = docs.select(F.col(id_col).alias("id"), F.col(host).alias("host"), F.col(text).alias("text"))
     lines = rows.select(
-        "id", "host", F.explode(F.array_distinct(F.transform(F.split("text", "\n", -1), F.trim))).alias("line")
+        "id", "host", F.explode(F.array_distinct(F.transform(F.split("text", "\n", -1), lambda x: F.trim(x)))).alias("line")
     ).where(F.length("line") > 0)
     keyed = lines.select("id", "host", _key(F.col("line")).alias("line_key"))
     hits = (

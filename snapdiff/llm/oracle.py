@@ -2,7 +2,85 @@
 
 from __future__ import annotations
 
+from snapdiff.llm.chat import CONTROL, ESCAPES
+from snapdiff.llm.licenses import PHRASES, TEMPLATES, need, template_words
+from snapdiff.llm.text import LOWER, UPPER
+
+ALNUM_WORDS = f"regexp_extract_all(translate(coalesce({{0}}, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+SPACED_WORDS = f"regexp_extract_all(translate(coalesce({{0}}, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+')"
+
+
+def _escaped(column: str) -> str:
+    out = f"replace({column}, '&', '&amp;')"
+    for mark in CONTROL:
+        out = f"replace({out}, '{mark}', '{ESCAPES[mark[0]] + mark[1:]}')"
+    return out
+
+
+def _license_sql() -> str:
+    places = " UNION ALL ".join(
+        f"SELECT rid, i, '{label}' AS label FROM spot WHERE "
+        + " AND ".join(f"ws[i + {k}] = '{w}'" for k, w in enumerate(phrase.split(" ")))
+        for phrase, label in PHRASES.items())
+    sets = ", ".join(f"('{label}', {template_words(t)!r}, {need(len(template_words(t)))})" for label, t in TEMPLATES)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text, {ALNUM_WORDS.format('text')} AS ws FROM documents),
+spot AS (SELECT rid, ws, unnest(range(1, len(ws) + 1)) AS i FROM d),
+place AS ({places}),
+base AS (SELECT rid, count(*) AS n, min(i) - 1 AS a, max(i) - 1 AS z, list(DISTINCT label) AS labels FROM place GROUP BY rid),
+line AS (SELECT rid, list_distinct({ALNUM_WORDS.format('line')}) AS have
+         FROM (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM d WHERE text IS NOT NULL)),
+t(label, words, enough) AS (VALUES {sets}),
+met AS (SELECT rid, label, max(len(list_intersect(words, have)) / len(words)) AS share
+        FROM line JOIN t ON len(list_intersect(words, have)) >= enough GROUP BY rid, label),
+best AS (SELECT rid, max(share) AS share, list(label) AS labels FROM met GROUP BY rid)
+SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, coalesce(b.n, 0)::BIGINT AS n_base, b.a::BIGINT AS first_word, b.z::BIGINT AS last_word,
+       coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(m.labels, [])))), ',') AS labels,
+       CASE WHEN b.n > 0 THEN 1.0 ELSE coalesce(m.share, 0.0) END::DOUBLE AS score
+FROM d LEFT JOIN base b USING (rid) LEFT JOIN best m USING (rid)
+"""
+
+
 ORACLE = {
+    "op2_wu_manber_decontamination": f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {ALNUM_WORDS.format('text')} AS ws FROM documents),
+b AS (SELECT item_id, {ALNUM_WORDS.format('text')} AS ws FROM benchmark),
+sized AS (SELECT item_id, ws, least(13, len(ws)) AS size FROM b WHERE len(ws) > 0),
+win AS (SELECT DISTINCT item_id, size, array_to_string(list_slice(ws, i, i + size - 1), ' ') AS w
+        FROM (SELECT *, unnest(range(1, len(ws) - size + 2)) AS i FROM sized)),
+spot AS (SELECT rid, size, i, array_to_string(list_slice(ws, i, i + size - 1), ' ') AS w
+         FROM (SELECT rid, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM d, (SELECT DISTINCT size FROM win))),
+occ AS (SELECT rid, i, size, item_id FROM spot JOIN win USING (size, w)),
+hit AS (SELECT rid, count(DISTINCT i + k) AS n FROM (SELECT rid, i, unnest(range(0, size)) AS k FROM occ) GROUP BY rid),
+item AS (SELECT rid, list(DISTINCT item_id::VARCHAR) AS ids FROM occ GROUP BY rid)
+SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(len(t.ids), 0)::BIGINT AS n_items,
+       sha256(coalesce(array_to_string(list_sort(t.ids), ','), '')) AS items_sha256,
+       coalesce(h.n, 0) > 0 AND 20 * coalesce(h.n, 0) >= len(d.ws) AS contaminated
+FROM d LEFT JOIN hit h USING (rid) LEFT JOIN item t USING (rid)
+""",
+    "op6_hyperminhash_near_dedup": f"""
+WITH RECURSIVE d AS (SELECT doc_id, {SPACED_WORDS.format('text')} AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(ws, i, i + least(5, len(ws)) - 1), ' ') AS x
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - least(5, len(ws)) + 2)) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+both AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS same FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM both JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * same >= 75 * (p.n + q.n - same)),
+reach AS (SELECT doc_id, doc_id AS c FROM d UNION SELECT l.b, r.c FROM reach r JOIN link l ON l.a = r.doc_id WHERE r.c < l.b)
+SELECT r.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.c) AS component_id, min(r.c) = r.doc_id AS kept
+FROM reach r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+""",
+    "op7_license_scan": _license_sql(),
+    "op10_chat_formatting": f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(24 + length(replace({_escaped('role')}, chr(10), '&#10;')) + length({_escaped('text')}))::BIGINT AS formatted_chars
+FROM c GROUP BY conv_id
+""",
     "op5_line_dedup": """
 WITH l AS (
   SELECT doc_id, source, text, i, line FROM (
