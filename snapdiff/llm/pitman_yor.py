@@ -75,8 +75,10 @@ def seat(customers: np.ndarray, parent: np.ndarray, others: np.ndarray, strength
     tables); ``others`` are the tables of the restaurant's other dishes. The
     first few are drawn singly; then the number that join before the next
     opening is drawn at once, from the ratio of gamma functions that this
-    chance is, to first order. All dishes advance together. ``draw`` gives
-    uniform numbers for the named dishes at a step.
+    chance is, to first order. Where many openings are ahead, a twentieth of
+    the seated are seated at a time, with a normal number of openings, so the
+    steps grow with the log of a dish's customers. All dishes advance together.
+    ``draw`` gives uniform numbers for the named dishes at a step.
     """
     tables = (customers > 0).astype(np.int64)
     live = np.flatnonzero(customers > 1)
@@ -95,7 +97,15 @@ def seat(customers: np.ndarray, parent: np.ndarray, others: np.ndarray, strength
         with np.errstate(over="ignore", divide="ignore"):
             joined = np.floor(np.maximum(room + half, room / 2) * (np.exp(np.minimum(-np.log(u) / weight, 700)) - 1))
         arrival = np.where(single, seated + 1, seated + joined + 1)
-        opened = np.where(single, opens, arrival <= total)
+        opened = np.where(single, opens, arrival <= total).astype(float)
+        many = (seated >= 40) & (weight * np.log(total / seated) > 8)
+        if many.any():
+            party = np.minimum(np.ceil(seated / 20), total - seated)[many]
+            chance = (weight / (room + weight))[many]
+            odds = np.clip(u[many], 1e-12, 1 - 1e-12)
+            noise = np.log(odds / (1 - odds)) / 1.8138 * np.sqrt(party * chance * (1 - chance))  # logistic, unit variance
+            opened[many] = np.clip(np.rint(party * chance + noise), 0, party)
+            arrival[many] = seated[many] + party
         t += opened
         seated = np.minimum(arrival, total)
         more = seated < total
