@@ -9,8 +9,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapdiff.llm.text import _BYTE, _power, as_bytes, mix
-from snapdiff.session import cut_lineage, scratch_path
+from snapdiff.llm.chunks import by_bucket, by_chunk, dealt, gathered, texts_of, write_chunks
+from snapdiff.llm.text import _BYTE, _power, mix
+from snapdiff.session import cut_lineage
 
 #: A byte goes if a string of LENGTH bytes that covers it also starts earlier.
 LENGTH = 100
@@ -138,115 +139,34 @@ def _first_in(keys: np.ndarray) -> np.ndarray:
     return np.sort(np.unique(keys, return_index=True)[1])
 
 
-def _dealt(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """(bucket, row numbers) in bucket order."""
-    order = np.argsort(bucket, kind="stable")
-    ranked = bucket[order]
-    cut = np.flatnonzero(np.diff(ranked)) + 1
-    for rows in np.split(order, cut) if len(order) else []:
-        yield int(bucket[rows[0]]), rows
-
-
-def _gathered(bucket: np.ndarray, answers: list[dict] | None) -> np.ndarray:
-    """The answers to records that went out by :func:`_dealt`, in the records' order."""
-    out = np.zeros(len(bucket), np.uint8)
-    told = {a["bucket"]: a["answer"] for a in answers or []}
-    for b, rows in _dealt(bucket):
-        out[rows] = np.frombuffer(told[b], np.uint8)
-    return out
-
-
-def _chunks(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """Documents in stored chunks: ``chunk, ids, sizes, data`` (compressed), rows by id inside.
-
-    A written table, so that every pass sees the same chunks after a task is
-    run again.
-    """
-    spark = docs.sparkSession
-    codec = "zstd"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        size = 0
-
-        def out() -> pa.RecordBatch:
-            held.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
-            data = b"".join(r[1] for r in held)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([[r[0] for r in held]], pa.list_(pa.int64())), pa.array([[len(r[1]) for r in held]], pa.list_(pa.int64())),
-                 pa.array([pa.Codec(codec).compress(data, asbytes=True)], pa.binary())], names=["ids", "sizes", "data"])
-
-        for batch in batches:
-            for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                row = (row[0], row[1] or b"")
-                if held and size + len(row[1]) > CHUNK:
-                    yield out()
-                    held, size = [], 0
-                held.append(row)
-                size += len(row[1])
-        if held:
-            yield out()
-
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), as_bytes(text).alias("text"))
-    made = rows.mapInArrow(run, "ids array<long>, sizes array<long>, data binary")
-    path = scratch_path(spark, "byte-chunks")
-    made.withColumn("chunk", F.monotonically_increasing_id()).write.option("compression", "none").parquet(path)
-    return spark.read.parquet(path)
-
-
-def _texts(sizes: list[int], data: bytes) -> list[bytes]:
-    whole = pa.Codec("zstd").decompress(data, sum(sizes), asbytes=True)
-    ends = np.cumsum(sizes).tolist()
-    return [whole[e - n : e] for e, n in zip(ends, sizes)]
-
-
 def _rank(ids: list) -> np.ndarray:
     """Order numbers of the ids; a null id comes first."""
     return np.array([np.iinfo(np.int64).min if i is None else i for i in ids], np.int64)
 
 
-def _in_buckets(sent: DataFrame, decide: Callable[[list[np.ndarray], np.ndarray], np.ndarray], blobs: int) -> DataFrame:
-    """``chunk, answers`` from rows ``bucket, chunk, docs, k1 .. kN`` (blobs of 8-byte numbers).
+def _in_buckets(sent: DataFrame, decide: Callable[[list[np.ndarray]], np.ndarray], kinds: list) -> DataFrame:
+    """``chunk, answers`` from rows ``bucket, chunk, docs, k1 .. kN`` (blobs of numbers of these kinds).
 
-    All rows of a bucket are read in one task (as many buckets as shuffle
-    partitions, so a bucket is a partition's share), put into document order,
-    and answered with a byte a record, sent back by chunk.
+    A bucket's records are put into document order and answered with a byte each.
     """
-    names = [f"k{i}" for i in range(1, blobs + 1)]
-    columns = ["bucket", "chunk", "docs", *names]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-
-        def out() -> pa.RecordBatch:
-            sizes = np.array([len(r[2]) // 8 for r in held])
-            keys = [np.frombuffer(b"".join(r[3 + i] for r in held), np.uint64) for i in range(blobs)]
-            doc = np.frombuffer(b"".join(r[2] for r in held), np.int64)
-            chunk = np.repeat(np.array([r[1] for r in held], np.int64), sizes)
-            order = np.lexsort((np.arange(len(doc)), chunk, doc))
-            answer = np.zeros(len(doc), np.uint8)
-            answer[order] = decide([k[order] for k in keys], order)
-            ends = np.cumsum(sizes)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r[1] for r in held], pa.int64()), pa.array([r[0] for r in held], pa.int32()),
-                 pa.array([answer[e - n : e].tobytes() for e, n in zip(ends, sizes)], pa.binary())], names=["chunk", "bucket", "answer"])
 
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if held and held[0][0] != row[0]:
-                    yield out()
-                    held = []
-                held.append(row)
-        if held:
-            yield out()
+    def answer(rows: list[tuple]) -> Iterator[tuple[int, bytes]]:
+        sizes = [len(r[2]) // 8 for r in rows]
+        keys = [np.frombuffer(b"".join(r[3 + i] for r in rows), kind) for i, kind in enumerate(kinds)]
+        doc = np.frombuffer(b"".join(r[2] for r in rows), np.int64)
+        order = np.argsort(doc, kind="stable")  # rows come by chunk, records by place
+        out = np.zeros(len(doc), np.uint8)
+        out[order] = decide([k[order] for k in keys])
+        at = 0
+        for r, n in zip(rows, sizes):
+            yield r[1], out[at : at + n].tobytes()
+            at += n
 
-    n = int(sent.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by_bucket = sent.select(*columns).repartition(n, "bucket").sortWithinPartitions("bucket")
-    answers = by_bucket.mapInArrow(run, "chunk long, bucket int, answer binary")
-    return answers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "answer")).alias("answers"))
+    columns = ["bucket", "chunk", "docs", *[f"k{i + 1}" for i in range(len(kinds))]]
+    return by_chunk(by_bucket(sent, columns, answer))
 
 
-def _segment_verdicts(keys: list[np.ndarray], order: np.ndarray) -> np.ndarray:
+def _segment_verdicts(keys: list[np.ndarray]) -> np.ndarray:
     """0: the only content with its anchor, or nothing to do; 1: seen before; 2: first of
     its kind, but its anchor has other contents, so its windows must be compared."""
     key, anchor = keys
@@ -257,7 +177,7 @@ def _segment_verdicts(keys: list[np.ndarray], order: np.ndarray) -> np.ndarray:
     return out
 
 
-def _window_verdicts(keys: list[np.ndarray], order: np.ndarray) -> np.ndarray:
+def _window_verdicts(keys: list[np.ndarray]) -> np.ndarray:
     return np.where(Levels().first_of(keys[0]), 0, 1).astype(np.uint8)
 
 
@@ -274,41 +194,43 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     empty table gives an empty table. Texts shorter than ``length`` lose nothing.
 
     Only windows with equal anchors can be equal, so segments (runs of windows
-    with one anchor) are sent to buckets by anchor as two fingerprints, once
-    per chunk. A bucket takes them in document order, in batches: each batch is
+    with one anchor) are sent to buckets by anchor, once per chunk, as a 64-bit
+    fingerprint and 32 more bits of the anchor's (anchors that agree in these by
+    chance only cause needless comparisons). A bucket takes them in document order, in batches: each batch is
     sorted, scanned against the levels of the index and added to them. A segment
     seen before is a repeat as a whole. Where an anchor has different contents,
     the windows of the first segment of each content go through a second such
-    round. Fingerprints have 64 bits.
+    round, by 64-bit fingerprints.
     """
     n_buckets = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    chunks = _chunks(docs, id_col, text)
+    chunks = write_chunks(docs, CHUNK, id_col, text)
 
     def first_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, sizes, data, chunk in zip(*(c.to_pylist() for c in batch.columns)):
-                s = Segments(_texts(sizes, data), length)
+                s = Segments(texts_of(sizes, data), length)
                 sent = _first_in(s.key)
                 doc = _rank(ids)[s.doc[sent]]
-                rows = [(b, chunk, doc[r].tobytes(), s.key[sent[r]].tobytes(), s.anchor[sent[r]].tobytes())
-                        for b, r in _dealt(s.anchor[sent] % np.uint64(n_buckets))]
+                rows = [(b, chunk, doc[r].tobytes(), s.key[sent[r]].tobytes(),
+                         (s.anchor[sent[r]] >> np.uint64(32)).astype(np.uint32).tobytes())
+                        for b, r in dealt(s.anchor[sent] % np.uint64(n_buckets))]
                 yield _rows(rows, 2)
 
     def second_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, sizes, data, chunk, answers in zip(*(c.to_pylist() for c in batch.columns)):
-                s = Segments(_texts(sizes, data), length)
+                s = Segments(texts_of(sizes, data), length)
                 at, key, bucket, mixed, _ = _second(s, answers, n_buckets)
                 doc = _rank(ids)[np.searchsorted(s.bound, at, "right") - 1]
-                yield _rows([(b, chunk, doc[r].tobytes(), key[r].tobytes()) for b, r in _dealt(bucket)], 1)
+                yield _rows([(b, chunk, doc[r].tobytes(), key[r].tobytes()) for b, r in dealt(bucket)], 1)
 
     def last_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, sizes, data, _, answers, more in zip(*(c.to_pylist() for c in batch.columns)):
-                texts = _texts(sizes, data)
+                texts = texts_of(sizes, data)
                 s = Segments(texts, length)
                 at, _, bucket, repeated, windows = _second(s, answers, n_buckets)
-                again = _gathered(bucket, more)
+                again = gathered(bucket, more, np.uint8)
                 starts = [s.start[repeated], at[again == 1], windows]
                 ends = [s.start[repeated] + s.size[repeated] - 1 + length, at[again == 1] + length, windows + length]
                 edge = np.zeros(int(s.bound[-1]) + 1, np.int64)
@@ -335,9 +257,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     row = "bucket int, chunk long, docs binary, k1 binary"
     table = chunks.select("ids", "sizes", "data", "chunk")
     sent = table.mapInArrow(first_round, f"{row}, k2 binary")
-    one = cut_lineage(_in_buckets(sent, _segment_verdicts, 2))
+    one = cut_lineage(_in_buckets(sent, _segment_verdicts, [np.uint64, np.uint32]))
     told = table.join(one, "chunk", "left").select("ids", "sizes", "data", "chunk", "answers")
-    two = cut_lineage(_in_buckets(told.mapInArrow(second_round, row), _window_verdicts, 1))
+    two = cut_lineage(_in_buckets(told.mapInArrow(second_round, row), _window_verdicts, [np.uint64]))
     told = told.join(two.select("chunk", F.col("answers").alias("more")), "chunk", "left")
     return told.select("ids", "sizes", "data", "chunk", "answers", "more").mapInArrow(
         last_round, "doc_id long, n_bytes long, spans array<struct<start:bigint,end:bigint>>, kept binary")
@@ -349,7 +271,7 @@ def _second(s: Segments, answers: list[dict] | None, n_buckets: int):
     as a whole, and the windows that repeat inside the chunk."""
     sent = _first_in(s.key)
     verdict = np.ones(len(s.key), np.uint8)  # later ones in the chunk are repeats
-    verdict[sent] = _gathered(s.anchor[sent] % np.uint64(n_buckets), answers)
+    verdict[sent] = gathered(s.anchor[sent] % np.uint64(n_buckets), answers, np.uint8)
     mixed = np.flatnonzero(verdict == 2)
     at, key = s.windows(mixed)
     anchor = np.repeat(s.anchor[mixed], s.size[mixed])
