@@ -19,6 +19,13 @@ def score_round(c: Column | str) -> Column:
     return F.round(F.col(c) if isinstance(c, str) else c, SCORE_DP)
 
 
+def score_shown(c: Column | str) -> Column:
+    """A score as results carry it: 12 decimals, but small ones (hubs) in full, so that a
+    match never shows a score of zero."""
+    x = F.col(c) if isinstance(c, str) else c
+    return F.when(x >= 1e-6, F.round(x, SCORE_DP)).otherwise(x)
+
+
 def score_key(c: Column | str) -> Column:
     """A double rounded to its 40 leading bits, whatever its size, so that noise in
     the last bits does not decide a tie or a cluster boundary."""

@@ -16,13 +16,21 @@ from snapdiff.session import cut_lineage
 MODIFIED, REMOVED, ADDED = "Modified", "Removed", "Added"
 
 
-def _label(scores: DataFrame, lo: float, hi: float) -> DataFrame:
-    """Strictly nearer to ``lo`` -> Removed, otherwise Modified (ties go high).
-    Distances are rounded before comparing, so float noise cannot break a tie."""
+#: Distances that differ by less than this share of the gap between the centres are a tie.
+TIE = 2.0**-30
+
+
+def _nearer(lo: float, hi: float) -> F.Column:
+    """Strictly nearer to ``lo``. What counts as a tie is relative to the gap, so float
+    noise cannot break one and small scores are told apart like large ones."""
     s = F.col("score")
-    near_lo = score_key(F.abs(s - F.lit(lo))) < score_key(F.abs(s - F.lit(hi)))
+    return F.abs(s - F.lit(hi)) - F.abs(s - F.lit(lo)) > F.lit(TIE * (hi - lo))
+
+
+def _label(scores: DataFrame, lo: float, hi: float) -> DataFrame:
+    """Strictly nearer to ``lo`` -> Removed, otherwise Modified (ties go high)."""
     return scores.select(
-        "node_id", F.when(near_lo, F.lit(REMOVED)).otherwise(F.lit(MODIFIED)).alias("change_type")
+        "node_id", F.when(_nearer(lo, hi), F.lit(REMOVED)).otherwise(F.lit(MODIFIED)).alias("change_type")
     )
 
 
@@ -30,8 +38,8 @@ def seeds_two(scores: DataFrame) -> list[float]:
     """The first two distinct scores in text-key order
     (``original_10`` sorts before ``original_2``). Top-2 of a per-score
     aggregate: the output is bounded by construction."""
-    firsts = scores.groupBy("score").agg(
-        F.min(match_key(F.lit(ORIGINAL), F.col("node_id"))).alias("first_key")
+    firsts = scores.groupBy(score_key("score")).agg(
+        F.min("score").alias("score"), F.min(match_key(F.lit(ORIGINAL), F.col("node_id"))).alias("first_key")
     )
     return [r["score"] for r in firsts.orderBy("first_key").limit(2).collect()]
 
@@ -41,14 +49,14 @@ def lloyd_two(scores: DataFrame) -> tuple[float, float] | None:
     per-score counts, so each round is one small aggregate."""
     hist = cut_lineage(scores.groupBy("score").agg(F.count(F.lit(1)).alias("n")))
     ext = hist.agg(F.min("score").alias("lo"), F.max("score").alias("hi")).first()
-    if ext["lo"] is None or ext["lo"] == ext["hi"]:
+    if ext["lo"] is None or ext["hi"] - ext["lo"] <= TIE * abs(ext["hi"]):  # one score, but for noise
         return None
     lo, hi = float(ext["lo"]), float(ext["hi"])
     seen = set()
     while (lo, hi) not in seen:  # ends at a fixed point (each round lowers the spread)
         seen.add((lo, hi))
         s = F.col("score")
-        low = score_key(F.abs(s - F.lit(lo))) < score_key(F.abs(s - F.lit(hi)))
+        low = _nearer(lo, hi)
         row = hist.agg(
             (F.sum(F.when(low, s * F.col("n"))) / F.sum(F.when(low, F.col("n")))).alias("lo"),
             (F.sum(F.when(~low, s * F.col("n"))) / F.sum(F.when(~low, F.col("n")))).alias("hi"),
@@ -64,7 +72,7 @@ def split_scores(scores: DataFrame, method: str = "two_means") -> DataFrame:
     ``two_seeds``: a threshold midway between the first two distinct scores
     in text-key order, which is what the original code computes.
     One distinct score -> all Modified; no rows -> no rows."""
-    scores = scores.select("node_id", score_key("score").alias("score"))
+    scores = scores.select("node_id", "score")
     if method == "two_means":
         centroids = lloyd_two(scores)
     elif method == "two_seeds":

@@ -29,7 +29,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapdiff.functions.exprs import ORIGINAL, PERTURBED, score_key
+from snapdiff.functions.exprs import ORIGINAL, PERTURBED, score_key, score_shown
 from snapdiff.operators.graph import active_nodes, undirected
 from snapdiff.operators.skew import hot_keys, salted_join
 from snapdiff.session import cut_lineage, in_parallel
@@ -331,7 +331,7 @@ def _best_per_node(pairs: DataFrame, node: str, other: str, depth: int) -> DataF
         F.max(F.struct(key.alias("s"), (-F.col(other)).alias("neg"))).alias("m")
     )
     return best.select(
-        F.col(node).alias("node_id"), (-F.col("m.neg")).alias("match_id"), F.col("m.s").alias("score")
+        F.col(node).alias("node_id"), (-F.col("m.neg")).alias("match_id"), score_shown(F.col("m.s")).alias("score")
     )
 
 
