@@ -41,9 +41,10 @@ def test_against_brute_force(spark, tmp_path):
     kept = [(i, t, s) for i, t, _, s, _ in docs if t and any(c.isalpha() for c in t)]
     kept = [(i, t, s) for i, t, s, _, _ in test_lines.brute(kept, 0.05, 5)]
     component = test_near.brute([(i, t) for i, t, _ in kept])
+    before = len(kept)
     kept = [(i, t) for i, t, _ in kept if component[i] == i]
     bad = {r[0] for r in test_decontam.brute(kept, items) if r[4]}
-    assert bad and len(kept) < 160
+    assert bad and len(kept) <= before - 20  # the fixture has copies and hits
     want = []
     for i, t in kept:
         if i not in bad:
