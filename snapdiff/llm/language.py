@@ -118,12 +118,15 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text: str = "text", lang:
     The sample is ``per_language`` documents of each language, the least by a
     hash of the id, and ``TRAIN_WINDOWS`` windows of each, evenly spaced; this
     is all that reaches the driver. Rows with null text or language are left
-    out. Language counts thin the rows before they are ranked, so no language
+    out. Language counts thin the rows where they are read, so no language
     brings more than about twice ``per_language`` rows to one task.
     """
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     rows = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & (F.length("text") > 0))
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()  # a row for each language
+    if not counts:
+        return None
+    size = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], r["n"])])
     draw = F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     long = F.octet_length("text")
     windows = F.transform(
@@ -132,7 +135,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text: str = "text", lang:
                               F.lit(1) + F.floor(i * F.greatest(long - WINDOW, F.lit(0)) / max(1, TRAIN_WINDOWS - 1)).cast("int"),
                               F.lit(WINDOW)),
     )
-    thin = rows.withColumn("draw", draw).join(counts, "lang").where(F.col("draw") * F.col("n") < 2 * per_language + 20)
+    thin = rows.withColumn("draw", draw).where(F.col("draw") * size[F.col("lang")] < 2 * per_language + 20)
     thin = thin.select("lang", "draw", "id", windows.alias("windows"))
     by_lang = Window.partitionBy("lang").orderBy("draw", "id", "windows")
     sample = (thin.withColumn("rank", F.row_number().over(by_lang)).where(F.col("rank") <= per_language)
