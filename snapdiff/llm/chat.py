@@ -78,10 +78,12 @@ def reply_paths(messages: DataFrame) -> DataFrame:
     while not state.where(F.col("jump").isNotNull()).isEmpty():
         other = state.select(F.col("tree").alias("ot"), F.col("message").alias("om"), F.col("jump").alias("oj"),
                              F.col("steps").alias("os"), F.col("head").alias("oh"))
-        joined = state.join(other, F.col("tree").eqNullSafe(F.col("ot")) & (F.col("jump") == F.col("om")), "left")
-        state = cut_lineage(joined.select(
+        # only messages that have not reached the head of their run take part
+        moving = state.where(F.col("jump").isNotNull())
+        moved = moving.join(other, F.col("tree").eqNullSafe(F.col("ot")) & (F.col("jump") == F.col("om")), "left").select(
             "tree", "message", "parent", "leaf", F.col("oj").alias("jump"),
-            (F.col("steps") + F.coalesce("os", F.lit(0))).alias("steps"), F.coalesce("oh", "head").alias("head")))
+            (F.col("steps") + F.coalesce("os", F.lit(0))).alias("steps"), F.coalesce("oh", "head").alias("head"))
+        state = cut_lineage(state.where(F.col("jump").isNull()).unionByName(moved))
     # runs: head, the message above it, and the run's members by their distance from the head
     members = state.select("tree", "head", "message", "steps")
     heads = state.where(F.col("message") == F.col("head")).select(
