@@ -24,6 +24,12 @@ REGISTERS = 1 << BUCKET_BITS
 BANDS, ROWS = 36, 4
 #: A pair is checked unless its estimate lies so many deviations below the threshold.
 MARGIN = 4.5
+#: A hub whose estimate exceeds the threshold by this much is preferred by id.
+SAFE = 0.08
+#: Rounds in which linked nodes look for a common leader.
+LEADER_ROUNDS = 2
+#: A block with more plausible pairs than this for each member is compared by exact intersections.
+DENSE = 4
 #: Members of a bucket compared at once (larger buckets go by pairs of blocks).
 BLOCK = 256
 EMPTY = 0xFFFF
@@ -115,11 +121,12 @@ def estimate(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarra
     return np.clip((equal - chance) / used, 0, 1), used
 
 
-def _plausible(a, b, size_a, size_b, percent: int) -> np.ndarray:
+def _plausible(a, b, size_a, size_b, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The estimates, and whether sizes and estimate leave the threshold possible."""
     guess, used = estimate(a, b, size_a, size_b)
     t = percent / 100
     sized = 100 * np.minimum(size_a, size_b) >= percent * np.maximum(size_a, size_b)
-    return sized & (guess >= t - MARGIN * np.sqrt(t * (1 - t) / used) - 2 / used)
+    return guess, sized & (guess >= t - MARGIN * np.sqrt(t * (1 - t) / used) - 2 / used)
 
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -203,16 +210,18 @@ def _likely(pairs: DataFrame, regs: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, REGISTERS) for i in (2, 3))
             na, nb = (batch.column(i).to_numpy(zero_copy_only=False).astype(float) for i in (4, 5))
-            guess = estimate(x, y, na, nb)[0]
+            guess, good = _plausible(x, y, na, nb, percent)
             out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(guess)], names=["a", "b", "guess"])
-            yield out.filter(pa.array(_plausible(x, y, na, nb, percent)))
+            yield out.filter(pa.array(good))
 
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "ra", "rb", "na", "nb")
     return both.mapInArrow(run, f"a {kind}, b {kind}, guess double")
 
 
 def _across(members: DataFrame, percent: int) -> DataFrame:
-    """Plausible pairs of different components inside a bucket.
+    """Plausible pairs of different components inside a bucket. Where a block has more than ``DENSE`` plausible
+    pairs for each member it has, they are not listed: each member comes once, as a
+    pair (its bucket's least member, itself) with ``dense`` set.
 
     ``members``: ``key, i, j, block, node, component, n_shingles, registers``,
     one row for each pair of blocks (i, j) that the member's block is in.
@@ -230,6 +239,7 @@ def _across(members: DataFrame, percent: int) -> DataFrame:
         regs = np.frombuffer(b"".join(r[7] for r in right), np.uint16).reshape(-1, REGISTERS)
         comp = np.array([r[5] for r in right])
         size = np.array([r[6] for r in right], float)
+        pairs = []
         for at, r in enumerate(left):
             other = comp != r[5]
             if i == j:
@@ -237,9 +247,13 @@ def _across(members: DataFrame, percent: int) -> DataFrame:
             pick = np.flatnonzero(other)
             if len(pick):
                 mine = np.frombuffer(r[7], np.uint16)[None]
-                good = _plausible(mine, regs[pick], np.full(len(pick), float(r[6])), size[pick], percent)
-                for k in pick[good]:
-                    yield min(r[4], right[k][4]), max(r[4], right[k][4])
+                good = _plausible(mine, regs[pick], np.full(len(pick), float(r[6])), size[pick], percent)[1]
+                pairs += [(min(r[4], right[k][4]), max(r[4], right[k][4]), False) for k in pick[good]]
+        nodes = {r[4] for r in rows}
+        if len(pairs) > DENSE * len(nodes):
+            least = min(nodes)
+            pairs = [(least, n, True) for n in nodes]
+        yield from pairs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -248,8 +262,8 @@ def _across(members: DataFrame, percent: int) -> DataFrame:
         def out() -> pa.RecordBatch:
             pairs = list(found)
             found.clear()
-            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())],
-                                              names=["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64()),
+                                               pa.array([p[2] for p in pairs], pa.bool_())], names=["a", "b", "dense"])
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
@@ -265,7 +279,93 @@ def _across(members: DataFrame, percent: int) -> DataFrame:
 
     keyed = members.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     return keyed.select("key", "i", "j", "block", "node", "component", "n_shingles", "registers").mapInArrow(
-        run, f"a {kind}, b {kind}").distinct()
+        run, f"a {kind}, b {kind}, dense boolean").distinct()
+
+
+def _dense_links(dense: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links inside groups of many plausible pairs, by exact intersections in blocks.
+
+    ``dense``: pairs whose chains name the groups. A group's members are cut into
+    blocks; each pair of blocks is one small matrix product over the shingles
+    that its members share, and yields links that span what it connects. No
+    pair is listed that is not a link.
+    """
+    group = cut_lineage(connected_components(dense.select(F.col("a").alias("src"), F.col("b").alias("dst"))))
+    size = group.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    spread = group.join(cut_lineage(size), "component").withColumn("block", F.pmod(F.xxhash64("node_id"), F.col("blocks")).cast("int"))
+    spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)))
+    spread = spread.select("component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                           "block", F.col("node_id").alias("node"))
+    kind = spread.schema["node"].dataType.simpleString()
+
+    def linked(rows: list[tuple]) -> list[tuple]:
+        i, j = rows[0][1], rows[0][2]
+        own = [np.frombuffer(r[5], np.uint64) for r in rows]
+        size = np.array([len(x) for x in own])
+        of = np.repeat(np.arange(len(rows)), size)
+        number, count = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)[1:]
+        kept = np.flatnonzero(count > 1)
+        place = np.full(len(count), -1)
+        place[kept] = np.arange(len(kept))
+        same = np.zeros((len(rows), len(rows)), np.float32)
+        for lo in range(0, len(kept), 8192):  # a stretch of the shared shingles at a time
+            column = place[number]
+            here = (column >= lo) & (column < lo + 8192)
+            part = np.zeros((len(rows), min(8192, len(kept) - lo)), np.float32)
+            part[of[here], column[here] - lo] = 1
+            same += part @ part.T
+        met = 100 * same >= percent * (size[:, None] + size[None] - same)
+        parent = list(range(len(rows)))
+
+        def find(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        out = []
+        for x, y in zip(*(v.tolist() for v in np.nonzero(np.triu(met, 1)))):
+            if {rows[x][3], rows[y][3]} == {i, j} and find(x) != find(y):
+                parent[find(x)] = find(y)
+                out.append((rows[x][4], rows[y][4]))
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+
+        def out() -> pa.RecordBatch:
+            found = linked(held)
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())],
+                                              names=["a", "b"])
+
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if held and held[-1][:3] != row[:3]:
+                    yield out()
+                    held = []
+                held.append(row)
+        if held:
+            yield out()
+
+    keyed = spread.join(sets, "node").repartition("component", "i", "j").sortWithinPartitions("component", "i", "j")
+    return keyed.select("component", "i", "j", "block", "node", "shingles").mapInArrow(run, f"a {kind}, b {kind}")
+
+
+def _leaders(links: DataFrame) -> DataFrame:
+    """``node_id, component``: the least id that a few steps reach. Each round a node takes
+    the least leader among its neighbours', then its leader's leader. Nodes with
+    one leader are connected; connected nodes with different leaders only mean
+    more comparisons."""
+    both = cut_lineage(links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(
+        links.select(F.col("b").alias("u"), F.col("a").alias("v"))))
+    lead = both.groupBy("u").agg(F.min("v").alias("to")).select("u", F.least("u", "to").alias("to"))
+    for _ in range(LEADER_ROUNDS):
+        of = lead.select(F.col("u").alias("x"), F.col("to").alias("y"))
+        near = both.join(of, F.col("v") == F.col("x")).groupBy("u").agg(F.min("y").alias("to"))
+        near = cut_lineage(near.select("u", F.least("u", "to").alias("to")))
+        of = near.select(F.col("u").alias("x"), F.col("to").alias("y"))
+        lead = near.join(of, F.col("to") == F.col("x")).select("u", F.col("y").alias("to"))
+    return lead.select(F.col("u").alias("node_id"), F.col("to").alias("component"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = SIMILARITY) -> DataFrame:
@@ -281,9 +381,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     1. Equal sets fold into one node (partial aggregation, any number of copies).
     2. Nodes that share a band key are a bucket. Each member is paired with one
        hub of its bucket (another in each band); pairs that the estimate allows
-       are checked on full sets, the likeliest of each node first.
+       are checked on full sets, three hubs for each node first.
     3. Buckets that still span several components are compared across
-       components, in blocks, on sketches; plausible pairs are checked on full sets.
+       components, in blocks, on sketches, and plausible pairs are checked on full
+       sets. Where most pairs of a block are plausible (a large group near the
+       threshold), none is listed: its members are compared exactly, in blocks.
     """
     rows = cut_lineage(sketches(docs, id_col, text))
     known = rows.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
@@ -310,38 +412,43 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     shared = cut_lineage(banded.join(cut_lineage(hubs), "key"))
     star = shared.where(F.col("node") != F.col("hub")).select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     likely = cut_lineage(_likely(star, regs, percent))
-    best = likely.groupBy("a").agg(F.max(F.struct("guess", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
-
-    def components(links: DataFrame) -> DataFrame:
-        pairs = links.select(F.col("a").alias("src"), F.col("b").alias("dst"))
-        return cut_lineage(connected_components(pairs))
-
+    # three hubs for each node: the least id among those that look safe and among those
+    # that look linked (so that few hubs gather a group), and the likeliest
+    t = percent / 100
+    best = likely.groupBy("a").agg(
+        F.array_distinct(F.array_compact(F.array(
+            F.min(F.when(F.col("guess") >= t + SAFE, F.col("b"))), F.min(F.when(F.col("guess") >= t, F.col("b"))),
+            F.max_by("b", "guess")))).alias("hubs"))
+    tested = best.select("a", F.explode("hubs").alias("b"))
     ends = likely.select(F.col("a").alias("node")).union(likely.select(F.col("b").alias("node"))).distinct()
     sets = cut_lineage(_full_sets(docs, ends, id_col, text))
-    links = cut_lineage(_confirm(best, sets, percent))
-    group = components(links)
+    links = cut_lineage(_confirm(tested, sets, percent).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    tested = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     # what is left: buckets whose members lie in several components
-    labelled = shared.join(group.select(F.col("node_id").alias("node"), "component"), "node", "left").select(
-        "key", "node", F.coalesce("component", "node").alias("component"))
-    labelled = cut_lineage(labelled.distinct())
+    labelled = shared.select("key", "node").distinct().join(_leaders(links), F.col("node") == F.col("node_id"), "left")
+    labelled = cut_lineage(labelled.select("key", "node", F.coalesce("component", "node").alias("component")))
     mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"),
                                         F.count(F.lit(1)).alias("members"))
-    mixed = cut_lineage(mixed.where(F.col("low") != F.col("high")).select("key", F.ceil(F.col("members") / BLOCK).alias("blocks")))
-    spread = labelled.join(mixed, "key").withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    mixed = mixed.where(F.col("low") != F.col("high")).select("key", F.ceil(F.col("members") / BLOCK).alias("blocks"))
+    spread = labelled.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)))
     spread = spread.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
                            "block", "node", "component")
-    rest = _across(spread.join(regs, "node"), percent)
-    tested = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = cut_lineage(rest.join(tested, ["a", "b"], "left_anti"))
+    rest = cut_lineage(_across(spread.join(regs, "node"), percent))
+    listed = rest.where(~F.col("dense")).select("a", "b").join(tested, ["a", "b"], "left_anti")
+    dense = rest.where("dense").select("a", "b")
+    # every plausible pair of a star is in ``likely``; other pairs may need sets that are not there yet
     more = rest.select(F.col("a").alias("node")).union(rest.select(F.col("b").alias("node"))).distinct()
-    more = more.join(ends, "node", "left_anti")
-    sets = sets.union(_full_sets(docs, more, id_col, text))
-    links = links.select("a", "b").union(_confirm(rest, sets, percent))
+    more = cut_lineage(more.join(ends, "node", "left_anti"))
+    if not more.isEmpty():
+        sets = sets.union(cut_lineage(_full_sets(docs, more, id_col, text)))
+    links = links.union(_confirm(listed, sets, percent))
+    if not dense.isEmpty():
+        links = links.union(_dense_links(dense, sets, percent))
+    links = cut_lineage(links)
     links = links.union(folded.select(F.col("doc_id").alias("a"), F.col("node").alias("b")))
-    group = components(links)
+    group = connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
     return (
         rows.select("doc_id", "n_shingles")
         .join(group.select(F.col("node_id").alias("doc_id"), "component"), "doc_id", "left")

@@ -111,3 +111,13 @@ def test_estimate_is_close():
     regs = near.sketch(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]))
     guess = near.estimate(regs[:1], regs[1:], np.array([float(len(a))]), np.array([float(len(b))]))[0][0]
     assert guess == pytest.approx(len(np.intersect1d(a, b)) / len(np.union1d(a, b)), abs=0.12)
+
+
+def test_dense_group_near_the_threshold(spark):
+    """Variants whose similarities scatter around 0.75: some linked, some not, nearly all plausible."""
+    rng = random.Random(21)
+    base = [f"w{rng.randrange(5000)}" for _ in range(140)]
+    rows = [(1000 - i, mutated(rng, base, rng.choice([0.012, 0.018, 0.024]))) for i in range(70)]
+    want = brute(rows)
+    assert 2 < len(set(want.values())) < 70
+    check(spark, rows)
