@@ -31,8 +31,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the boilerplate lines of their source; ``n_chars`` follows the text."""
-    cut = lines.dedup_lines(docs)
+    """Texts without the boilerplate lines of their source; ``n_chars`` follows the text.
+
+    Exact copies count as one page: a document repeated in its source is not
+    boilerplate, and the next stage keeps one of its copies."""
+    cut = lines.dedup_lines(docs, copies_once=True)
     return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
