@@ -21,10 +21,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents with an identified language: those that get ``und`` (null or
     without a letter) are rejected. The network learns from the labelled rows
     of this stage's input whose crc32(doc_id) mod 3 is not 1; without any such
-    row nothing can be told, and all documents stay."""
+    row no language can be told, and all documents with a letter stay."""
     net = language.train(docs.where(crc_mod("doc_id", 3) != 1))
     if net is None:
-        return docs
+        return language.with_letters(docs)
     lang, score = free_names(docs, "_lang_pred", "_lang_score")
     found = language.predict(docs, net, out=(lang, score))
     return found.where(F.col(lang) != language.UNKNOWN).select(*docs.columns)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +22,7 @@ TRAIN_DOCS = 1000
 TRAIN_WINDOWS = 3
 EPOCHS = 4
 UNKNOWN = "und"
+_ASCII_LETTER = re.compile(rb"[A-Za-z]").search
 #: Windows convolved at once.
 BLOCK = 256
 
@@ -155,6 +157,25 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text: str = "text", lang:
     return net
 
 
+def has_letter(text: bytes | None) -> bool:
+    """Whether a text has a letter of any script."""
+    return text is not None and (_ASCII_LETTER(text) is not None or any(map(str.isalpha, text.decode("utf-8", "replace"))))
+
+
+def with_letters(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text has a letter: those :func:`predict` can tell a language of."""
+    (body,) = free_names(docs, "_text_bytes")
+    columns = docs.columns
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = pa.array([has_letter(t) for t in batch.column(len(columns)).to_pylist()], pa.bool_())
+            yield pa.RecordBatch.from_arrays(batch.columns[: len(columns)], names=columns).filter(keep)
+
+    return docs.select(*[F.col(f"`{c}`") for c in columns], as_bytes(text).alias(body)).mapInArrow(run, schema)
+
+
 def predict(docs: DataFrame, net: ByteNet | None, text: str = "text",
             out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """``docs`` with the predicted language of the whole text and its mean probability.
@@ -164,11 +185,8 @@ def predict(docs: DataFrame, net: ByteNet | None, text: str = "text",
     is read; rows and their order inside partitions are kept. The two new
     names must be free in ``docs``.
     """
-    import re
-
     (body,) = free_names(docs, "_text_bytes")
     columns = docs.columns
-    letter = re.compile(rb"[A-Za-z]").search
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     names = [*columns, *out]
 
@@ -183,7 +201,7 @@ def predict(docs: DataFrame, net: ByteNet | None, text: str = "text",
                     continue
                 p = net.probabilities(held)
                 for t, k, s in zip(held, p.argmax(axis=1).tolist(), p.max(axis=1).tolist()):
-                    known = bool(letter(t)) or any(map(str.isalpha, t.decode("utf-8", "replace")))
+                    known = has_letter(t)
                     lang.append(net.languages[k] if known else UNKNOWN)
                     score.append(min(1.0, s) if known else 0.0)
             yield pa.RecordBatch.from_arrays(
