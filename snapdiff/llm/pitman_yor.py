@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapdiff.llm.chunks import by_bucket, by_chunk, dealt, gathered, texts_of, write_chunks
-from snapdiff.llm.text import SPACED, Words, mix
+from snapdiff.llm.text import _BASE, SPACED, Words, mix
 from snapdiff.session import cut_lineage, scratch_path
 
 #: Bytes of context of the deepest restaurants.
@@ -18,8 +18,11 @@ ORDER = 4
 #: Discount and strength of the restaurants of each order, root first.
 DISCOUNT = (0.3, 0.4, 0.5, 0.6, 0.6)
 STRENGTH = (1.0, 1.0, 1.0, 1.0, 1.0)
-#: Strength of the restaurant of words (its discount is estimated).
+#: Strength of the restaurant of words and of those after a previous word (their discounts are estimated).
 WORD_STRENGTH = 1.0
+PAIR_STRENGTH = 1.0
+#: A context with more than this share of a bucket's tokens is dealt over all buckets.
+HOT_SHARE = 4
 #: Rounds between the contexts of two bytes or more and the shorter ones, sweeps of a
 #: round, and sweeps whose predictions are averaged.
 ROUNDS, SWEEPS, SAMPLES = 3, 3, 5
@@ -263,6 +266,71 @@ def _known(words: np.ndarray, answers: list[dict], n: int) -> tuple[np.ndarray,
     return told >> 1, (told & 1).astype(bool)
 
 
+def token_pairs(token: np.ndarray, ptr: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct tokens, each token's number among them, then the distinct (previous, token)
+    pairs as numbers in that order, and each token's pair. A text's first token
+    follows the end token."""
+    distinct, number = np.unique(token, return_inverse=True)
+    before = np.empty_like(number)
+    before[1:] = number[:-1]
+    before[ptr[:-1]] = np.searchsorted(distinct, END_TOKEN)
+    code, pair = np.unique(before * len(distinct) + number, return_inverse=True)
+    return distinct, number, code // len(distinct), code % len(distinct), pair
+
+
+def pair_buckets(previous: np.ndarray, token: np.ndarray, seen: np.ndarray, train_tokens: int, n: int) -> np.ndarray:
+    """Bucket of each pair: its context's, or its own if the context is hot (``seen``: the
+    context's customers), so that a frequent word's followers meet in no single task."""
+    hot = is_hot(seen, train_tokens, n)
+    return np.where(hot, _bucket(previous * np.uint64(_BASE) + token, n), _bucket(previous, n))
+
+
+def is_hot(seen: np.ndarray, train_tokens: int, n: int) -> np.ndarray:
+    return seen * n > HOT_SHARE * train_tokens
+
+
+def pair_sweeps(previous: np.ndarray, customers: np.ndarray, parent: np.ndarray, spread: np.ndarray,
+                seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Gibbs sweeps over the restaurants of some contexts, each with all its pairs here or
+    (hot) with one in ``spread``. Returns what the customers of each pair keep and what
+    they leave to the parent (averaged over the last sweeps), and the pair's
+    tables of the last sweep, which are customers of the parent.
+
+    The discount is estimated from the pairs here; a context adds up what its
+    pairs leave, so its probabilities sum to one also where buckets differ.
+    """
+    rng = np.random.Generator(np.random.PCG64(seed))
+    once, twice = int((customers == 1).sum()), int((customers == 2).sum())
+    discount = min(0.95, max(0.05, once / max(1, once + 2 * twice)))
+    _, room = np.unique(previous, return_inverse=True)
+    tables = (customers > 0).astype(np.int64)
+    mean = np.zeros(len(customers))
+    for turn in range(SWEEPS + SAMPLES):
+        others = np.bincount(room, tables)[room] * spread - tables if len(room) else tables
+        tables = seat(customers, parent, others, PAIR_STRENGTH, discount, lambda live, _: 1 - rng.random(len(live)))
+        if turn >= SWEEPS:
+            mean += tables / SAMPLES
+    return np.maximum(customers - discount * mean, 0), discount * mean, tables
+
+
+def _packed(previous: np.ndarray, *rest: np.ndarray) -> bytes:
+    """Pairs in the order of their contexts as one compressed blob."""
+    first = np.flatnonzero(np.concatenate([[True], previous[1:] != previous[:-1]]))
+    size = np.diff(np.append(first, len(previous)))
+    head = np.array([len(first), len(previous)], np.int64)
+    blob = b"".join([previous[first].tobytes(), size.astype(np.int32).tobytes(), *(x.tobytes() for x in rest)])
+    return head.tobytes() + pa.Codec("zstd").compress(blob, asbytes=True)
+
+
+def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts, the pairs of each, and the pairs' tokens (64 bits), counts and parent probabilities."""
+    contexts, pairs = np.frombuffer(blob[:16], np.int64).tolist()
+    data = pa.Codec("zstd").decompress(blob[16:], 12 * contexts + 16 * pairs, asbytes=True)
+    at = np.cumsum([0, 8 * contexts, 4 * contexts, 8 * pairs, 4 * pairs]).tolist()
+    kinds, sizes = (np.uint64, np.int32, np.uint64, np.int32, np.float32), (contexts, contexts, pairs, pairs, pairs)
+    return tuple(np.frombuffer(data, k, m, a) for k, m, a in zip(kinds, sizes, at))
+
+
 def word_tables(count: np.ndarray, base: np.ndarray, tables: float, discount: float) -> np.ndarray:
     """Mean tables of each word in the restaurant of words, given the tables of the sweep
     before, over seatings whose chance follows from the word's own count and
@@ -330,8 +398,10 @@ def score_texts(docs: DataFrame, training: Column, id_col: str = "doc_id", text:
     end token. ``base_score`` is the add-one unigram log10 probability of the
     tokens (c + 1 over train tokens + distinct + 1), ``n_known`` the tokens with
     c > 0. ``score`` is the log10 probability that the model gives to the same
-    token sequence. The model's tokens sit in a Pitman-Yor restaurant of words
-    whose parent is a hierarchy of restaurants for the bytes that spell a word,
+    token sequence. A token sits in the Pitman-Yor restaurant of the token before
+    it (the end token before a text's first), learned from the running training
+    texts. All these share as parent a restaurant of words, whose customers are
+    their tables; its parent is a hierarchy of restaurants for the bytes that spell a word,
     each context of k bytes sharing the parent of its last k - 1 bytes. Like
     the unigrams, the model speaks of the known words and one class of unknown
     ones, whose probability is what the spelling leaves to unseen words. Null texts are empty (their end token is
@@ -342,7 +412,9 @@ def score_texts(docs: DataFrame, training: Column, id_col: str = "doc_id", text:
     their words and counts to buckets and are told the totals; the contexts of
     the spellings are counted over all known words and fitted; the chunks then
     ask the buckets that hold the fitted contexts, so neither vocabulary nor
-    model is ever whole in one place.
+    model is ever whole in one place. Pairs of tokens are counted in their chunk
+    and go to the bucket of their context, where they are seated given the
+    restaurant of words as counted; their tables then seat that restaurant anew.
     """
     spark = docs.sparkSession
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -425,43 +497,170 @@ def score_texts(docs: DataFrame, training: Column, id_col: str = "doc_id", text:
     based = spark.read.parquet(path)
     spelled_known = float(based.agg(F.sum("spelled")).first()[0] or 0)
 
-    def seated(tables: float):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                total = 0.0
-                for told, base in zip(*(c.to_pylist() for c in batch.columns)):
-                    told, base = np.frombuffer(told, np.int64), np.frombuffer(base, np.float32)
-                    own = (told & 1) == 1
-                    total += float(word_tables(told[own] >> 1, base[own], tables, discount).sum())
-                yield pa.RecordBatch.from_arrays([pa.array([total])], names=["tables"])
-
-        return float(based.select("known_counts", "base").mapInArrow(run, "tables double").agg(F.sum("tables")).first()[0] or 0)
-
-    # each sweep reseats every word given the tables of the sweep before
-    before, tables = float(types), seated(float(types))
-    for _ in range(SWEEPS - 1):
-        before, tables = tables, seated(tables)
+    def restaurant(table: DataFrame, start: int, discount: float) -> tuple[float, float]:
+        """Tables of the restaurant of words, of the last sweep but one and of the last."""
+        def seated(tables: float) -> float:
+            def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    total = 0.0
+                    for told, base in zip(*(c.to_pylist() for c in batch.columns)):
+                        told, base = np.frombuffer(told, np.int64), np.frombuffer(base, np.float32)
+                        own = (told & 1) == 1
+                        total += float(word_tables(told[own] >> 1, base[own], tables, discount).sum())
+                    yield pa.RecordBatch.from_arrays([pa.array([total])], names=["tables"])
+
+            return float(table.select("known_counts", "base").mapInArrow(run, "tables double").agg(F.sum("tables")).first()[0] or 0)
+
+        # each sweep reseats every word given the tables of the sweep before
+        before, tables = float(start), seated(float(start))
+        for _ in range(SWEEPS - 1):
+            before, tables = tables, seated(tables)
+        return before, tables
+
+    def predicted(customers: np.ndarray, base: np.ndarray, before: float, unseen: float, guests: int, discount: float) -> np.ndarray:
+        own = np.maximum(customers - discount * word_tables(customers, base, before, discount), 0)
+        return own / (WORD_STRENGTH + guests) + unseen * base.astype(np.float64)
+
+    before, tables = restaurant(based, types, discount)
     unseen = (WORD_STRENGTH + discount * tables) / (WORD_STRENGTH + train_tokens)  # chance of a new table
-    unknown = np.log10(unseen * max(1 - spelled_known, 1e-12))
+
+    # the restaurants after a previous word, given the words as counted
+    def ask_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, flags, sizes, data, count, base in zip(*(c.to_pylist() for c in batch.columns)):
+                token, ptr, _, _ = tokens(texts_of(sizes, data))
+                distinct, _, first, second, pair = token_pairs(token, ptr)
+                count, base = np.frombuffer(count, np.int64) >> 1, np.frombuffer(base, np.float32)
+                parent = predicted(count, base, before, unseen, train_tokens, discount).astype(np.float32)
+                learned = np.repeat(np.array(flags, bool), np.diff(ptr))
+                times = np.bincount(pair, learned, len(first)).astype(np.int32)
+                place = pair_buckets(distinct[first], distinct[second], count[first], train_tokens, n)
+                for b, r in dealt(place):
+                    hot = is_hot(count[np.unique(first[r])], train_tokens, n)
+                    yield _sent([(b, chunk, _packed(distinct[first[r]], distinct[second[r]], times[r], parent[second[r]]), hot.tobytes())])
+
+    def seat_pairs(rows: list[tuple]) -> Iterator[tuple[int, bytes]]:
+        asked = [_unpacked(r[2]) for r in rows]
+        previous = np.concatenate([np.repeat(a[0], a[1]) for a in asked])
+        token = np.concatenate([a[2] for a in asked])
+        _, first, number = np.unique(mix(previous * np.uint64(_BASE) + token), return_index=True, return_inverse=True)
+        customers = np.bincount(number, np.concatenate([a[3] for a in asked]), len(first)).astype(np.int64)
+        parent = np.concatenate([a[4] for a in asked])[first].astype(np.float64)
+        contexts, room = np.unique(previous[first], return_inverse=True)
+        hot = np.zeros(len(contexts), bool)
+        for r, a in zip(rows, asked):
+            hot[np.searchsorted(contexts, a[0])] = np.frombuffer(r[3], bool)
+        keep, left, sent = pair_sweeps(previous[first], customers, parent, np.where(hot, n, 1)[room], rows[0][0])
+        reserve = np.bincount(room, left, len(contexts))
+        at = 0
+        for r, a in zip(rows, asked):
+            own = keep[number[at : at + len(a[2])]].astype(np.float32)
+            at += len(a[2])
+            blob = reserve[np.searchsorted(contexts, a[0])].tobytes() + own.tobytes()
+            yield r[1], np.array([len(a[0]), len(own)], np.int64).tobytes() + pa.Codec("zstd").compress(blob, asbytes=True)
+        words, at_word = np.unique(token[first], return_inverse=True)
+        served = np.bincount(at_word, sent, len(words)).astype(np.int64)
+        yield -1, np.array([(served > 0).sum()], np.int64).tobytes() + words[served > 0].tobytes() + served[served > 0].tobytes()
+        yield -2, contexts[hot].tobytes() + reserve[hot].tobytes()
+
+    def hot_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for answer in batch.column(0).to_pylist():
+                half = len(answer) // 16
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.frombuffer(answer, np.int64, half)), pa.array(np.frombuffer(answer, np.float64, half, 8 * half))], names=["word", "left"])
+
+    told = chunks.join(based.select("chunk", "known_counts", "base"), "chunk")
+    asked = told.select("chunk", "flags", "sizes", "data", "known_counts", "base").mapInArrow(ask_pairs, request)
+    path = scratch_path(spark, "pairs")
+    by_bucket(asked, columns, seat_pairs).write.option("compression", "none").parquet(path)
+    paired = spark.read.parquet(path)
+    # contexts with so large a share: fewer than there are buckets
+    found = paired.where(F.col("chunk") == -2).select("answer").mapInArrow(hot_rows, "word long, left double")
+    found = sorted((r["word"] % (1 << 64), r["left"]) for r in found.groupBy("word").agg(F.sum("left").alias("left")).collect())
+    hot_words, hot_left = np.array([w for w, _ in found], np.uint64), np.array([x for _, x in found])
+
+    # the restaurant of words again: its customers are the tables of the pairs
+    def offer_tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for answer in batch.column(0).to_pylist():
+                size = int(np.frombuffer(answer[:8], np.int64)[0])
+                words, sent = np.frombuffer(answer, np.uint64, size, 8), np.frombuffer(answer, np.int64, size, 8 + 8 * size)
+                yield _sent([(b, -1, words[r].tobytes(), sent[r].tobytes()) for b, r in dealt(_bucket(words, n))])
+
+    served = paired.where(F.col("chunk") == -1).select("answer").mapInArrow(offer_tables, request)
+    nothing = np.int64(0).tobytes()
+
+    def ask_tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, words in zip(*(c.to_pylist() for c in batch.columns)):
+                words = np.frombuffer(words, np.uint64)
+                yield _sent([(b, chunk, words[r].tobytes(), nothing * len(r)) for b, r in dealt(_bucket(words, n))])
+
+    def count_tables(rows: list[tuple]) -> Iterator[tuple[int, bytes]]:
+        keys = [np.frombuffer(r[2], np.uint64) for r in rows]
+        distinct, number = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.bincount(number, np.concatenate([np.frombuffer(r[3], np.int64) for r in rows]), len(distinct)).astype(np.int64)
+        at = 0
+        for r, k in zip(rows, keys):
+            if r[1] >= 0:
+                yield r[1], total[number[at : at + len(k)]].tobytes()
+            at += len(k)
+        yield -1, np.array([total.sum(), (total == 1).sum(), (total == 2).sum()], np.int64).tobytes()
+
+    wanted = vocabulary.select("chunk", "words").mapInArrow(ask_tables, request).union(served)
+    counted = cut_lineage(by_bucket(wanted, columns, count_tables))
+    sums = counted.where(F.col("chunk") == -1).select("answer").collect()  # three numbers for each bucket
+    guests, once, twice = np.sum([np.frombuffer(r["answer"], np.int64) for r in sums] or [[0] * 3], axis=0).tolist()
+    shared = min(0.95, max(0.05, once / max(1, once + 2 * twice)))
+
+    def customers_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, words, count, base, answers in zip(*(c.to_pylist() for c in batch.columns)):
+                own = np.frombuffer(count, np.int64) & 1
+                served = gathered(_bucket(np.frombuffer(words, np.uint64), n), answers, np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([chunk], pa.int64()), pa.array([count], pa.binary()), pa.array([(served << 1 | own).tobytes()], pa.binary()),
+                     pa.array([base], pa.binary())], names=["chunk", "counts", "known_counts", "base"])
+
+    joined = vocabulary.select("chunk", "words").join(based, "chunk").join(by_chunk(counted.where(F.col("chunk") >= 0)), "chunk")
+    path = scratch_path(spark, "served")
+    joined.select("chunk", "words", "known_counts", "base", "answers").mapInArrow(
+        customers_of, "chunk long, counts binary, known_counts binary, base binary").write.option("compression", "zstd").parquet(path)
+    served = spark.read.parquet(path)
+    last, tables = restaurant(served, types, shared)
+    rare = (WORD_STRENGTH + shared * tables) / (WORD_STRENGTH + guests)
+    unknown = rare * max(1 - spelled_known, 1e-12)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, flags, sizes, data, count, base in zip(*(c.to_pylist() for c in batch.columns)):
+            for ids, flags, sizes, data, count, customers, base, answers in zip(*(c.to_pylist() for c in batch.columns)):
                 token, ptr, _, _ = tokens(texts_of(sizes, data))
-                distinct, number = np.unique(token, return_inverse=True)
+                distinct, number, first, second, pair = token_pairs(token, ptr)
                 count, base = np.frombuffer(count, np.int64) >> 1, np.frombuffer(base, np.float32)
                 plain = np.log10((count + 1) / (train_tokens + types + 1))
-                own = np.maximum(count - discount * word_tables(count, base, before, discount), 0)
-                p = np.where(count > 0, np.log10(own / (WORD_STRENGTH + train_tokens) + unseen * base.astype(np.float64)), unknown)
+                shared_p = predicted(np.frombuffer(customers, np.int64) >> 1, base, last, rare, guests, shared)
+                shared_p = np.where(count > 0, shared_p, unknown)
+                keep, left = np.zeros(len(first)), np.zeros(len(distinct))
+                told = {a["bucket"]: a["answer"] for a in answers}
+                for b, r in dealt(pair_buckets(distinct[first], distinct[second], count[first], train_tokens, n)):
+                    contexts, pairs = np.frombuffer(told[b][:16], np.int64).tolist()
+                    blob = pa.Codec("zstd").decompress(told[b][16:], 8 * contexts + 4 * pairs, asbytes=True)
+                    left[np.unique(first[r])] = np.frombuffer(blob, np.float64, contexts)
+                    keep[r] = np.frombuffer(blob, np.float32, pairs, 8 * contexts)
+                before = np.unique(first)
+                hot = before[is_hot(count[before], train_tokens, n)]
+                left[hot] = hot_left[np.searchsorted(hot_words, distinct[hot])]
+                p = np.log10((keep + (PAIR_STRENGTH + left[first]) * shared_p[second]) / (PAIR_STRENGTH + count[first]))
                 seen = np.add.reduceat((count > 0).astype(np.int64)[number], ptr[:-1])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids, pa.int64()), pa.array(flags, pa.bool_()), pa.array(np.diff(ptr)), pa.array(seen),
                      pa.array(np.full(len(ids), train_tokens, np.int64)), pa.array(np.add.reduceat(plain[number], ptr[:-1])),
-                     pa.array(np.add.reduceat(p[number], ptr[:-1]))],
+                     pa.array(np.add.reduceat(p[pair], ptr[:-1]))],
                     names=["doc_id", "training", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    told = chunks.join(based.select("chunk", "known_counts", "base"), "chunk")
-    return told.select("ids", "flags", "sizes", "data", "known_counts", "base").mapInArrow(
+    told = chunks.join(served, "chunk").join(by_chunk(paired.where(F.col("chunk") >= 0)), "chunk")
+    return told.select("ids", "flags", "sizes", "data", "counts", "known_counts", "base", "answers").mapInArrow(
         score, "doc_id long, training boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
