@@ -76,11 +76,12 @@ def seat(customers: np.ndarray, parent: np.ndarray, others: np.ndarray, strength
     A customer opens a table with weight (strength + discount * tables) * parent
     probability and joins one with weight (seated - discount * the dish's
     tables); ``others`` are the tables of the restaurant's other dishes. The
-    first few are drawn singly; then the number that join before the next
+    first few and those likely to open are drawn singly; then the number that join before the next
     opening is drawn at once, from the ratio of gamma functions that this
     chance is, to first order. Where many openings are ahead, a twentieth of
-    the seated are seated at a time, with a normal number of openings, so the
-    steps grow with the log of a dish's customers. All dishes advance together.
+    the seated are seated at a time, with a binomial number of openings (normal
+    where it is large) of the chance that holds in the middle of the party, so
+    the steps grow with the log of a dish's customers. All dishes advance together.
     ``draw`` gives uniform numbers for the named dishes at a step.
     """
     tables = (customers > 0).astype(np.int64)
@@ -94,20 +95,21 @@ def seat(customers: np.ndarray, parent: np.ndarray, others: np.ndarray, strength
         room = seated - discount * t
         u = draw(live, step)
         step += 1
-        single = seated < 6
+        many = (seated >= 40) & (weight * np.log(total / seated) > 8)
+        single = (seated < 6) | (weight > room / 16)
         opens = u < weight / (room + weight)
         half = np.maximum((weight - 1) / 2, -0.5)
         with np.errstate(over="ignore", divide="ignore"):
             joined = np.floor(np.maximum(room + half, room / 2) * (np.exp(np.minimum(-np.log(u) / weight, 700)) - 1))
         arrival = np.where(single, seated + 1, seated + joined + 1)
         opened = np.where(single, opens, arrival <= total).astype(float)
-        many = (seated >= 40) & (weight * np.log(total / seated) > 8)
         if many.any():
             party = np.minimum(np.ceil(seated / 20), total - seated)[many]
+            ahead = (party - 1) / 2
             chance = (weight / (room + weight))[many]
-            odds = np.clip(u[many], 1e-12, 1 - 1e-12)
-            noise = np.log(odds / (1 - odds)) / 1.8138 * np.sqrt(party * chance * (1 - chance))  # logistic, unit variance
-            opened[many] = np.clip(np.rint(party * chance + noise), 0, party)
+            later = weight[many] + discount * ahead * chance * base[many]
+            chance = later / (room[many] + ahead * (1 - discount * chance) + later)
+            opened[many] = _binomial(u[many], party, chance)
             arrival[many] = seated[many] + party
         t += opened
         seated = np.minimum(arrival, total)
@@ -118,6 +120,29 @@ def seat(customers: np.ndarray, parent: np.ndarray, others: np.ndarray, strength
     return tables
 
 
+def _binomial(u: np.ndarray, size: np.ndarray, chance: np.ndarray) -> np.ndarray:
+    """Binomial numbers from uniform ones: by the distribution where the lesser side has a
+    mean of at most 12, else normal (logistic, of the same variance)."""
+    less = np.minimum(chance, 1 - chance)
+    odds = np.clip(u, 1e-12, 1 - 1e-12)
+    noise = np.log(odds / (1 - odds)) / 1.8138 * np.sqrt(size * less * (1 - less))
+    out = np.clip(np.rint(size * less + noise), 0, size)
+    few = np.flatnonzero(size * less <= 12)
+    if len(few):
+        n, c = size[few], less[few]
+        term = np.exp(n * np.log1p(-c))
+        reached, count = term.copy(), np.zeros(len(few))
+        for k in range(60):
+            more = odds[few] > reached
+            if not more.any():
+                break
+            count += more
+            term *= np.maximum(n - k, 0) / (k + 1) * c / (1 - c)
+            reached += term
+        out[few] = np.minimum(count, n)
+    return np.where(chance > 0.5, size - out, out)
+
+
 class Floor:
     """The restaurants of one order: their dishes, and where these stand one order below."""
 
