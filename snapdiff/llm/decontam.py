@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapdiff.llm.text import ALNUM, Words, as_bytes, free_names, mix, pieces
+from snapdiff.session import scratch_path
 
 #: Words of a window; an item with fewer words is one window of its own.
 WINDOW = 13
@@ -113,14 +114,14 @@ def build_patterns(items: list[tuple[str, bytes]]) -> tuple[list[str], list[Patt
     return names, [Patterns({k: sorted(v) for k, v in by_length[size].items()}, size) for size in sorted(by_length)]
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text: str) -> Iterator[list[tuple[str, bytes]]]:
+def _blocks(benchmark: DataFrame, item_col: str, text: str) -> tuple[int, Iterator[list[tuple[str, bytes]]]]:
+    """The number of blocks and the blocks, each read when it is asked for."""
     rows = benchmark.select(F.col(item_col).cast("string").alias("item"), as_bytes(text).alias("text"))
     rows = rows.where(F.col("text").isNotNull())
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     n = -(-total // BLOCK_BYTES)
     part = F.pmod(F.xxhash64("item", "text"), F.lit(max(n, 1)))
-    for k in range(n):
-        yield [(r["item"] if r["item"] is not None else "", bytes(r["text"])) for r in rows.where(part == k).collect()]
+    return n, ([(r["item"] if r["item"] is not None else "", bytes(r["text"])) for r in rows.where(part == k).collect()] for k in range(n))
 
 
 def find_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_col: str = "item_id",
@@ -135,22 +136,28 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text", it
     items count once; items with a null id go by the empty name. Both tables
     may be empty. The three new names must be free in ``docs``.
 
-    The benchmark is read in blocks of bounded size; each block's tables go to
-    the tasks, and each pass adds its hits to those of the passes before it.
+    The benchmark is read in blocks of bounded size, whose tables go to the
+    tasks. With several blocks, the documents are stored with row numbers, and
+    each pass writes its hits to the shared folder before the next block is
+    read: the driver and a task hold one block's tables at a time. The hits of
+    all passes are then joined to the rows and merged.
     """
     columns = docs.columns
-    (body,) = free_names(docs, "_text_bytes")
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    body, row = free_names(docs, "_text_bytes", "_row_number")
     n_words, spans, items = out
-    schema = f"{kept}, `{body}` binary, `{n_words}` long, `{spans}` array<long>, `{items}` array<string>"
-    names = [*columns, body, *out]
-    width = len(columns)
-    found = docs.select(*[F.col(f"`{c}`") for c in columns], as_bytes(text).alias(body),
-                        F.lit(0).cast("long").alias(n_words), F.array().cast("array<long>").alias(spans),
-                        F.array().cast("array<string>").alias(items))
-
-    def passed(block: list[tuple[str, bytes]]):
+    kept = [(f"`{f.name}`", f.dataType.simpleString()) for f in docs.schema.fields]
+
+    def started(rows: DataFrame, names: list[str]) -> DataFrame:
+        return rows.select(*[F.col(f"`{c}`") for c in names], as_bytes(text).alias(body), F.lit(0).cast("long").alias(n_words),
+                           F.array().cast("array<long>").alias(spans), F.array().cast("array<string>").alias(items))
+
+    def schema(fields: list[tuple[str, str]]) -> str:
+        return ", ".join(f"{k} {t}" for k, t in [*fields, (f"`{body}`", "binary"), (f"`{n_words}`", "long"),
+                                                 (f"`{spans}`", "array<long>"), (f"`{items}`", "array<string>")])
+
+    def passed(block: list[tuple[str, bytes]], first_columns: list[str]):
         labels, tables = build_patterns(block)
+        width, names = len(first_columns), [*first_columns, body, *out]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -162,8 +169,8 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text", it
                     edge = np.zeros(len(words.hash) + 1, np.int64)
                     mine: list[set[str]] = [set(x) for x in old_items[first : first + len(held)]]
                     for i, flat in enumerate(old_spans[first : first + len(held)]):
-                        edge[words.ptr[i] + np.array(flat[0::2], np.int64)] += 1
-                        edge[words.ptr[i] + np.array(flat[1::2], np.int64)] -= 1
+                        np.add.at(edge, words.ptr[i] + np.array(flat[0::2], np.int64), +1)
+                        np.add.at(edge, words.ptr[i] + np.array(flat[1::2], np.int64), -1)
                     for table in tables:
                         place, which = table.find(words)
                         np.add.at(edge, place, 1)
@@ -186,11 +193,24 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text", it
 
         return run
 
-    some = False
-    for block in _blocks(benchmark, item_col, item_text):
-        found, some = found.mapInArrow(passed(block), schema), True
-    if not some:
-        found = found.mapInArrow(passed([]), schema)
+    n, blocks = _blocks(benchmark, item_col, item_text)
+    if n <= 1:
+        found = started(docs, columns).mapInArrow(passed(next(blocks, []), columns), schema(kept))
+    else:
+        spark = docs.sparkSession
+        path = scratch_path(spark, "decontam-rows")
+        docs.withColumn(row, F.monotonically_increasing_id()).write.parquet(path)
+        stored = spark.read.parquet(path)
+        hits = []
+        for block in blocks:
+            found = started(stored, [row]).mapInArrow(passed(block, [row]), schema([(f"`{row}`", "long")]))
+            hits.append(scratch_path(spark, "decontam-hits"))
+            found.where(F.size(items) > 0).select(row, spans, items).write.parquet(hits[-1])
+        merged = spark.read.parquet(*hits).groupBy(row).agg(*[F.flatten(F.collect_list(c)).alias(c) for c in (spans, items)])
+        fresh = started(stored, [row, *columns]).drop(spans, items).join(merged, row, "left")
+        fresh = fresh.select(*[F.col(f"`{c}`") for c in columns], body, n_words,
+                             *[F.coalesce(F.col(c), F.array().cast(t)).alias(c) for c, t in ((spans, "array<long>"), (items, "array<string>"))])
+        found = fresh.mapInArrow(passed([], columns), schema(kept))  # merges the spans of a row
     pairs = F.transform(F.sequence(F.lit(0), F.size(spans) - 2, F.lit(2)),
                         lambda i: F.struct(F.get(spans, i).alias("start"), F.get(spans, i + 1).alias("end")))
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
