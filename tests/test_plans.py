@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from snapdiff.operators import similarity as S
-from snapdiff.plans.fixtures import snapshots
+from snapdiff.plans.fixtures import load_table, original_edges, original_nodes, perturbed_nodes, snapshots
 
 
 def plan(df) -> str:
@@ -12,11 +12,12 @@ def plan(df) -> str:
 
 
 def test_fixture_scans_are_pruned(spark):
-    snap = snapshots(spark, SF_SMALL, materialize=False)
-    p = plan(snap.edges_p)
-    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in p
-    assert "ReadSchema: struct<c_custkey:bigint>" in p or "struct<c_custkey:bigint,c_acctbal:double>" in p
-    assert "c_name" not in p and "o_totalprice" not in p
+    # the snapshots store the original edges, so the scans are looked at where they are made
+    edges = plan(original_edges(load_table(spark, SF_SMALL, "orders")))
+    nodes = plan(perturbed_nodes(original_nodes(load_table(spark, SF_SMALL, "customer"))))
+    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in edges
+    assert "ReadSchema: struct<c_custkey:bigint,c_acctbal:double>" in nodes
+    assert "o_totalprice" not in edges and "c_name" not in nodes
 
 
 def test_pair_levels_have_no_cross_join(spark):
