@@ -64,8 +64,8 @@ WITH RECURSIVE d AS (SELECT doc_id, {SPACED_WORDS.format('text')} AS ws FROM doc
 s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(ws, i, i + least(5, len(ws)) - 1), ' ') AS x
       FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - least(5, len(ws)) + 2)) AS i FROM d WHERE len(ws) > 0)),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-both AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS same FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
-link AS (SELECT a, b FROM both JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * same >= 75 * (p.n + q.n - same)),
+pair AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS same FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM pair JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * same >= 75 * (p.n + q.n - same)),
 reach AS (SELECT doc_id, doc_id AS c FROM d UNION SELECT l.b, r.c FROM reach r JOIN link l ON l.a = r.doc_id WHERE r.c < l.b)
 SELECT r.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.c) AS component_id, min(r.c) = r.doc_id AS kept
 FROM reach r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
