@@ -80,6 +80,29 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        sum(24 + length(replace({_escaped('role')}, chr(10), '&#10;')) + length({_escaped('text')}))::BIGINT AS formatted_chars
 FROM c GROUP BY conv_id
+""",
+    "op11_phrase_collocations": f"""
+WITH piece AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS ws FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS p
+    FROM documents)),
+total AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM piece GROUP BY lang),
+gram AS (SELECT lang, list_slice(ws, i, i + k - 1) AS g FROM (
+    SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM piece, range(1, 6) t(k) WHERE len(ws) >= k)),
+f AS (SELECT lang, g, count(*)::BIGINT AS c FROM gram GROUP BY lang, g HAVING count(*) >= 100),
+cand AS (SELECT * FROM f WHERE len(g) > 1),
+cut AS (SELECT lang, g, c, unnest(range(1, len(g))) AS k FROM cand),
+scored AS (
+  SELECT cut.lang, cut.g, cut.c AS a, k, x.c AS l, y.c AS r, n,
+         ((1000::HUGEINT * cut.c::HUGEINT * n::HUGEINT) // (x.c::HUGEINT * y.c::HUGEINT))::BIGINT AS score
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.g = list_slice(cut.g, 1, k)
+  JOIN f y ON y.lang = cut.lang AND y.g = list_slice(cut.g, k + 1, len(cut.g)) JOIN total ON total.lang = cut.lang),
+one AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+part AS (SELECT lang, list_slice(g, i, i + k - 1) AS g, max(c) AS around FROM (
+    SELECT lang, g, c, k, unnest(range(1, len(g) - k + 2)) AS i FROM cand, range(2, 5) t(k) WHERE len(g) > k) GROUP BY 1, 2),
+kept AS (SELECT one.* FROM one LEFT JOIN part USING (lang, g) WHERE coalesce(100 * around < 100 * a, true)),
+shown AS (SELECT *, array_to_string(g, ' ') AS phrase FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM shown) WHERE rank <= 2000
 """,
     "op5_line_dedup": """
 WITH l AS (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapdiff.llm import chat, decontam, language, licenses, lines, near, packing, pitman_yor, repetition, suffix
+from snapdiff.llm import chat, decontam, language, licenses, lines, near, packing, phrases, pitman_yor, repetition, suffix
 from snapdiff.llm.text import crc_mod
 
 
@@ -89,6 +89,10 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(formatted).withColumnRenamed("tree", "conv_id")
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_wu_manber_decontamination": op2_wu_manber_decontamination,
@@ -100,4 +104,5 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_repeated_bytes": op9_repeated_bytes,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_phrase_collocations": op11_phrase_collocations,
 }
