@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapdiff.llm import chat, decontam, language, licenses, lines, near, packing, phrases, pitman_yor, repetition, suffix
+from snapdiff.llm import chat, decontam, language, licenses, lines, near, negatives, packing, phrases, pitman_yor, repetition, suffix
 from snapdiff.llm.text import crc_mod
 
 
@@ -93,6 +93,12 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(_table(spark, sf_dir, "documents").select("text", "lang"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", label), F.col("row") % 100 == 0)
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_wu_manber_decontamination": op2_wu_manber_decontamination,
@@ -105,4 +111,5 @@ QUERIES = {
     "op9_repeated_bytes": op9_repeated_bytes,
     "op10_chat_formatting": op10_chat_formatting,
     "op11_phrase_collocations": op11_phrase_collocations,
+    "op13_hard_negatives": op13_hard_negatives,
 }
