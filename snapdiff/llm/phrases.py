@@ -9,9 +9,10 @@
 3. The parts of a candidate are looked up by composition: each range sends an
    acceptor of the parts that it needs, and its owner walks both automata at once.
 
-Words that cannot be frequent are left out first: hashed counts of words and of
-word pairs (fixed tables, whatever the corpus) bound every n-gram's count from above.
-A table that fills up prunes less; the result is the same.
+An n-gram is frequent only if its parts are. So words, then pairs of frequent words,
+then triples of frequent pairs are counted by hash first, and a Bloom filter of the
+frequent ones of each length (of a fixed size, whatever the corpus) keeps the rest out
+of the transducers. A filter that fills up prunes less; the result is the same.
 
 Words are told apart by 64 bits of their hash. Arithmetic on counts is exact.
 """
@@ -35,10 +36,12 @@ LONGEST, LEAST, TOP = 5, 100, 2000
 ABSORB = 100
 #: Words of a prefix that decides an n-gram's range.
 PREFIX = 3
-#: Buckets (as powers of two) of the hashed counts of words and of word pairs.
-WORD_BITS, PAIR_BITS = 22, 23
-#: Buckets of a slice in which hashed counts travel; bytes of text of a shard.
-SLICE, SHARD = 1 << 18, 8 << 20
+#: Frequent n-grams of up to so many words are told first, by filters of so many bits (as a power of two; 8 MB).
+FILTERS, FILTER_BITS = 3, 26
+#: Leading bits of a hash that such counts go by.
+KEY_BITS = 40
+#: Bits of a slice of a filter; bytes of text of a shard; keys that a task counts before it sends them.
+SLICE, SHARD, HELD = 1 << 20, 8 << 20, 4 << 20  # and states of its automaton
 UNKNOWN = "und"
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -76,11 +79,14 @@ class Automaton:
     def __init__(self, label: list[np.ndarray], parent: list[np.ndarray], weight: list[np.ndarray]):
         self.label, self.parent, self.weight = label, parent, weight
 
+    def states(self) -> int:
+        return sum(map(len, self.label))
+
     def dump(self) -> bytes:
         sizes = np.array([len(self.label), *map(len, self.label)], np.int64)
         # parents ascend: their steps are small
         steps = [np.diff(p, prepend=0) for p in self.parent]
-        return _codec(b"".join(x.tobytes() for x in [sizes, *self.label, *steps, *self.weight]))
+        return _codec(b"".join([sizes.tobytes(), *(x.tobytes() for x in self.label), *(_planes(x) for x in [*steps, *self.weight])]))
 
     @classmethod
     def load(cls, blob: bytes) -> Automaton:
@@ -91,7 +97,7 @@ class Automaton:
         for kind in (np.uint64, np.int64, np.int64):
             part = []
             for n in sizes.tolist():
-                part.append(np.frombuffer(data, kind, n, at))
+                part.append(np.frombuffer(data, kind, n, at) if kind is np.uint64 else _unplaned(data, kind, n, at))
                 at += 8 * n
             parts.append(part)
         return cls(parts[0], [np.cumsum(p) for p in parts[1]], parts[2])
@@ -219,51 +225,55 @@ class _Shard:
         piece = np.cumsum(np.frombuffer(words.data.translate(_ENDS), np.uint8), dtype=np.int64)[words.start]
         self.follows = (doc[1:] == doc[:-1]) & (piece[1:] == piece[:-1])
         self.lang = np.array([lang_label(x) for x in langs], np.uint64)[doc] if len(doc) else np.zeros(0, np.uint64)
-        self.word_key = mix(self.lang ^ self.label)
-        self.pair_key = mix(self.word_key[:-1] * _BASE + self.label[1:])
         self.total: dict[str, int] = {}
         for x, k in zip(langs, n.tolist()):
             self.total[x] = self.total.get(x, 0) + k
 
-    def automaton(self, word_may: np.ndarray, pair_may: np.ndarray, longest: int) -> Automaton | None:
+    def grams(self, size: int, filters: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Where n-grams of ``size`` words start whose parts may all be frequent, and their hashed keys."""
+        at, key = np.arange(len(self.label)), mix(self.lang ^ self.label)
+        for k in range(1, size + 1):
+            if k > 1:
+                ok = np.zeros(len(self.label) + 1, bool)
+                ok[at] = True  # starts of possible n-grams of k - 1 words
+                on = ok[at + 1] & self.follows[np.minimum(at, len(self.follows) - 1)] if len(self.follows) else np.zeros(len(at), bool)
+                at, key = at[on], mix(key[on] * _BASE + self.label[at[on] + k - 1])
+            if k <= len(filters):
+                may = _may(filters[k - 1], key)
+                at, key = at[may], key[may]
+        return at, key
+
+    def automaton(self, filters: list[np.ndarray], longest: int) -> Automaton | None:
         """Built by sorted n-grams: those of k words go below the states of their first k - 1."""
-        may = _bit(word_may, self.word_key)
-        link = self.follows & may[:-1] & may[1:]
-        some = np.flatnonzero(link)
-        link[some] = _bit(pair_may, self.pair_key[some])
-        at = np.flatnonzero(may)
-        if not len(at):
-            return None
-        known, rank = np.unique(self.label[at], return_inverse=True)
-        order = np.full(len(may), -1, np.int64)
-        order[at] = rank
-        langs, state = np.unique(self.lang[at], return_inverse=True)
-        label, parent, weight = [langs], [np.zeros(len(langs), np.int64)], [np.zeros(len(langs), np.int64)]
+        label, parent, weight = [], [], []
+        self.linked = np.zeros(0, np.int64)
+        known = np.zeros(0, np.uint64)
         for k in range(1, longest + 1):
-            if k > 1:
-                on = np.flatnonzero(at + k - 2 < len(link))
-                on = on[link[at[on] + k - 2]]
-                at, state = at[on], state[on]
-            grams, state, count = np.unique(state * len(known) + order[at + k - 1], return_inverse=True, return_counts=True)
-            if not len(grams):
+            starts = self.grams(k, filters)[0]
+            if not len(starts):
                 break
+            if k == 1:
+                known, rank = np.unique(self.label[starts], return_inverse=True)
+                order = np.full(len(self.label), -1, np.int64)
+                order[starts] = rank
+                langs, above = np.unique(self.lang[starts], return_inverse=True)
+                label, parent, weight = [langs], [np.zeros(len(langs), np.int64)], [np.zeros(len(langs), np.int64)]
+                state = np.zeros(len(self.label), np.int64)
+                state[starts] = above
+            elif k == 2:
+                self.linked = np.unique(np.concatenate([starts, starts + 1]))
+            grams, found, count = np.unique(state[starts] * len(known) + order[starts + k - 1], return_inverse=True, return_counts=True)
+            state[starts] = found
             label.append(known[grams % len(known)])
             parent.append(grams // len(known))
             weight.append(count)
-        self.linked = np.unique(np.concatenate([np.flatnonzero(link), np.flatnonzero(link) + 1]))
-        return Automaton(label, parent, weight)
+        return Automaton(label, parent, weight) if label else None
 
-    def dictionary(self) -> Iterator[tuple[int, str]]:
-        """(label, text) of the words that stand in some n-gram of two or more words."""
+    def dictionary(self) -> dict[int, bytes]:
+        """Label and text of the words that stand in some n-gram of two or more words."""
         labels, first = np.unique(self.label[self.linked], return_index=True)
         lower = self.words.data.translate(_WORD)
-        for x, i in zip(labels.view(np.int64).tolist(), self.linked[first].tolist()):
-            yield x, lower[self.words.start[i] : self.words.end[i]].decode()
-
-
-def _bit(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
-    place = (key >> np.uint64(64 - (len(bits) * 8).bit_length() + 1)).astype(np.int64)
-    return (bits[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
+        return {x: lower[self.words.start[i] : self.words.end[i]] for x, i in zip(labels.tolist(), self.linked[first].tolist())}
 
 
 def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[_Shard]:
@@ -280,80 +290,166 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[_Shard]:
         yield _Shard(texts, langs)
 
 
-def _hashed_counts(rows: DataFrame, least: int, word_bits: int, pair_bits: int) -> DataFrame:
-    """``slice, counts`` (a task's hashed counts, at most ``least`` each) and ``lang, label, n`` (words)."""
+def _planes(x: np.ndarray) -> bytes:
+    """Bytes of like place together, so that the zeros of small numbers pack well."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+
+
+def _unplaned(data: bytes, kind, n: int, at: int) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8, size * n, at).reshape(size, n).T).view(kind).reshape(n)
+
+
+def _packed(keys: np.ndarray, count: np.ndarray, least: int) -> bytes:
     kind = np.uint8 if least < 256 else np.uint32
+    n = np.array([len(keys)], np.int64)
+    return _codec(n.tobytes() + _planes(np.diff(keys, prepend=np.uint64(0))) + np.minimum(count, least).astype(kind).tobytes())
+
+
+def _unpacked(blob: bytes, least: int) -> tuple[np.ndarray, np.ndarray]:
+    data = _plain(blob)
+    n = int(np.frombuffer(data, np.int64, 1)[0])
+    kind = np.uint8 if least < 256 else np.uint32
+    return np.cumsum(_unplaned(data, np.uint64, n, 8), dtype=np.uint64), np.frombuffer(data, kind, n, 8 + 8 * n)
+
 
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return keys, np.bincount(at, np.concatenate([c for _, c in parts]), len(keys)).astype(np.int64)
+
+
+def _key_counts(rows: DataFrame, filters: list, least: int, ranges: int) -> DataFrame:
+    """``range, blob`` (keys of the n-grams one word longer than the filters know, with a
+    task's counts, at most ``least`` each) and ``lang, label, n`` (words)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = [np.zeros(1 << b, kind) for b in (word_bits, pair_bits)]
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         total: dict[str, int] = {}
+
+        def out() -> pa.RecordBatch:
+            keys, count = _summed(held) if held else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            r = (keys >> np.uint64(KEY_BITS - 32)) * np.uint64(ranges) >> np.uint64(32)
+            first = np.flatnonzero(np.diff(r.astype(np.int64), prepend=-1))
+            cut = [(int(r[a]), _packed(keys[a:b], count[a:b], least)) for a, b in zip(first, [*first[1:], len(keys)])]
+            names = sorted(total)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([i for i, _ in cut] + [None] * len(names), pa.int32()),
+                 pa.array([x for _, x in cut] + [None] * len(names), pa.binary()),
+                 pa.array([None] * len(cut) + names, pa.string()),
+                 pa.array([None] * len(cut) + [int(np.uint64(lang_label(x)).astype(np.int64)) for x in names], pa.int64()),
+                 pa.array([None] * len(cut) + [total[x] for x in names], pa.int64())], names=["range", "blob", "lang", "label", "n"])
+
         for shard in _shards(batches):
             for lang, n in shard.total.items():
                 total[lang] = total.get(lang, 0) + n
-            for held, key in zip(seen, (shard.word_key, shard.pair_key[shard.follows])):
-                place, count = np.unique(key >> np.uint64(65 - len(held).bit_length()), return_counts=True)
-                held[place] = np.minimum(held[place].astype(np.int64) + count, least)
-        slices = [(i, part) for i, part in enumerate(p for held in seen for p in np.split(held, max(1, len(held) // SLICE))) if part.any()]
-        names = sorted(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([i for i, _ in slices] + [None] * len(names), pa.int32()),
-             pa.array([_codec(p.tobytes()) for _, p in slices] + [None] * len(names), pa.binary()),
-             pa.array([None] * len(slices) + names, pa.string()),
-             pa.array([None] * len(slices) + [int(np.uint64(lang_label(x)).astype(np.int64)) for x in names], pa.int64()),
-             pa.array([None] * len(slices) + [total[x] for x in names], pa.int64())], names=["slice", "counts", "lang", "label", "n"])
-
-    return rows.mapInArrow(run, "slice int, counts binary, lang string, label long, n long")
-
-
-def _possible(counts: DataFrame, least: int, word_bits: int, pair_bits: int) -> list[np.ndarray]:
-    """Bits of the word and pair buckets that reach ``least``: at most 2**word_bits + 2**pair_bits bits."""
-    kind = np.uint8 if least < 256 else np.uint32
+            held.append(np.unique(shard.grams(len(filters) + 1, [f.value for f in filters])[1] >> np.uint64(64 - KEY_BITS), return_counts=True))
+            if sum(len(k) for k, _ in held) > HELD:
+                held = [_summed(held)]
+                if len(held[0][0]) > HELD // 2:
+                    yield out()
+                    held, total = [], {}
+        yield out()
+
+    return rows.mapInArrow(run, "range int, blob binary, lang string, label long, n long")
+
+
+def _filter(counts: DataFrame, least: int, bits: int, ranges: int) -> np.ndarray:
+    """A Bloom filter of 2**bits bits of the keys that reach ``least``."""
+    slices = max(1, (1 << bits) // SLICE)
+
+    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _groups(batches):
+            held: list[tuple[np.ndarray, np.ndarray]] = []
+            for _, blob in rows:
+                held.append(_unpacked(blob, least))
+                while len(held) > 1 and 2 * len(held[-1][0]) >= len(held[-2][0]):
+                    held[-2:] = [_summed(held[-2:])]
+            keys, count = _summed(held)
+            place = np.unique(_places(keys[count >= least], bits))
+            part = place // SLICE
+            for i in np.unique(part).tolist():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([i], pa.int32()), pa.array([(place[part == i] % SLICE).astype(np.uint32).tobytes()], pa.binary())], names=["slice", "places"])
+
+    def table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for i, rows in _groups(batches):
+            seen = np.zeros(min(SLICE, 1 << bits), bool)
+            for _, places in rows:
+                seen[np.frombuffer(places, np.uint32)] = True
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([np.packbits(seen).tobytes()], pa.binary())], names=["slice", "bits"])
+
+    dealt = counts.where(F.col("range").isNotNull()).select("range", "blob").repartition(ranges, "range").sortWithinPartitions("range")
+    places = dealt.mapInArrow(frequent, "slice int, places binary").repartition("slice").sortWithinPartitions("slice")
+    told = {r["slice"]: r["bits"] for r in places.mapInArrow(table, "slice int, bits binary").collect()}
+    return np.frombuffer(b"".join(told.get(i, bytes(min(SLICE, 1 << bits) // 8)) for i in range(slices)), np.uint8)
+
+
+def _places(key: np.ndarray, bits: int) -> np.ndarray:
+    """The four bits of each key (keys x 4), in one block of 512."""
+    block = key >> np.uint64(KEY_BITS + 9 - bits) if bits > 9 else np.zeros(len(key), np.uint64)
+    key = mix(key)
+    inside = np.stack([key >> np.uint64(9 * i) & np.uint64(511) for i in range(4)], axis=-1)
+    return (block[:, None] * np.uint64(512) + inside).astype(np.int64)
+
+
+def _may(table: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Whether keys may be frequent (never false for one that is)."""
+    place = _places(key >> np.uint64(64 - KEY_BITS), (len(table) * 8).bit_length() - 1)
+    return ((table[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1).all(axis=-1)
 
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "none").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _shard_automata(rows: DataFrame, filters: list, longest: int, ranges: int) -> DataFrame:
+    """``range, kind, blob``: count transducers (kind 0) cut by ranges of prefixes, and words
+    by ranges of labels (kind 1)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, total = None, None
+        held: list[Automaton] = []
+        told: dict[int, bytes] = {}
 
         def out() -> pa.RecordBatch:
-            bits = np.packbits(total >= least).tobytes()
-            return pa.RecordBatch.from_arrays([pa.array([held], pa.int32()), pa.array([bits], pa.binary())], names=["slice", "bits"])
+            cut = [(r, 0, part.dump()) for r, part in Automaton.union(held).split(ranges)] if held else []
+            by: dict[int, list[int]] = {}
+            for x in told:
+                by.setdefault((x >> 32) * ranges >> 32, []).append(x)
+            cut += [(r, 1, _codec(np.array([len(xs), *xs], np.uint64).tobytes() + b" ".join(told[x] for x in xs))) for r, xs in by.items()]
+            held.clear()
+            told.clear()
+            return pa.RecordBatch.from_arrays([pa.array([c[0] for c in cut], pa.int32()), pa.array([c[1] for c in cut], pa.int32()),
+                                               pa.array([c[2] for c in cut], pa.binary())], names=["range", "kind", "blob"])
 
-        for batch in batches:
-            for i, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                part = np.frombuffer(_plain(blob), kind)
-                if i != held:
-                    if held is not None:
-                        yield out()
-                    held, total = i, np.zeros(len(part), np.int64)
-                total += part
-        if held is not None:
-            yield out()
-
-    dealt = counts.where(F.col("slice").isNotNull()).select("slice", "counts").repartition("slice").sortWithinPartitions("slice")
-    told = {r["slice"]: r["bits"] for r in dealt.mapInArrow(run, "slice int, bits binary").collect()}
-    out, at = [], 0
-    for bits in (word_bits, pair_bits):
-        size, n = min(1 << bits, SLICE) // 8, max(1, (1 << bits) // SLICE)
-        out.append(np.frombuffer(b"".join(told.get(at + i, bytes(size)) for i in range(n)), np.uint8))
-        at += n
-    return out
-
-
-def _shard_automata(rows: DataFrame, possible, longest: int, ranges: int) -> DataFrame:
-    """``range, blob`` (count transducers, cut by ranges) and ``label, word``."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word_may, pair_may = possible.value
         for shard in _shards(batches):
-            made = shard.automaton(word_may, pair_may, longest)
+            made = shard.automaton([f.value for f in filters], longest)
             if made is None:
                 continue
-            cut = [(r, part.dump()) for r, part in made.split(ranges)]
-            told = list(shard.dictionary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r for r, _ in cut] + [None] * len(told), pa.int32()),
-                 pa.array([b for _, b in cut] + [None] * len(told), pa.binary()),
-                 pa.array([None] * len(cut) + [x for x, _ in told], pa.int64()),
-                 pa.array([None] * len(cut) + [w for _, w in told], pa.string())], names=["range", "blob", "label", "word"])
+            told.update(shard.dictionary())
+            held.append(made)
+            while len(held) > 1 and held[-1].states() * 2 >= held[-2].states():
+                held[-2:] = [Automaton.union(held[-2:])]
+            if sum(h.states() for h in held) > HELD:
+                yield out()
+        yield out()
+
+    return rows.mapInArrow(run, "range int, kind int, blob binary")
+
+
+def _spelled(parts: DataFrame, ranges: int) -> DataFrame:
+    """``label, word``, each once."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _groups(batches):
+            told: dict[int, bytes] = {}
+            for _, blob in rows:
+                data = _plain(blob)
+                n = int(np.frombuffer(data, np.uint64, 1)[0])
+                told.update(zip(np.frombuffer(data, np.int64, n, 8).tolist(), data[8 + 8 * n :].split(b" ")))
+            yield pa.RecordBatch.from_arrays([pa.array(list(told), pa.int64()), pa.array([w.decode() for w in told.values()], pa.string())],
+                                             names=["label", "word"])
 
-    return rows.mapInArrow(run, "range int, blob binary, label long, word string")
+    dealt = parts.where(F.col("kind") == 1).select("range", "blob").repartition(ranges, "range").sortWithinPartitions("range")
+    return dealt.mapInArrow(run, "label long, word string")
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[tuple]]]:
@@ -371,13 +467,13 @@ def _united(parts: DataFrame, least: int, ranges: int) -> DataFrame:
             held: list[Automaton] = []
             for _, blob in rows:  # parts of like size are united first
                 held.append(Automaton.load(blob))
-                while len(held) > 1 and len(held[-1].label[-1]) * 2 >= len(held[-2].label[-1]):
+                while len(held) > 1 and held[-1].states() * 2 >= held[-2].states():
                     held[-2:] = [Automaton.union(held[-2:])]
             made = Automaton.union(held).pruned(least)
             if len(made.label[0]):
                 yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([made.dump()], pa.binary())], names=["range", "blob"])
 
-    dealt = parts.where(F.col("range").isNotNull()).select("range", "blob").repartition(ranges, "range").sortWithinPartitions("range")
+    dealt = parts.where(F.col("kind") == 0).select("range", "blob").repartition(ranges, "range").sortWithinPartitions("range")
     return dealt.mapInArrow(run, "range int, blob binary")
 
 
@@ -504,7 +600,7 @@ def _weights(known: Automaton, rows: np.ndarray) -> np.ndarray:
 
 def collocations(
     docs: DataFrame, text: str = "text", lang: str = "lang", longest: int = LONGEST, least: int = LEAST, top: int = TOP,
-    absorb: int = ABSORB, word_bits: int = WORD_BITS, pair_bits: int = PAIR_BITS,
+    absorb: int = ABSORB, filter_bits: int = FILTER_BITS,
 ) -> DataFrame:
     """The first ``top`` collocations of each language: ``lang, rank, phrase, a, l, r, n, score``.
 
@@ -523,14 +619,13 @@ def collocations(
     spark = docs.sparkSession
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(as_bytes(text).alias("text"), F.col(lang).cast("string").alias("lang"))
-    path = scratch_path(spark, "phrase-counts")
-    _hashed_counts(rows, least, word_bits, pair_bits).write.option("compression", "none").parquet(path)
-    counts = spark.read.parquet(path)
+    filters: list = []
+    counts = _stored(_key_counts(rows, filters, least, ranges), "phrase-words")
     names = counts.where(F.col("lang").isNotNull()).groupBy(F.col("lang").alias("name"), F.col("label").alias("lang")).agg(F.sum("n").alias("n"))
-    possible = spark.sparkContext.broadcast(_possible(counts, least, word_bits, pair_bits))
-    path = scratch_path(spark, "phrase-shards")
-    _shard_automata(rows, possible, longest, ranges).write.option("compression", "none").parquet(path)
-    shards = spark.read.parquet(path)
+    for size in range(1, FILTERS + 1):
+        counts = counts if size == 1 else _key_counts(rows, list(filters), least, ranges)
+        filters.append(spark.sparkContext.broadcast(_filter(counts, least, filter_bits, ranges)))
+    shards = _stored(_shard_automata(rows, filters, longest, ranges), "phrase-shards")
     whole = cut_lineage(_united(shards, least, ranges))
     answers = _answers(whole, _lookups(whole, least, ranges), ranges)
     found = cut_lineage(_scored(whole, answers, least, absorb, ranges))
@@ -542,8 +637,7 @@ def collocations(
     best = best.withColumn("cut", cut).select("name", "n", "words", "a", "cut.l", "cut.r", "cut.score")
     by = Window.partitionBy("name").orderBy(F.desc("score"), F.desc("a"))
     best = best.withColumn("place", F.rank().over(by)).where(F.col("place") <= top).drop("place")
-    words = shards.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("word").alias("word"))
-    spelled = best.select("*", F.posexplode("words").alias("at", "label")).join(words, "label")
+    spelled = best.select("*", F.posexplode("words").alias("at", "label")).join(_spelled(shards, ranges), "label")
     spelled = spelled.groupBy("name", "n", "words", "a", "l", "r", "score").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "word"))), lambda x: x["word"]), " ").alias("phrase"))
     ranked = spelled.withColumn("rank", F.row_number().over(by.orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))).cast("long"))

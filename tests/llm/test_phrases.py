@@ -60,14 +60,14 @@ def test_against_plain_counts(spark):
     for least, top, absorb in ((8, 2000, 100), (20, 7, 100), (8, 2000, 60)):
         expected = brute(rows, least, top, absorb=absorb)
         assert len(expected) > 10
-        assert found(spark, rows, least=least, top=top, absorb=absorb, word_bits=12, pair_bits=14) == expected
+        assert found(spark, rows, least=least, top=top, absorb=absorb, filter_bits=14) == expected
 
 
-def test_full_tables_of_hashed_counts_change_nothing(spark):
+def test_full_filters_change_nothing(spark):
     rows = texts()
     expected = brute(rows, 8, 2000)
-    assert found(spark, rows, parts=7, least=8, word_bits=3, pair_bits=3) == expected
-    assert found(spark, rows, parts=1, least=300, word_bits=16, pair_bits=16) == brute(rows, 300, 2000)
+    assert found(spark, rows, parts=7, least=8, filter_bits=9) == expected
+    assert found(spark, rows, parts=1, least=300, filter_bits=22) == brute(rows, 300, 2000)
 
 
 def test_many_small_shards(spark, monkeypatch):
@@ -77,8 +77,7 @@ def test_many_small_shards(spark, monkeypatch):
     for a in range(0, len(rows), 20):
         part = rows[a : a + 20]
         shard = phrases._Shard([(t or "").encode() for t, _ in part], ["und" if x is None else x for _, x in part])
-        full = np.full(1 << 10, 255, np.uint8)
-        made = shard.automaton(full, full, 5)
+        made = shard.automaton([], 5)
         pieces = [phrases.Automaton.load(p.dump()) for _, p in made.split(5)]
         held.append(phrases.Automaton.union(pieces))
         for d in range(1, 6):  # the ranges together are the whole
