@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapdiff.llm import chat, decontam, language, licenses, lines, near, negatives, packing, phrases, pitman_yor, repetition, suffix
+from snapdiff.llm import chat, decontam, language, licenses, lines, near, negatives, packing, phrases, pii, pitman_yor, repetition, suffix
 from snapdiff.llm.text import crc_mod
 
 
@@ -93,6 +93,16 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(_table(spark, sf_dir, "documents").select("text", "lang"))
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["strict"])
+    of_kind = lambda kind: F.filter(base, lambda s: s["kind"] == kind)
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    counts = {f"n_{k}": F.size(of_kind(k)).cast("long") for k in pii.BASE_KINDS}
+    return found.select("doc_id", *[c.alias(n) for n, c in counts.items()], F.sha2(joined(base), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -111,5 +121,6 @@ QUERIES = {
     "op9_repeated_bytes": op9_repeated_bytes,
     "op10_chat_formatting": op10_chat_formatting,
     "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_personal_data": op12_personal_data,
     "op13_hard_negatives": op13_hard_negatives,
 }
