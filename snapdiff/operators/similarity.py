@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapdiff.functions.exprs import ORIGINAL, PERTURBED, score_key, score_shown
-from snapdiff.operators.graph import active_nodes, undirected
+from snapdiff.operators.graph import active_nodes, global_row_number, undirected
 from snapdiff.operators.skew import hot_keys, salted_join
 from snapdiff.session import cut_lineage, in_parallel
 
@@ -38,6 +38,12 @@ from snapdiff.session import cut_lineage, in_parallel
 DEFAULT_DECAY = 0.63
 DEFAULT_DEPTH = 2
 
+# So many hot values at most go by their lists instead of by pairs; a node's counts of them are one row.
+HOT_VALUES = 256
+# Rows read from each hot value's list at first, and how much deeper each next round reads.
+FIRST_ROWS, DEEPER = 16, 8
+
+
 @dataclass
 class SideGraph:
     """One snapshot as relations. ``vals`` lists the candidate nodes (the
@@ -103,6 +109,7 @@ def _level(
     restrict_p: DataFrame | None = None,
     drop_equal: bool = True,
     best_for: str | None = None,
+    pairs_per_task: int | None = None,
 ) -> DataFrame:
     """Non-equal pairs with positive score at one level (>= 2).
 
@@ -114,9 +121,9 @@ def _level(
     value-equal partner at all.
 
     ``best_for='o'|'p'`` asks only for enough pairs to find each restricted
-    node's best partner. The hottest shared value is then not expanded into
-    pairs (see :func:`_hot_value_candidates`), which keeps a value held by a
-    large share of all nodes linear instead of quadratic."""
+    node's best partner. Hot shared values (more than ``pairs_per_task`` pairs)
+    are then not expanded into pairs (see :func:`_hot_value_candidates`), which
+    keeps values held by a large share of all nodes linear instead of quadratic."""
     ko, kp = _pair_keys(go, gp)
     adj_o, adj_p = go.adj, gp.adj
     if restrict_o is not None:
@@ -129,13 +136,13 @@ def _level(
     # stored once: read by the key counts, the join and the hot value's candidates
     vc_o = cut_lineage(_value_counts(go, adj_o, "a", "_o"))
     vc_p = cut_lineage(_value_counts(gp, adj_p, "b", "_p"))
-    hot = cut_lineage(hot_keys(vc_o, vc_p, ["stored_value"]))
-    hottest = None
+    hot = cut_lineage(hot_keys(vc_o, vc_p, ["stored_value"], pairs_per_task))
+    listed: list[str] = []
     if best_for is not None:
-        top = hot.orderBy(F.col("_pairs").desc(), "stored_value").select("stored_value").limit(1).collect()
-        hottest = top[0]["stored_value"] if top else None
-    if hottest is not None:
-        cold = F.col("stored_value") != F.lit(hottest)
+        top = hot.orderBy(F.col("_pairs").desc(), "stored_value").select("stored_value").limit(HOT_VALUES).collect()
+        listed = [r["stored_value"] for r in top]
+    if listed:
+        cold = ~F.col("stored_value").isin(listed)
         hot = hot.where(cold)
         value_pairs = salted_join(vc_o.where(cold), vc_p.where(cold), ["stored_value"], [*ko, "a"], [*kp, "b"], hot=hot)
     else:
@@ -170,8 +177,8 @@ def _level(
         F.sum("e").alias("e"), F.sum("q").alias("q"),
         F.max("deg_a").alias("deg_a"), F.max("deg_b").alias("deg_b"),
     )
-    if hottest is not None:
-        summed = _hot_value_candidates(summed, vc_o, vc_p, hottest, ko, kp, best_for)
+    if listed:
+        summed = _hot_value_candidates(summed, vc_o, vc_p, listed, ko, kp, best_for)
     summed = summed.select(
         *ko, "a", *kp, "b",
         (F.col("e").cast("double") + F.col("q")).alias("s"),
@@ -192,56 +199,125 @@ def _level(
     )
 
 
+def _profiles(counts: DataFrame, hot: list[str], keys: list[str], node: str, n: str, p: str, d: str) -> DataFrame:
+    """``(*keys, node, p, d)``: a node's counts of the hot values as one array ``p`` of
+    ``(v, n)`` (HOT_VALUES at most), and its degree."""
+    pairs = F.sort_array(F.collect_list(F.struct(F.col("stored_value").alias("v"), F.col(n).alias("n"))))
+    return counts.where(F.col("stored_value").isin(hot)).groupBy(*keys, node).agg(pairs.alias(p), F.max(f"deg_{node}").alias(d))
+
+
+def _dot(p: str, q: str) -> F.Column:
+    """Sum over the values of both profiles of the product of their counts; 0 where one is missing."""
+    return F.expr(
+        f"coalesce(aggregate({p}, 0L, (t, x) -> t + x.n * coalesce(element_at(map_from_entries({q}), x.v), 0L)), 0L)"
+    )
+
+
+def best_by_lists(fixed: DataFrame, free: DataFrame) -> DataFrame:
+    """For each fixed profile the free profile of the largest ``dot / d``, least ``rep`` on ties.
+
+    ``fixed`` is ``(fid, p)``, ``free`` is ``(pid, q, d, rep)`` with ``rep`` a struct that
+    begins with a node id. A threshold algorithm: every value has a list of the free
+    profiles by descending n / d. All open fixed profiles read their lists to the
+    same depth, score what they meet in full, and close when the best score exceeds what
+    the next rows of the lists could still add up to. Each round reads DEEPER times as
+    deep, so a round costs open profiles times values times depth, not the lists' product.
+    Returns ``(fid, best)`` with ``best`` a struct ``(g, neg, rep, e, d)``.
+    """
+    lists = free.select("pid", "d", F.explode("q").alias("x")).select(
+        F.col("x.v").alias("v"), (F.col("x.n") / F.col("d")).alias("ratio"), (-F.col("x.n") / F.col("d")).alias("order"), "pid")
+    lists = cut_lineage(global_row_number(lists, ["order", "pid"], ["v"]).select("v", "ratio", "pid", F.col("row_number").alias("place")))
+    done, open_ = None, fixed.select("fid", "p")
+    seen, depth = 0, FIRST_ROWS
+    held = None  # (fid, best) of the open profiles so far
+    while True:
+        want = cut_lineage(open_.select("fid", F.explode("p").alias("x")).select("fid", F.col("x.v").alias("v"), F.col("x.n").alias("n")))
+        met = want.join(lists.where((F.col("place") > seen) & (F.col("place") <= depth)), "v").select("fid", "pid").distinct()
+        scored = met.join(open_, "fid").join(free, "pid").withColumn("e", _dot("p", "q"))
+        scored = scored.select("fid", F.struct(
+            (F.col("e") / F.col("d")).alias("g"), (-F.col("rep")[_first_field(free, "rep")]).alias("neg"), "rep", "e", "d").alias("best"))
+        scored = scored if held is None else scored.unionByName(held)
+        best = scored.groupBy("fid").agg(F.max("best").alias("best"))
+        ahead = want.join(lists.where(F.col("place") == depth + 1).select("v", "ratio"), "v").groupBy("fid").agg(
+            F.sum(F.col("n") * F.col("ratio")).alias("bound"))
+        best = cut_lineage(best.join(ahead, "fid", "left"))
+        # a tie ahead may have a smaller id; the slack covers the bound's rounding
+        still = F.coalesce(F.col("best.g") <= F.col("bound") * (1 + 1e-9), F.lit(False))
+        over = best.where(~still).select("fid", "best")
+        done = over if done is None else done.unionByName(over)
+        held = best.where(still).select("fid", "best")
+        if held.isEmpty():
+            return done
+        open_ = open_.join(held.select("fid"), "fid", "left_semi")
+        seen, depth = depth, depth * DEEPER
+
+
+def _first_field(df: DataFrame, column: str) -> str:
+    return df.schema[column].dataType.fields[0].name
+
+
 def _hot_value_candidates(
-    summed: DataFrame, vc_o: DataFrame, vc_p: DataFrame, hot: str, ko: list[str], kp: list[str], best_for: str
+    summed: DataFrame, vc_o: DataFrame, vc_p: DataFrame, hot: list[str], ko: list[str], kp: list[str], best_for: str
 ) -> DataFrame:
-    """Exact best-partner candidates without expanding the hottest value h.
-
-    Pairs already enumerated (through any other value or the level below)
-    get h's term ``n_a(h) * n_b(h)`` added. A partner that meets a node only
-    through h scores ``C * n_a(h) * n_b(h) / (d_a * d_b)``; for a fixed node
-    its rank depends on the partner's ratio ``n(h) / d`` alone, so one global
-    top-1 partner (largest ratio, least id on ties) stands for all of them.
-    A partner that also overlaps elsewhere is enumerated with a larger exact
-    score, so the best per node is unchanged."""
-    is_hot = F.col("stored_value") == F.lit(hot)
-    ho = vc_o.where(is_hot).select(*ko, "a", F.col("n_o").alias("ha"), "deg_a")
-    hp = vc_p.where(is_hot).select(*kp, "b", F.col("n_p").alias("hb"), "deg_b")
+    """Exact best-partner candidates without expanding the hot values.
+
+    Pairs already enumerated (through any other value or the level below) get the
+    hot values' terms ``n_a(v) * n_b(v)`` added. A partner that meets a node only
+    through hot values scores ``C * sum n_a(v) n_b(v) / (d_a d_b)``, which for a fixed
+    node depends on the partner's profile (its counts and degree) alone: equal
+    profiles fold into the one with the least id, equal fixed profiles ask once,
+    and :func:`best_by_lists` finds the best. A partner that also overlaps
+    elsewhere is enumerated with a larger exact score, so the best per node is
+    unchanged."""
+    ho = cut_lineage(_profiles(vc_o, hot, ko, "a", "n_o", "pa", "deg_a"))
+    hp = cut_lineage(_profiles(vc_p, hot, kp, "b", "n_p", "pb", "deg_b"))
     exact = (
-        summed.join(ho.select(*ko, "a", "ha"), [*ko, "a"], "left")
-        .join(hp.select(*kp, "b", "hb"), [*kp, "b"], "left")
-        .select(
-            *ko, "a", *kp, "b",
-            (F.col("e") + F.coalesce("ha", F.lit(0)) * F.coalesce("hb", F.lit(0))).alias("e"),
-            "q", "deg_a", "deg_b",
-        )
+        summed.join(ho.drop("deg_a"), [*ko, "a"], "left")
+        .join(hp.drop("deg_b"), [*kp, "b"], "left")
+        .select(*ko, "a", *kp, "b", (F.col("e") + _dot("pa", "pb")).alias("e"), "q", "deg_a", "deg_b")
     )
     if best_for == "o":
-        free, free_keys, node, n_free, d_free, fixed, n_fixed = hp, kp, "b", "hb", "deg_b", ho, "ha"
+        free, free_keys, node, fq, fd, fixed, fp = hp, kp, "b", "pb", "deg_b", ho, "pa"
     else:
-        free, free_keys, node, n_free, d_free, fixed, n_fixed = ho, ko, "a", "ha", "deg_a", hp, "hb"
-    # top-1 over the free side: a bounded single row, read as scalars
-    star = (
-        free.orderBy((F.col(n_free) / F.col(d_free)).desc(), F.col(node).asc())
-        .select(*free_keys, node, n_free, d_free)
-        .limit(1)
-        .collect()
+        free, free_keys, node, fq, fd, fixed, fp = ho, ko, "a", "pa", "deg_a", hp, "pb"
+    asked = cut_lineage(fixed.groupBy(F.col(fp).alias("p")).agg(F.count(F.lit(1)).alias("n")).select(
+        F.monotonically_increasing_id().alias("fid"), "p"))
+    folded = free.groupBy(F.col(fq).alias("q"), F.col(fd).alias("d")).agg(F.min(F.struct(node, *free_keys)).alias("rep"))
+    folded = cut_lineage(folded.select(F.monotonically_increasing_id().alias("pid"), "q", "d", "rep"))
+    best = best_by_lists(asked, folded)
+    cand = fixed.join(asked, fixed[fp] == asked["p"]).drop("p").join(best, "fid")
+    cand = cand.select(
+        *[c for c in fixed.columns if c != fp],
+        *[F.col(f"best.rep.{c}").alias(c) for c in (node, *free_keys)],
+        F.col("best.d").alias(fd), F.col("best.e").alias("e"), F.lit(0.0).alias("q"),
     )
-    if not star:
-        return exact
-    best = star[0]
-    lit_cols = [F.lit(best[c]).alias(c) for c in (*free_keys, node)] + [F.lit(best[d_free]).cast("long").alias(d_free)]
-    cand = fixed.select(
-        "*", *lit_cols, (F.col(n_fixed) * F.lit(int(best[n_free]))).alias("e"), F.lit(0.0).alias("q")
-    ).select(*ko, "a", *kp, "b", "e", "q", "deg_a", "deg_b")
-    return exact.unionByName(cand)
-
-
-def _inner_levels(go: SideGraph, gp: SideGraph, decay: float, depth: int) -> DataFrame | None:
-    """Non-equal positive pairs of level depth-1 (None when depth-1 < 2)."""
+    return exact.unionByName(cand.select(*exact.columns))
+
+
+def neighbours(g: SideGraph, nodes: DataFrame) -> DataFrame:
+    """``(*ctx, node_id)`` of the nodes next to the given ones, each once."""
+    rows = g.adj.join(nodes.select(*g.ctx, F.col("node_id").alias("src")), [*g.ctx, "src"], "left_semi")
+    return rows.select(*g.ctx, F.col("dst").alias("node_id")).distinct()
+
+
+def _inner_levels(
+    go: SideGraph, gp: SideGraph, decay: float, depth: int, need_o: DataFrame | None = None, need_p: DataFrame | None = None
+) -> DataFrame | None:
+    """Non-equal positive pairs of level depth-1 (None when depth-1 < 2).
+
+    With ``need_o`` or ``need_p``, the nodes of one side that the top level is asked
+    for, each level is made only for the pairs that the level above reads: those of
+    the needed nodes' neighbours, one step further for every level down."""
+    if depth < 3:
+        return None
+    needs: list[tuple[DataFrame | None, DataFrame | None]] = []
+    for _ in range(2, depth):  # from the top down
+        need_o = cut_lineage(neighbours(go, need_o)) if need_o is not None else None
+        need_p = cut_lineage(neighbours(gp, need_p)) if need_p is not None else None
+        needs.append((need_o, need_p))
     prev = None
-    for _ in range(2, depth):
-        prev = cut_lineage(_level(go, gp, prev, decay))
+    for want_o, want_p in reversed(needs):
+        prev = cut_lineage(_level(go, gp, prev, decay, restrict_o=want_o, restrict_p=want_p))
     return prev
 
 
@@ -342,10 +418,12 @@ def match_from_graphs(
     depth: int = DEFAULT_DEPTH,
     subjects_o: DataFrame | None = None,
     subjects_p: DataFrame | None = None,
+    pairs_per_task: int | None = None,
 ) -> DataFrame:
     """Best counterpart of every subject node, both directions.
 
-    ``subjects_*`` are ``(*ctx, node_id)``; by default all candidate nodes.
+    ``subjects_*`` are ``(*ctx, node_id)``; by default all candidate nodes. Values with
+    more than ``pairs_per_task`` pairs of nodes go by lists instead of by pairs.
     Returns ``matches(side, node_id, match_id, score)``; a node with no
     positive candidate gets ``score = 0.0`` and a NULL match."""
     subj_o = subjects_o if subjects_o is not None else go.vals.select(*go.ctx, "node_id")
@@ -370,12 +448,14 @@ def match_from_graphs(
 
     ko, kp = _pair_keys(go, gp)
     if depth >= 2:
-        prev = _inner_levels(go, gp, decay, depth)
         # unmatched nodes have no value-equal partner: no equal pair to drop
-        top_o, top_p = in_parallel(
-            lambda: _level(go, gp, prev, decay, restrict_o=un_o, drop_equal=False, best_for="o"),
-            lambda: _level(go, gp, prev, decay, restrict_p=un_p, drop_equal=False, best_for="p"),
-        )
+        def top(side: str) -> DataFrame:
+            need = {"need_o": un_o} if side == "o" else {"need_p": un_p}
+            own = {"restrict_o": un_o} if side == "o" else {"restrict_p": un_p}
+            prev = _inner_levels(go, gp, decay, depth, **need)
+            return _level(go, gp, prev, decay, drop_equal=False, best_for=side, pairs_per_task=pairs_per_task, **own)
+
+        top_o, top_p = in_parallel(lambda: top("o"), lambda: top("p"))
         best_o = _best_per_node(top_o.where(F.col("score") > 0), "a", "b", depth)
         best_p = _best_per_node(top_p.where(F.col("score") > 0), "b", "a", depth)
     else:
@@ -412,13 +492,14 @@ def best_match(
     decay: float = DEFAULT_DECAY,
     depth: int = DEFAULT_DEPTH,
     drop_isolated: bool = True,
+    pairs_per_task: int | None = None,
 ) -> DataFrame:
     """Whole-graph best match for every node of both snapshots (isolated ones
     only with ``drop_isolated=False``; they match by value alone)."""
     go, gp = in_parallel(
         lambda: whole_graph(nodes_o, edges_o, drop_isolated), lambda: whole_graph(nodes_p, edges_p, drop_isolated)
     )
-    return match_from_graphs(go, gp, decay, depth)
+    return match_from_graphs(go, gp, decay, depth, pairs_per_task=pairs_per_task)
 
 
 def shard_graph(shard_nodes: DataFrame, shard_adj: DataFrame) -> tuple[SideGraph, DataFrame]:

@@ -42,6 +42,9 @@ from snapdiff.sources.graph_io import (
 from snapdiff.sources.matches import decode_matches, encode_matches, read_matches, write_matches
 from snapdiff.sources.shards import read_shards, write_shards
 
+#: Pairs of nodes from which ``best_match_hot`` takes a value as hot.
+HOT_PAIRS = 1000
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -251,6 +254,17 @@ def q_best_match(spark, sf_dir):
     return _shown(_matches(snapshots(spark, sf_dir)))
 
 
+def q_best_match_depth3(spark, sf_dir, sparse=False):
+    snap = snapshots(spark, sf_dir, sparse)
+    return S.best_match(snap.nodes_o, snap.edges_o, snap.nodes_p, snap.edges_p, depth=3)
+
+
+def q_best_match_hot(spark, sf_dir):
+    """Two values held by a third of the nodes each; a low budget, so that they go by lists at any size."""
+    snap = snapshots(spark, sf_dir, hot=True)
+    return _shown(S.best_match(snap.nodes_o, snap.edges_o, snap.nodes_p, snap.edges_p, pairs_per_task=HOT_PAIRS))
+
+
 def q_sharded_match(spark, sf_dir, sparse=False):
     snap = snapshots(spark, sf_dir, sparse)
     return _shown(sharded_matches(snap.nodes_o, snap.edges_o, snap.nodes_p, snap.edges_p))
@@ -459,4 +473,7 @@ QUERIES: dict[str, Query] = {
     "evaluate_report": q_evaluate_report,
     "detect_all_nodes": q_detect_all_nodes,
     "simrank_directed": q_simrank_directed,
+    "best_match_depth3": q_best_match_depth3,
+    "best_match_depth3_sparse": _sparse(q_best_match_depth3),
+    "best_match_hot": q_best_match_hot,
 }

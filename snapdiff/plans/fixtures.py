@@ -104,14 +104,21 @@ def sparse_edges(customer: DataFrame) -> DataFrame:
     return near.select("src", "dst").union(far.select("src", "dst"))
 
 
-def snapshots(spark: SparkSession, sf_dir: str, sparse: bool = False) -> Snapshots:
+def hot_nodes(customer: DataFrame) -> DataFrame:
+    """The original nodes with two values that a third of them hold each."""
+    nation = F.col("c_nationkey") % 3
+    value = F.when(nation == 0, "hot").when(nation == 1, "warm").otherwise(F.round(F.col("c_acctbal") * 100).cast("long").cast("string"))
+    return customer.select(F.col("c_custkey").cast("long").alias("node_id"), value.alias("stored_value"))
+
+
+def snapshots(spark: SparkSession, sf_dir: str, sparse: bool = False, hot: bool = False) -> Snapshots:
     """Derive both snapshots and the truth from the tables in ``sf_dir``, anew on every call.
 
     Only the original edges, which several relations build on, are stored
     (checkpointed); the rest is read from the tables by each query."""
     customer = load_table(spark, sf_dir, "customer")
     orders = load_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    nodes_o = original_nodes(customer)
+    nodes_o = hot_nodes(customer) if hot else original_nodes(customer)
     edges_o = cut_lineage(sparse_edges(customer) if sparse else original_edges(orders))
     nodes_p = perturbed_nodes(nodes_o)
     edges_p = perturbed_edges(edges_o, nodes_o, nodes_p)

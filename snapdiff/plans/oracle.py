@@ -94,22 +94,22 @@ def _level2(vc_o: str, vc_p: str, deg_o: str, deg_p: str, val_o: str, val_p: str
     )
 
 
-def _best(pairs: str, lm: str, restrict_o: str = "", restrict_p: str = "") -> str:
+def _best(pairs: str, lm: str, restrict_o: str = "", restrict_p: str = "", score: str = "q.score") -> str:
     """Best match per node, both directions; equal scores go to the least id."""
     return f"""
     SELECT side, node_id, equal_id AS match_id, CAST(1.0 AS DOUBLE) AS score FROM {lm} WHERE n_equal > 0
     UNION ALL
     SELECT 'original', l.node_id, t.match_id, coalesce(t.score, CAST(0.0 AS DOUBLE))
     FROM {lm} l LEFT JOIN (
-        SELECT q.a AS node_id, q.b AS match_id, {rnd('q.score')} AS score,
-               row_number() OVER (PARTITION BY q.a ORDER BY q.score DESC, q.b ASC) AS rn
+        SELECT q.a AS node_id, q.b AS match_id, {rnd(score)} AS score,
+               row_number() OVER (PARTITION BY q.a ORDER BY {score} DESC, q.b ASC) AS rn
         FROM {pairs} q {restrict_o} WHERE q.score > 0) t ON t.node_id = l.node_id AND t.rn = 1
     WHERE l.side = 'original' AND l.n_equal = 0
     UNION ALL
     SELECT 'perturbed', l.node_id, t.match_id, coalesce(t.score, CAST(0.0 AS DOUBLE))
     FROM {lm} l LEFT JOIN (
-        SELECT q.b AS node_id, q.a AS match_id, {rnd('q.score')} AS score,
-               row_number() OVER (PARTITION BY q.b ORDER BY q.score DESC, q.a ASC) AS rn
+        SELECT q.b AS node_id, q.a AS match_id, {rnd(score)} AS score,
+               row_number() OVER (PARTITION BY q.b ORDER BY {score} DESC, q.a ASC) AS rn
         FROM {pairs} q {restrict_p} WHERE q.score > 0) t ON t.node_id = l.node_id AND t.rn = 1
     WHERE l.side = 'perturbed' AND l.n_equal = 0"""
 
@@ -302,6 +302,9 @@ def _all_ctes() -> dict[str, tuple[str, list[str]]]:
         ["raw3", "deg_o", "deg_p", "act_o", "act_p"],
     )
     c["bm"] = (_best("lvl2", "lm"), ["lvl2", "lm"])
+    # sums of doubles: compared by their 40 leading bits, so that their order does not decide
+    lead = "(q.score * CAST(8193 AS DOUBLE) - (q.score * CAST(8193 AS DOUBLE) - q.score))"
+    c["bm3"] = (_best("lvl3", "lm", score=lead), ["lvl3", "lm"])
     c["slvl2"] = (
         _level2("svc_o", "svc_p", "sdeg_o", "sdeg_p", "snodes_o", "snodes_p", True),
         ["svc_o", "svc_p", "sdeg_o", "sdeg_p", "snodes_o", "snodes_p"],
@@ -338,6 +341,12 @@ def _on_sparse(sql: str) -> str:
     return sql.replace(f"edges_o AS ({_CTES['edges_o'][0]})", f"edges_o AS ({SPARSE_EDGES})")
 
 
+HOT_NODES = (
+    "SELECT CAST(c_custkey AS BIGINT) AS node_id, CASE c_nationkey % 3 WHEN 0 THEN 'hot' WHEN 1 THEN 'warm' "
+    "ELSE CAST(CAST(ROUND(c_acctbal * 100) AS BIGINT) AS VARCHAR) END AS stored_value FROM customer"
+)
+
+
 def _with(final: str, *needed: str) -> str:
     order: list[str] = []
 
@@ -425,6 +434,9 @@ def oracle_sql() -> dict[str, str]:
     )
     q["best_match"] = _with("SELECT side, node_id, match_id, score FROM bm", "bm")
     q["sharded_match"] = _with("SELECT side, node_id, match_id, score FROM sm", "sm")
+    q["best_match_depth3"] = _with("SELECT side, node_id, match_id, score FROM bm3", "bm3")
+    q["best_match_depth3_sparse"] = _on_sparse(q["best_match_depth3"])
+    q["best_match_hot"] = q["best_match"].replace(f"nodes_o AS ({_CTES['nodes_o'][0]})", f"nodes_o AS ({HOT_NODES})")
     q["match_encode"] = _with(
         "SELECT side, node_id, side || '_' || CAST(node_id AS VARCHAR) AS key, "
         "CAST(coalesce(match_id, -1) AS VARCHAR) AS match_part, score FROM bm",

@@ -70,30 +70,86 @@ def test_random_graphs_with_hot_value(spark, monkeypatch, seed, depth, n_values)
                 assert matches[(side, n)] == (None, 0.0)
 
 
-def test_hottest_value_shortcut_is_used_and_exact(spark, monkeypatch):
-    """Half of all nodes share one value; ties in n(h)/d are frequent. The
-    top level must take the linear shortcut for that value and still agree
-    with brute force, tie-breaks included."""
+def two_hot_graph(rnd, ids, n_edges):
+    """Two values held by a third of the nodes each."""
+    adj, values = random_graph(rnd, ids, n_edges, 0.0, 200)
+    return adj, {i: rnd.choice(["hot", "warm", v]) for i, v in values.items()}
+
+
+@pytest.mark.parametrize("seed,depth", [(11, 2), (13, 3)])
+def test_several_hot_values_go_by_lists(spark, monkeypatch, seed, depth):
+    """Ties in n(v)/d are frequent. The top level must not pair up the hot values
+    and still agree with brute force, tie-breaks included."""
     calls = []
     real = S._hot_value_candidates
 
     def spy(*args, **kwargs):
-        calls.append(args[3])
+        calls.append(set(args[3]))
         return real(*args, **kwargs)
 
     monkeypatch.setattr(S, "_hot_value_candidates", spy)
-    monkeypatch.setattr(skew, "PAIRS_PER_TASK", 50)
-    rnd = random.Random(11)
-    adj_o, val_o = random_graph(rnd, list(range(1, 41)), 60, 0.5, 200)
-    adj_p, val_p = random_graph(rnd, list(range(21, 61)), 60, 0.5, 200)
+    monkeypatch.setattr(S, "FIRST_ROWS", 1)
+    monkeypatch.setattr(S, "DEEPER", 2)
+    monkeypatch.setattr(skew, "PAIRS_PER_TASK", 20)
+    rnd = random.Random(seed)
+    adj_o, val_o = two_hot_graph(rnd, list(range(1, 41)), 60)
+    adj_p, val_p = two_hot_graph(rnd, list(range(21, 61)), 60)
     unmatched = [n for n in adj_o if val_o[n] not in set(val_p.values())]
     assert len(unmatched) >= 5
     go, gp = graph(spark, adj_o, val_o), graph(spark, adj_p, val_p)
-    ref = brute(adj_o, val_o, adj_p, val_p, 0.63, 2)
-    matches = {(r["side"], r["node_id"]): (r["match_id"], r["score"]) for r in S.match_from_graphs(go, gp).collect()}
-    assert "hot" in calls
+    ref = brute(adj_o, val_o, adj_p, val_p, 0.63, depth)
+    matches = {(r["side"], r["node_id"]): (r["match_id"], r["score"]) for r in S.match_from_graphs(go, gp, depth=depth).collect()}
+    assert calls and all({"hot", "warm"} <= c for c in calls)
     for side, nodes, others, key in (("original", adj_o, adj_p, lambda a, b: (a, b)), ("perturbed", adj_p, adj_o, lambda a, b: (b, a))):
         for n in nodes:
             scored = [(round(ref[key(n, m)], 12), -m) for m in others if ref[key(n, m)] > 0]
             expected = (-max(scored)[1], max(scored)[0]) if scored else (None, 0.0)
             assert matches[(side, n)] == expected, (side, n)
+
+
+def test_lists_are_read_no_deeper_than_needed(spark, monkeypatch):
+    """best_by_lists against a full comparison of profiles; what it meets stays far below all pairs."""
+    rnd = random.Random(4)
+    values = [f"v{i}" for i in range(6)]
+    free = [(i, sorted((v, rnd.randrange(1, 40)) for v in rnd.sample(values, rnd.randrange(1, 5))), rnd.randrange(40, 400), (1000 - i,)) for i in range(600)]
+    fixed = [(i, sorted((v, rnd.randrange(1, 9)) for v in rnd.sample(values, rnd.randrange(1, 4)))) for i in range(80)]
+    kind = "array<struct<v:string,n:long>>"
+    monkeypatch.setattr(S, "FIRST_ROWS", 4)
+    monkeypatch.setattr(S, "DEEPER", 2)
+    depths = []
+    real = S.cut_lineage
+
+    def spy(df):
+        out = real(df)
+        if "bound" in out.columns:
+            depths.append(out.count())
+        return out
+
+    monkeypatch.setattr(S, "cut_lineage", spy)
+    got = S.best_by_lists(real(spark.createDataFrame(fixed, f"fid long, p {kind}")),
+                          real(spark.createDataFrame(free, f"pid long, q {kind}, d long, rep struct<b:long>")))
+    got = {r["fid"]: (r["best"]["rep"]["b"], r["best"]["e"], r["best"]["d"]) for r in got.collect()}
+    for fid, p in fixed:
+        p = dict(p)
+        e = {pid: sum(n * p.get(v, 0) for v, n in q) for pid, q, _, _ in free}
+        g, neg, best, d = max((e[pid] / d, -rep[0], e[pid], d) for pid, _, d, rep in free if e[pid])
+        assert got[fid] == (-neg, best, d)
+    # rows met: profiles open in a round times values times the round's depth
+    assert sum(n * 3 * 4 * 2**i for i, n in enumerate(depths)) < len(fixed) * len(free) / 2
+
+
+def test_inner_levels_hold_only_what_the_top_reads(spark):
+    rnd = random.Random(21)
+    adj_o, val_o = random_graph(rnd, list(range(1, 61)), 50, 0.1, 60)
+    adj_p, val_p = random_graph(rnd, list(range(11, 71)), 50, 0.1, 60)
+    go, gp = graph(spark, adj_o, val_o), graph(spark, adj_p, val_p)
+    need = sorted(n for n in adj_o if val_o[n] not in set(val_p.values()))[:3]
+    asked = spark.createDataFrame([(n,) for n in need], "node_id long")
+    near = {x for n in need for x in adj_o[n]}
+    ref = brute(adj_o, val_o, adj_p, val_p, 0.63, 2)
+    got = {(r["a"], r["b"]): r["score"] for r in S._inner_levels(go, gp, 0.63, 3, need_o=asked).collect()}
+    want = {k: v for k, v in ref.items() if k[0] in near and 0 < v < 1}
+    assert set(got) == set(want) and all(got[k] == pytest.approx(v, abs=1e-12) for k, v in want.items())
+    far = near | {y for x in near for y in adj_o[x]}
+    deep = {r["a"] for r in S._inner_levels(go, gp, 0.63, 4, need_o=asked).select("a").distinct().collect()}
+    assert deep <= near <= far and len(near) < len(adj_o) / 2
