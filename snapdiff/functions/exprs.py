@@ -53,3 +53,15 @@ def match_value(match_id: Column, score: Column) -> Column:
     """Text value `{match}_{score}`; a missing match is written as -1 so the
     value always has two parts."""
     return F.concat_ws("_", F.coalesce(match_id, F.lit(-1)).cast("string"), score.cast("string"))
+
+
+def skip_counts(good: Column, reasons: dict[str, Column]) -> list[Column]:
+    """Counts for ``DataFrame.observe`` in a lenient scan: lines ``read`` and ``kept``, and
+    under each reason's name the skipped lines that it is the first to hold for."""
+    out = [F.count(F.lit(1)).alias("read"), F.count_if(F.coalesce(good, F.lit(False))).alias("kept")]
+    left = ~F.coalesce(good, F.lit(False))
+    for name, reason in reasons.items():
+        held = F.coalesce(reason, F.lit(False))
+        out.append(F.count_if(left & held).alias(name))
+        left = left & ~held
+    return out

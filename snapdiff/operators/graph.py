@@ -8,6 +8,9 @@ partitions by key.
 
 from __future__ import annotations
 
+import functools
+import re
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +20,9 @@ from snapdiff.session import cut_lineage
 # ids, so a hub never becomes one unbounded row.
 LIST_CHUNK = 1024
 
+# Parts that one bit column holds; all are positive longs.
+MASK_BITS = 62
+
 # Bits of monotonically_increasing_id() that hold the row position.
 _POS_BITS = 33
 
@@ -180,51 +186,117 @@ def partition_nodes(adj: DataFrame, k: int = 3, components: DataFrame | None = N
 # ---------------------------------------------------------------- shards
 
 
-def khop(adj: DataFrame, seeds: DataFrame, hops: int = 2) -> DataFrame:
-    """Exact BFS. ``seeds`` is ``(part, node_id)``; returns every node
-    within ``hops`` undirected hops of a seed of the same part. Only the new
-    frontier is expanded each hop (anti-join against what is reached)."""
-    reached = seeds.select("part", "node_id").distinct()
-    frontier = reached
-    for h in range(hops):
+def _words(parts: int) -> list[str]:
+    """Columns of a set of parts as bits, MASK_BITS parts each."""
+    return [f"w{i}" for i in range(-(-parts // MASK_BITS))]
+
+
+def part_masks(seeds: DataFrame, parts: int) -> DataFrame:
+    """``(node_id, w0, w1, ...)``: each node's parts (of 0 .. parts - 1) as bits, one row a node."""
+    bit = F.expr(f"shiftleft(1L, cast(pmod(part, {MASK_BITS}) as int))")
+    in_word = F.floor(F.col("part") / MASK_BITS)
+    return seeds.groupBy("node_id").agg(
+        *[F.bit_or(F.when(in_word == i, bit).otherwise(F.lit(0).cast("long"))).alias(w) for i, w in enumerate(_words(parts))]
+    )
+
+
+def khop_masks(adj: DataFrame, masks: DataFrame, hops: int = 2) -> DataFrame:
+    """G3/U2 on bits: every node within ``hops`` of a part's nodes gets the part's bit.
+
+    One row a node, whatever the number of parts. Each hop sends along the edges
+    only the bits that are new since the last one, and ``bit_or`` folds them
+    before the shuffle."""
+    words = [c for c in masks.columns if c != "node_id"]
+    some = lambda cols: functools.reduce(lambda x, y: x | y, [F.col(c) != 0 for c in cols])
+    reached = cut_lineage(masks.select("node_id", *words))
+    fresh = reached
+    for _ in range(hops):
         step = (
-            frontier.join(adj.select(F.col("src").alias("node_id"), "dst"), "node_id")
-            .select("part", F.col("dst").alias("node_id"))
-            .distinct()
+            fresh.where(some(words))
+            .join(adj.select(F.col("src").alias("node_id"), "dst"), "node_id")
+            .groupBy(F.col("dst").alias("node_id"))
+            .agg(*[F.bit_or(w).alias(f"n{w}") for w in words])
         )
-        fresh = step.join(reached, ["part", "node_id"], "left_anti")
-        reached = reached.unionByName(fresh)
-        frontier = fresh
-        if h % 3 == 2:
-            reached, frontier = cut_lineage(reached), cut_lineage(frontier)
+        zero = F.lit(0).cast("long")
+        both = reached.select("node_id", *words, *[zero.alias(f"n{w}") for w in words]).unionByName(
+            step.select("node_id", *[zero.alias(w) for w in words], *[f"n{w}" for w in words]))
+        both = both.groupBy("node_id").agg(*[F.bit_or(c).alias(c) for w in words for c in (w, f"n{w}")])
+        both = cut_lineage(both)
+        reached = both.select("node_id", *[F.col(w).bitwiseOR(F.col(f"n{w}")).alias(w) for w in words])
+        fresh = both.select("node_id", *[F.col(f"n{w}").bitwiseAND(F.bitwise_not(F.col(w))).alias(w) for w in words])
     return reached
 
 
-def induced(adj: DataFrame, members: DataFrame) -> DataFrame:
-    """Per part, the edges with both ends among the part's members."""
-    m_src = members.select("part", F.col("node_id").alias("src"))
-    m_dst = members.select("part", F.col("node_id").alias("dst"))
-    return adj.join(m_src, "src").join(m_dst, ["part", "dst"], "left_semi").select("part", "src", "dst")
+def mask_parts(masks: DataFrame) -> DataFrame:
+    """Rows with bit columns -> a row for each part whose bit is set, the bits replaced by ``part``."""
+    words = [c for c in masks.columns if re.fullmatch(r"w\d+", c)]
+    bits = f"filter(sequence(0, {MASK_BITS - 1}), i -> (shiftright({{w}}, i) & 1L) = 1L)"
+    parts = ", ".join(f"transform({bits.format(w=w)}, i -> i + {k * MASK_BITS})" for k, w in enumerate(words))
+    return masks.select(*[c for c in masks.columns if c not in words], F.explode(F.expr(f"concat({parts})")).alias("part"))
+
+
+def khop(adj: DataFrame, seeds: DataFrame, hops: int = 2, parts: int | None = None) -> DataFrame:
+    """Exact breadth-first search. ``seeds`` is ``(part, node_id)`` with part in
+    0 .. parts - 1; returns every node within ``hops`` undirected hops of a seed
+    of the same part, as :func:`khop_masks` finds them."""
+    parts = parts or _count_parts(seeds)
+    return mask_parts(khop_masks(adj, part_masks(seeds, parts), hops)).select("part", "node_id")
 
 
-def build_shards(nodes: DataFrame, edges: DataFrame, k: int = 3, hops: int = 2) -> tuple[DataFrame, DataFrame]:
-    """Shards as normalized rows.
+def induced_masks(adj: DataFrame, masks: DataFrame) -> DataFrame:
+    """``(src, dst, w0, ...)``: the parts in which both ends of an edge lie, as bits. The
+    adjacency is read once, a row an edge, whatever the number of parts."""
+    words = [c for c in masks.columns if c != "node_id"]
+    ends = {end: masks.select(F.col("node_id").alias(end), *[F.col(w).alias(f"{end}_{w}") for w in words]) for end in ("src", "dst")}
+    met = adj.select("src", "dst").join(ends["src"], "src").join(ends["dst"], "dst")
+    met = met.select("src", "dst", *[F.col(f"src_{w}").bitwiseAND(F.col(f"dst_{w}")).alias(w) for w in words])
+    return met.where(functools.reduce(lambda x, y: x | y, [F.col(w) != 0 for w in words]))
+
+
+def induced(adj: DataFrame, members: DataFrame, parts: int | None = None) -> DataFrame:
+    """Per part, the edges with both ends among the part's members ``(part, node_id)``."""
+    parts = parts or _count_parts(members)
+    return mask_parts(induced_masks(adj, part_masks(members, parts))).select("part", "src", "dst")
+
+
+def _count_parts(rows: DataFrame) -> int:
+    return 1 + (rows.agg(F.max("part")).first()[0] or 0)
+
+
+def looked_up(rows: DataFrame, nodes: DataFrame, strict: bool = False) -> DataFrame:
+    """``rows`` (with ``node_id``) and the node's ``stored_value``.
+
+    A node that the node table does not have gets NULL, or with ``strict`` fails
+    the query, naming the node; a node whose value is NULL is known and does not."""
+    known = nodes.select("node_id", "stored_value", F.lit(True).alias("_known"))
+    met = rows.join(known, "node_id", "left")
+    if not strict:
+        return met.drop("_known")
+    fail = F.raise_error(F.concat(F.lit("no value is stored for node "), F.coalesce(F.col("node_id").cast("string"), F.lit("NULL"))))
+    value = F.when(F.col("_known").isNull(), fail.cast("string")).otherwise(F.col("stored_value"))
+    return met.withColumn("stored_value", value).drop("_known")
+
+
+def build_shards(
+    nodes: DataFrame, edges: DataFrame, k: int = 3, hops: int = 2, strict: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Shards as normalized rows. With ``strict`` an edge to an unknown node fails (:func:`looked_up`).
 
     ``shard_nodes(part, node_id, stored_value, is_subject)`` — subjects of the
     part plus its ``hops``-hop halo; ``shard_adj(part, src, dst)`` — the
     induced adjacency. Values are looked up by an equi-join (J2/P8)."""
     adj = cut_lineage(undirected(edges))  # read by components, k-hop and induced
-    subjects = partition_nodes(adj, k)
-    members = cut_lineage(khop(adj, subjects, hops))  # read three times below
-    shard_adj = induced(adj, members)
-    flagged = members.join(
-        subjects.select("part", "node_id", F.lit(True).alias("is_subject")), ["part", "node_id"], "left"
-    )
-    shard_nodes = flagged.join(nodes, "node_id", "left").select(
+    subjects = cut_lineage(partition_nodes(adj, k))
+    members = khop_masks(adj, part_masks(subjects, k), hops)
+    shard_adj = mask_parts(induced_masks(adj, members)).select("part", "src", "dst")
+    # a node is the subject of one part: its values are looked up a row a node, before the parts
+    own = members.join(subjects.select("node_id", F.col("part").alias("own")), "node_id", "left")
+    own = looked_up(own, nodes, strict)
+    shard_nodes = mask_parts(own).select(
         F.col("part").cast("int").alias("part"),
         "node_id",
         "stored_value",
-        F.coalesce("is_subject", F.lit(False)).alias("is_subject"),
+        F.coalesce(F.col("part") == F.col("own"), F.lit(False)).alias("is_subject"),
     )
     return shard_nodes, shard_adj
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from snapdiff.functions.exprs import ORIGINAL, PERTURBED, SCORE_DP, score_round
@@ -42,6 +42,9 @@ from snapdiff.sources.graph_io import (
 from snapdiff.sources.matches import decode_matches, encode_matches, read_matches, write_matches
 from snapdiff.sources.shards import read_shards, write_shards
 
+#: What a lenient scan of match lines counts.
+SKIPS = ("read", "kept", "no_tab", "bad_key", "bad_value", "no_number")
+
 #: Pairs of nodes from which ``best_match_hot`` takes a value as hot.
 HOT_PAIRS = 1000
 
@@ -216,7 +219,7 @@ def q_shard_pairs(spark, sf_dir, sparse=False):
     return G.shard_pairs(so, sp)
 
 
-def q_shard_roundtrip(spark, sf_dir, sparse=False):
+def q_shard_roundtrip(spark, sf_dir, sparse=False, parts=None):
     snap = snapshots(spark, sf_dir, sparse)
     shards_o, shards_p = in_parallel(
         lambda: tuple(cut_lineage(x) for x in G.build_shards(snap.nodes_o, snap.edges_o, DEFAULT_PARTS, DEFAULT_HOPS)),
@@ -224,13 +227,18 @@ def q_shard_roundtrip(spark, sf_dir, sparse=False):
     )
     path = scratch_path(spark, "shards")
     write_shards(shards_o, shards_p, path)
-    nodes, adj = read_shards(spark, path)
+    nodes, adj = read_shards(spark, path, parts=parts)
     nbrs = adj.groupBy("side", "part", F.col("src").alias("node_id")).agg(F.count(F.lit(1)).alias("n_neighbors"))
     return nodes.join(nbrs, ["side", "part", "node_id"], "left").select(
         "side", "part", "node_id", "stored_value", "is_subject", F.coalesce("n_neighbors", F.lit(0)).alias("n_neighbors")
     )
 
 
+def q_shard_read_parts(spark, sf_dir):
+    """Two parts of three, read from the store without opening the third."""
+    return q_shard_roundtrip(spark, sf_dir, sparse=True, parts=[0, 2])
+
+
 # ---------------------------------------------------------------- similarity
 
 
@@ -297,6 +305,17 @@ def q_match_decode(spark, sf_dir):
     return decode_matches(_match_lines(m)).select("side", "node_id", "match_id", score_round("score").alias("score"))
 
 
+def q_match_skips(spark, sf_dir):
+    """How many lines the lenient scan read, kept and skipped, by reason, observed as it ran."""
+    m = _shown(_matches(snapshots(spark, sf_dir)))
+    path = scratch_path(spark, "match-lines")
+    _match_lines(m).write.text(path)
+    report = Observation("match-skips")
+    read_matches(spark, path, text=True, report=report).write.parquet(scratch_path(spark, "matches"))
+    told = report.get
+    return spark.createDataFrame([tuple(int(told[c]) for c in SKIPS)], ", ".join(f"n_{c} long" for c in SKIPS))
+
+
 # ---------------------------------------------------------------- classify
 
 
@@ -476,4 +495,6 @@ QUERIES: dict[str, Query] = {
     "best_match_depth3": q_best_match_depth3,
     "best_match_depth3_sparse": _sparse(q_best_match_depth3),
     "best_match_hot": q_best_match_hot,
+    "shard_read_parts": q_shard_read_parts,
+    "match_skips": q_match_skips,
 }

@@ -495,6 +495,19 @@ def oracle_sql() -> dict[str, str]:
     for name in ("connected_components", "partition_nodes", "khop_nodes", "induced_subgraph", "build_shards", "shard_pairs",
                  "shard_roundtrip", "sharded_match", "classify_changes"):
         q[f"{name}_sparse"] = _on_sparse(q[name])
+    q["shard_read_parts"] = _on_sparse(_with(
+        "SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{side}' AS side, * FROM ({rt.format(x=side[0])}) {side} " for side in ("original", "perturbed"))
+        + ") r WHERE part IN (0, 2)",
+        "snodes_o", "sadj_o", "snodes_p", "sadj_p",
+    ))
+    # every match is one good line and one bad one: a half missing, one too many, a key or a value of the wrong parts
+    q["match_skips"] = _with(
+        "SELECT CAST(2 * count(*) AS BIGINT) AS n_read, CAST(count(*) AS BIGINT) AS n_kept, "
+        "CAST(count(*) FILTER (WHERE node_id % 4 IN (0, 1)) AS BIGINT) AS n_no_tab, "
+        "CAST(count(*) FILTER (WHERE node_id % 4 = 2) AS BIGINT) AS n_bad_key, "
+        "CAST(count(*) FILTER (WHERE node_id % 4 = 3) AS BIGINT) AS n_bad_value, CAST(0 AS BIGINT) AS n_no_number FROM bm",
+        "bm",
+    )
     q["nodes_read"] = _with("SELECT * FROM nodes_p", "nodes_p")
     q["edges_read"] = _with("SELECT * FROM edges_p", "edges_p")
     q["match_files"] = q["best_match"]

@@ -1,7 +1,8 @@
 """Shard sink and scan.
 
-Written form: JSON lines, one record per (side, part, node, chunk of at most
-LIST_CHUNK neighbours) — a part is never one document. The reader also
+Written form: folders ``side=.../part=...`` of JSON lines, one record per (node,
+chunk of at most LIST_CHUNK neighbours) — a part is never one document, and
+reading some parts opens no file of the others. The reader also
 imports the legacy document form (one shard pair per line,
 ``{"originalGraph": {...}, "perturbedGraph": {...}}`` in files named
 ``..._{i}-{j}.json``) and explodes it back to rows.
@@ -9,11 +10,11 @@ imports the legacy document form (one shard pair per line,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from snapdiff import schemas
-from snapdiff.functions.exprs import ORIGINAL, PERTURBED
+from snapdiff.functions.exprs import ORIGINAL, PERTURBED, skip_counts
 from snapdiff.operators.graph import chunked_lists
 
 
@@ -34,9 +35,13 @@ def shard_records(shard_nodes: DataFrame, shard_adj: DataFrame, side: str) -> Da
 
 
 def write_shards(shards_o: tuple[DataFrame, DataFrame], shards_p: tuple[DataFrame, DataFrame], path: str) -> None:
-    """Both snapshots' shards as JSON lines under ``path``."""
+    """Both snapshots' shards as JSON lines under ``path``, a folder for each side and part.
+
+    Rows are dealt by ranges of (side, part, node), so a task writes to few folders
+    and a large part is many files."""
     recs = shard_records(*shards_o, ORIGINAL).unionByName(shard_records(*shards_p, PERTURBED))
-    recs.write.mode("overwrite").json(path)
+    recs = recs.repartitionByRange("side", "part", "node_id").sortWithinPartitions("side", "part", "node_id", "chunk")
+    recs.write.mode("overwrite").partitionBy("side", "part").json(path)
 
 
 def _from_records(recs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -45,16 +50,38 @@ def _from_records(recs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return nodes, adj
 
 
-def read_shards(spark: SparkSession, path: str, nested: bool = False) -> tuple[DataFrame, DataFrame]:
+def read_shards(
+    spark: SparkSession,
+    path: str,
+    nested: bool = False,
+    parts: list[int] | None = None,
+    side: str | None = None,
+    report: Observation | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """-> ``shard_nodes(side, part, node_id, stored_value, is_subject)`` and
-    ``shard_adj(side, part, src, dst)``. Lines that do not decode are skipped."""
+    ``shard_adj(side, part, src, dst)``.
+
+    ``parts`` and ``side`` limit the scan to their folders (partition filters). Lines
+    that do not decode are skipped; ``report`` observes how many lines were
+    ``read``, ``kept`` and skipped as ``no_json`` or ``no_node`` once the nodes are computed."""
     lines = spark.read.text(path)
-    if not nested:
-        recs = lines.select(F.from_json("value", schemas.SHARD_RECORD).alias("r")).where(
-            F.col("r.node_id").isNotNull() & F.col("r.side").isNotNull()
-        )
-        return _from_records(recs.select("r.*"))
-    return _from_documents(lines)
+    if nested:
+        return _from_documents(lines)
+    stored = "part" in lines.columns and "side" in lines.columns
+    own = ["side", "part"] if stored else []
+    recs = lines.select(*own, F.from_json("value", schemas.SHARD_RECORD).alias("r"))
+    recs = recs.select(
+        *([F.col("side").cast("string"), F.col("part").cast("int")] if stored else ["r.side", "r.part"]),
+        "r.node_id", "r.stored_value", "r.is_subject", "r.neighbors",
+        F.coalesce(F.col("r.node_id").cast("string"), F.col("r.stored_value"), F.col("r.is_subject").cast("string")).isNull().alias("bare"),
+    )
+    if parts is not None:
+        recs = recs.where(F.col("part").isin([int(p) for p in parts]))
+    if side is not None:
+        recs = recs.where(F.col("side") == side)
+    good = F.col("node_id").isNotNull() & F.col("side").isNotNull()
+    nodes_of = recs if report is None else recs.observe(report, *skip_counts(good, {"no_json": F.col("bare"), "no_node": ~F.col("bare")}))
+    return _from_records(nodes_of.where(good))[0], _from_records(recs.where(good))[1]
 
 
 def _from_documents(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
