@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import functools
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -80,8 +81,9 @@ def degrees(adj: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- components
 
 
-def connected_components(adj: DataFrame) -> DataFrame:
+def connected_components(adj: DataFrame, cut: Callable[[DataFrame], DataFrame] = cut_lineage) -> DataFrame:
     """G2 (first half): ``(node_id, component)`` with component = least node id.
+    ``cut`` stores what a round has made.
 
     Rounds of contraction until no edge is left. In each round every vertex
     takes the closed neighbour that comes first in that round's pseudo-random
@@ -100,7 +102,7 @@ def connected_components(adj: DataFrame) -> DataFrame:
     label = pairs.select("u").union(pairs.select("v")).distinct().select(
         F.col("u").alias("node_id"), F.col("u").alias("root"))
     pairs = pairs.where(F.col("u") != F.col("v"))
-    edges = cut_lineage(pairs.union(pairs.select("v", "u")).distinct())
+    edges = cut(pairs.union(pairs.select("v", "u")).distinct())
     turn = 0
     while not edges.isEmpty():
         # the first round goes by id, which folds stars around small ids at once
@@ -108,18 +110,18 @@ def connected_components(adj: DataFrame) -> DataFrame:
         order = F.struct(rank("v").alias("h"), F.col("v").alias("v"))
         own = F.struct(rank("u").alias("h"), F.col("u").alias("v"))
         first = edges.groupBy("u").agg(F.min(order).alias("best"))
-        choice = cut_lineage(first.select(F.col("u").alias("old"), F.least("best", own)["v"].alias("new")))
+        choice = cut(first.select(F.col("u").alias("old"), F.least("best", own)["v"].alias("new")))
         ends = edges.join(choice, F.col("u") == F.col("old")).select(F.col("new").alias("u"), "v")
         ends = ends.join(choice, F.col("v") == F.col("old")).select("u", F.col("new").alias("v"))
-        edges = cut_lineage(ends.where(F.col("u") != F.col("v")).distinct())
+        edges = cut(ends.where(F.col("u") != F.col("v")).distinct())
         label = label.join(choice, F.col("root") == F.col("old"), "left").select(
             "node_id", F.coalesce("new", "root").alias("root"))
         turn += 1
         if turn % 4 == 0:
-            label = cut_lineage(label)
-    label = cut_lineage(label)
+            label = cut(label)
+    label = cut(label)
     least = label.groupBy("root").agg(F.min("node_id").alias("component"))
-    least = cut_lineage(least) if turn else least
+    least = cut(least) if turn else least
     return label.join(least, "root").select("node_id", "component")
 
 
