@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from snapdiff.llm.text import SPACED, Words, as_bytes, mix, pieces, windows
 from snapdiff.operators.graph import connected_components
-from snapdiff.session import cut_lineage
+from snapdiff.session import stored
 
 SHINGLE = 5
 #: Link at 100 * |A and B| >= SIMILARITY * |A or B|.
@@ -41,6 +41,11 @@ _BAND_OF = _rng.permutation(REGISTERS)[: BANDS * ROWS].reshape(BANDS, ROWS)
 _SALT = _rng.integers(1, 2**63, BANDS, dtype=np.uint64)
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Steps are written tables: the job has many, and the driver should hold little of each."""
+    return stored(df, "near")
+
+
 def shingle_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of many texts, sorted within each: (hashes, first of each text).
 
@@ -290,7 +295,7 @@ def _dense_links(dense: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     that its members share, and yields links that span what it connects. No
     pair is listed that is not a link.
     """
-    group = cut_lineage(connected_components(dense.select(F.col("a").alias("src"), F.col("b").alias("dst"))))
+    group = cut_lineage(connected_components(dense.select(F.col("a").alias("src"), F.col("b").alias("dst")), cut_lineage))
     size = group.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     spread = group.join(cut_lineage(size), "component").withColumn("block", F.pmod(F.xxhash64("node_id"), F.col("blocks")).cast("int"))
     spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)))
@@ -352,20 +357,30 @@ def _dense_links(dense: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _leaders(links: DataFrame) -> DataFrame:
-    """``node_id, component``: the least id that a few steps reach. Each round a node takes
+    """``node, lead``: the least id that a few steps reach. Each round a node takes
     the least leader among its neighbours', then its leader's leader. Nodes with
-    one leader are connected; connected nodes with different leaders only mean
-    more comparisons."""
+    one leader are connected; connected nodes with different leaders are left to
+    :func:`_components`, and until then only mean more comparisons."""
     both = cut_lineage(links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(
         links.select(F.col("b").alias("u"), F.col("a").alias("v"))))
     lead = both.groupBy("u").agg(F.min("v").alias("to")).select("u", F.least("u", "to").alias("to"))
     for _ in range(LEADER_ROUNDS):
-        of = lead.select(F.col("u").alias("x"), F.col("to").alias("y"))
+        of = cut_lineage(lead).select(F.col("u").alias("x"), F.col("to").alias("y"))
         near = both.join(of, F.col("v") == F.col("x")).groupBy("u").agg(F.min("y").alias("to"))
         near = cut_lineage(near.select("u", F.least("u", "to").alias("to")))
         of = near.select(F.col("u").alias("x"), F.col("to").alias("y"))
         lead = near.join(of, F.col("to") == F.col("x")).select("u", F.col("y").alias("to"))
-    return lead.select(F.col("u").alias("node_id"), F.col("to").alias("component"))
+    return cut_lineage(lead.select(F.col("u").alias("node"), F.col("to").alias("lead")))
+
+
+def _components(links: DataFrame, lead: DataFrame) -> DataFrame:
+    """``lead, component`` of the leaders that links still join: few edges and few rounds.
+    A component's least id leads itself, so the least of its leaders is its least id."""
+    ends = links.join(lead.select(F.col("node").alias("a"), F.col("lead").alias("x")), "a", "left")
+    ends = ends.join(lead.select(F.col("node").alias("b"), F.col("lead").alias("y")), "b", "left")
+    ends = ends.select(F.coalesce("x", "a").alias("src"), F.coalesce("y", "b").alias("dst"))
+    cross = cut_lineage(ends.where(F.col("src") != F.col("dst")).distinct())
+    return connected_components(cross, cut_lineage).select(F.col("node_id").alias("lead"), "component")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = SIMILARITY) -> DataFrame:
@@ -422,12 +437,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     tested = best.select("a", F.explode("hubs").alias("b"))
     ends = likely.select(F.col("a").alias("node")).union(likely.select(F.col("b").alias("node"))).distinct()
     sets = cut_lineage(_full_sets(docs, ends, id_col, text))
-    links = cut_lineage(_confirm(tested, sets, percent).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    links = _confirm(tested, sets, percent).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    links = cut_lineage(links.union(folded.select(F.col("doc_id").alias("a"), F.col("node").alias("b"))))
+    lead = _leaders(links)
     tested = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     # what is left: buckets whose members lie in several components
-    labelled = shared.select("key", "node").distinct().join(_leaders(links), F.col("node") == F.col("node_id"), "left")
-    labelled = cut_lineage(labelled.select("key", "node", F.coalesce("component", "node").alias("component")))
+    labelled = shared.select("key", "node").distinct().join(lead, "node", "left")
+    labelled = cut_lineage(labelled.select("key", "node", F.coalesce("lead", "node").alias("component")))
     mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"),
                                         F.count(F.lit(1)).alias("members"))
     mixed = mixed.where(F.col("low") != F.col("high")).select("key", F.ceil(F.col("members") / BLOCK).alias("blocks"))
@@ -446,13 +463,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     links = links.union(_confirm(listed, sets, percent))
     if not dense.isEmpty():
         links = links.union(_dense_links(dense, sets, percent))
-    links = cut_lineage(links)
-    links = links.union(folded.select(F.col("doc_id").alias("a"), F.col("node").alias("b")))
-    group = connected_components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    group = _components(links, lead)
     return (
         rows.select("doc_id", "n_shingles")
-        .join(group.select(F.col("node_id").alias("doc_id"), "component"), "doc_id", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+        .join(lead.select(F.col("node").alias("doc_id"), "lead"), "doc_id", "left")
+        .select("doc_id", "n_shingles", F.coalesce("lead", "doc_id").alias("lead"))
+        .join(group, "lead", "left")
+        .select("doc_id", "n_shingles", F.coalesce("component", "lead").alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)))
     )
 
