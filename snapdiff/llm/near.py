@@ -31,7 +31,9 @@ LEADER_ROUNDS = 2
 #: A block with more plausible pairs than this for each member is compared by exact intersections.
 DENSE = 4
 #: Members of a bucket compared at once (larger buckets go by pairs of blocks).
-BLOCK = 256
+BLOCK = 1024
+#: A side of at most so many rows of a few numbers (some 50 MB) is broadcast, a larger one shuffled.
+FEW = 1 << 20
 EMPTY = 0xFFFF
 
 _rng = np.random.Generator(np.random.PCG64(0xB0CCE7))
@@ -46,6 +48,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return stored(df, "near")
 
 
+def _few(side: DataFrame) -> DataFrame:
+    """A stored table, broadcast if its checked size allows: texts and sketches then stay where they are."""
+    return F.broadcast(side) if side.count() <= FEW else side
+
+
 def shingle_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of many texts, sorted within each: (hashes, first of each text).
 
@@ -178,7 +185,7 @@ def _full_sets(docs: DataFrame, nodes: DataFrame, id_col: str, text: str) -> Dat
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("node"), as_bytes(text).alias("text"))
-    return rows.join(nodes, "node", "left_semi").mapInArrow(run, f"node {kind}, shingles binary")
+    return rows.join(_few(nodes), "node", "left_semi").mapInArrow(run, f"node {kind}, shingles binary")
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -406,15 +413,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     known = rows.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     sets_of = known.groupBy("set_a", "set_b", "n_shingles").agg(
         F.min("doc_id").alias("node"), F.max("doc_id").alias("last"))
-    sets_of = cut_lineage(sets_of)
     # rows with the fingerprint's least id carry its sketch; equal rows give equal sketches
-    copies = sets_of.where(F.col("node") != F.col("last")).select(
-        F.col("set_a").alias("ca"), F.col("set_b").alias("cb"), F.col("n_shingles").alias("cn"), "node")
+    copies = cut_lineage(sets_of.where(F.col("node") != F.col("last")).select(
+        F.col("set_a").alias("ca"), F.col("set_b").alias("cb"), F.col("n_shingles").alias("cn"), "node"))
     member = known.select("doc_id", "set_a", "set_b", "n_shingles").join(
-        copies, (F.col("set_a") == F.col("ca")) & (F.col("set_b") == F.col("cb")) & (F.col("n_shingles") == F.col("cn")))
+        _few(copies), (F.col("set_a") == F.col("ca")) & (F.col("set_b") == F.col("cb")) & (F.col("n_shingles") == F.col("cn")))
     folded = cut_lineage(member.where(F.col("doc_id") != F.col("node")).select(
         "doc_id", "set_a", "set_b", "n_shingles", "node").distinct())
-    nodes = known.join(folded.drop("node"), ["doc_id", "set_a", "set_b", "n_shingles"], "left_anti").select(
+    nodes = known.join(_few(folded.drop("node")), ["doc_id", "set_a", "set_b", "n_shingles"], "left_anti").select(
         F.col("doc_id").alias("node"), "n_shingles", "registers", "bands")
     nodes = cut_lineage(nodes)  # rows that share an id, also equal ones, may repeat here
     regs = nodes.select("node", "n_shingles", "registers")
@@ -435,7 +441,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
             F.min(F.when(F.col("guess") >= t + SAFE, F.col("b"))), F.min(F.when(F.col("guess") >= t, F.col("b"))),
             F.max_by("b", "guess")))).alias("hubs"))
     tested = best.select("a", F.explode("hubs").alias("b"))
-    ends = likely.select(F.col("a").alias("node")).union(likely.select(F.col("b").alias("node"))).distinct()
+    ends = cut_lineage(likely.select(F.col("a").alias("node")).union(likely.select(F.col("b").alias("node"))).distinct())
     sets = cut_lineage(_full_sets(docs, ends, id_col, text))
     links = _confirm(tested, sets, percent).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = cut_lineage(links.union(folded.select(F.col("doc_id").alias("a"), F.col("node").alias("b"))))
