@@ -15,6 +15,7 @@ START, END = "<|im_start|>", "<|im_end|>\n"
 ASSISTANT = "assistant"
 #: Strings that must not appear as such inside a text, and their first character's escape.
 CONTROL = ["<|", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"]
+CIRCLE = "messages reply to one another in a circle"
 ESCAPES = {"<": "&lt;", "[": "&#91;"}
 
 
@@ -52,8 +53,9 @@ def reply_paths(messages: DataFrame) -> DataFrame:
     """``tree, leaf, rank, message``: every root-to-leaf path, message by message.
 
     ``messages``: ``tree, message, parent`` (null for a root); (tree, message)
-    is unique, a parent lies in the same tree, and there are no cycles. A
-    message whose parent is missing is a root. ``rank`` counts from 0 at the root.
+    is unique and a parent lies in the same tree. A message whose parent is missing
+    is a root; messages that reply to one another in a circle raise a ``ValueError``.
+    ``rank`` counts from 0 at the root.
 
     Runs of only children are folded first: each message points to its parent
     while it is the parent's only reply, and the pointers double by self-joins
@@ -75,7 +77,11 @@ def reply_paths(messages: DataFrame) -> DataFrame:
         "tree", "message", "parent", F.col("hm").isNull().alias("leaf"),
         F.when(F.col("replies") == 1, F.col("parent")).alias("jump"),
         F.when(F.col("replies") == 1, 1).otherwise(0).cast("long").alias("steps"), F.col("message").alias("head")))
-    while not state.where(F.col("jump").isNotNull()).isEmpty():
+    before = None
+    while left := state.where(F.col("jump").isNotNull()).count():
+        if left == before:  # each round ends a run's next messages; only a circle has none
+            raise ValueError(CIRCLE)
+        before = left
         other = state.select(F.col("tree").alias("ot"), F.col("message").alias("om"), F.col("jump").alias("oj"),
                              F.col("steps").alias("os"), F.col("head").alias("oh"))
         # only messages that have not reached the head of their run take part
@@ -98,10 +104,14 @@ def reply_paths(messages: DataFrame) -> DataFrame:
 
     step = cut_lineage(place(state.where("leaf").select("tree", F.col("message").alias("leaf"), "message", F.lit(0).cast("long").alias("down"))))
     parts = [step]
+    longest = state.groupBy("tree").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
     while True:
         higher = step.where(F.col("above").isNotNull())
-        if higher.isEmpty():
+        down = higher.agg(F.max("down")).first()[0]
+        if down is None:
             break
+        if down >= longest:  # a path longer than its tree has messages
+            raise ValueError(CIRCLE)
         step = cut_lineage(place(higher.select("tree", "leaf", F.col("above").alias("message"),
                                                (F.col("down") + F.col("length") + 1).alias("down"))))
         parts.append(step)

@@ -120,13 +120,13 @@ FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.own <> s.label AND 80 * positiv
 QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) <= 5
 """,
     "op5_line_dedup": """
-WITH l AS (
-  SELECT doc_id, source, text, i, line FROM (
-    SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line,
-           generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE text IS NOT NULL)),
-pages AS (SELECT source, count(*) AS total FROM documents GROUP BY source),
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, text FROM documents),
+l AS (
+  SELECT rid, doc_id, source, text, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS i FROM d WHERE text IS NOT NULL),
+pages AS (SELECT source, count(*) AS total FROM d GROUP BY source),
 seen AS (
-  SELECT source, trim(line) AS line, count(DISTINCT doc_id) AS n FROM l
+  SELECT source, trim(line) AS line, count(DISTINCT rid) AS n FROM l
   WHERE length(trim(line)) > 0 GROUP BY 1, 2),
 bad AS (
   SELECT s.source, s.line FROM seen s JOIN pages p ON s.source IS NOT DISTINCT FROM p.source
@@ -136,7 +136,7 @@ marked AS (
   LEFT JOIN bad b ON l.source IS NOT DISTINCT FROM b.source AND trim(l.line) = b.line)
 SELECT doc_id, source, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT cut), '') AS text,
        count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE cut)::BIGINT AS n_dropped
-FROM marked GROUP BY doc_id, source
-UNION ALL SELECT doc_id, source, NULL, 0, 0 FROM documents WHERE text IS NULL
+FROM marked GROUP BY rid, doc_id, source
+UNION ALL SELECT doc_id, source, NULL, 0, 0 FROM d WHERE text IS NULL
 """,
 }

@@ -3,6 +3,8 @@
 import hashlib
 import random
 
+import pytest
+
 from snapdiff.llm import chat
 
 MESSAGE = "tree long, message long, parent long, role string, text string, score double"
@@ -80,3 +82,11 @@ def test_linear_conversations(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.format_trees(chat.linear_messages(df)).count() == 0
+
+
+@pytest.mark.parametrize("parents", [{1: 2, 2: 1}, {1: 3, 2: 1, 3: 2, 4: 2, 5: None, 6: 5}, {1: 1}])
+def test_circles_raise(spark, parents):
+    rows = [(7, m, p, "user", "x", 0.0) for m, p in parents.items()] + [(8, 1, None, "user", "x", 0.0), (8, 2, 1, "user", "y", 0.0)]
+    df = spark.createDataFrame(rows, "tree long, message long, parent long, role string, text string, score double")
+    with pytest.raises(ValueError, match="circle"):
+        chat.format_trees(df).collect()

@@ -52,3 +52,20 @@ def test_columns_and_empty_table(spark):
 def test_no_python_in_the_plan(spark):
     plan = lines.dedup_lines(spark.createDataFrame(rows(), "doc_id long, text string, source string"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_sql_counts_rows_that_share_an_id(spark):
+    import duckdb
+    import pandas as pd
+
+    from snapdiff.llm.oracle import ORACLE
+
+    data = [(1, "menu\nbody", "a")] * 6 + [(100 + i, f"page {i}", "a") for i in range(40)] + [(1, None, "a")]
+    documents = pd.DataFrame(data, columns=["doc_id", "text", "source"])
+    con = duckdb.connect()
+    con.register("documents", documents)
+    told = con.sql(ORACLE["op5_line_dedup"])
+    expected = sorted((tuple(dict(zip(told.columns, r))[c] for c in ("doc_id", "text", "source", "n_lines", "n_dropped")) for r in told.fetchall()), key=repr)
+    df = spark.createDataFrame(data, "doc_id long, text string, source string")
+    got = sorted((tuple(r) for r in lines.dedup_lines(df, stats=True).collect()), key=repr)
+    assert got == expected and (1, "", "a", 2, 2) in got
