@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from snapdiff.llm.chat import CONTROL, ESCAPES
-from snapdiff.llm.licenses import PHRASES, TEMPLATES, need, template_words
+from snapdiff.llm.licenses import PHRASES, TEMPLATES, all_words, template_words
 from snapdiff.llm.text import LOWER, UPPER
 
 ALNUM_WORDS = f"regexp_extract_all(translate(coalesce({{0}}, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
@@ -22,17 +22,27 @@ def _license_sql() -> str:
         f"SELECT rid, i, '{label}' AS label FROM spot WHERE "
         + " AND ".join(f"ws[i + {k}] = '{w}'" for k, w in enumerate(phrase.split(" ")))
         for phrase, label in PHRASES.items())
-    sets = ", ".join(f"('{label}', {template_words(t)!r}, {need(len(template_words(t)))})" for label, t in TEMPLATES)
+    sets = ", ".join(f"('{label}', {template_words(t)!r}, {must!r})" for label, t, must in TEMPLATES)
+    step = max(len(all_words(t)) for _, t, _ in TEMPLATES)
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text, {ALNUM_WORDS.format('text')} AS ws FROM documents),
 spot AS (SELECT rid, ws, unnest(range(1, len(ws) + 1)) AS i FROM d),
 place AS ({places}),
 base AS (SELECT rid, count(*) AS n, min(i) - 1 AS a, max(i) - 1 AS z, list(DISTINCT label) AS labels FROM place GROUP BY rid),
-line AS (SELECT rid, list_distinct({ALNUM_WORDS.format('line')}) AS have
-         FROM (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM d WHERE text IS NOT NULL)),
-t(label, words, enough) AS (VALUES {sets}),
-met AS (SELECT rid, label, max(len(list_intersect(words, have)) / len(words)) AS share
-        FROM line JOIN t ON len(list_intersect(words, have)) >= enough GROUP BY rid, label),
+line AS (SELECT rid, ln, {ALNUM_WORDS.format('line')} AS ws
+         FROM (SELECT rid, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS ln
+               FROM d WHERE text IS NOT NULL)),
+run AS (SELECT rid, ln, ws, sum(CASE WHEN len(ws) = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY rid ORDER BY ln) AS block FROM line),
+block AS (SELECT rid, block, flatten(list(ws ORDER BY ln)) AS ws FROM run WHERE len(ws) > 0 GROUP BY rid, block),
+win AS (SELECT rid, block, k, list_distinct(list_slice(ws, k + 1, k + {2 * step})) AS have
+        FROM (SELECT *, unnest(range(0, len(ws), {step})) AS k FROM block)),
+t(label, words, must) AS (VALUES {sets}),
+close AS (SELECT rid, block, k, label, must, len(list_intersect(words, have)) / len(words) AS share
+          FROM win JOIN t ON list_has_all(have, must) AND 10 * len(list_intersect(words, have)) >= 8 * len(words)),
+met AS (SELECT rid, label, max(share) AS share FROM close c
+        WHERE NOT EXISTS (SELECT 1 FROM close o WHERE o.rid = c.rid AND o.block = c.block AND o.k = c.k
+                          AND len(o.must) > len(c.must) AND list_has_all(o.must, c.must))
+        GROUP BY rid, label),
 best AS (SELECT rid, max(share) AS share, list(label) AS labels FROM met GROUP BY rid)
 SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, coalesce(b.n, 0)::BIGINT AS n_base, b.a::BIGINT AS first_word, b.z::BIGINT AS last_word,
        coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
