@@ -129,7 +129,8 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text: str = "text", lang:
     if not counts:
         return None
     size = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], r["n"])])
-    draw = F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    own = F.coalesce(F.col("id").cast("string"), "text")  # rows without an id are drawn by their text
+    draw = F.pmod(F.xxhash64(own), F.lit(1 << 30)) / F.lit(float(1 << 30))
     long = F.octet_length("text")
     windows = F.transform(
         F.sequence(F.lit(0), F.lit(TRAIN_WINDOWS - 1)),

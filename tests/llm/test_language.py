@@ -33,6 +33,14 @@ def test_odd_cases(spark):
     assert all(0 <= r["score"] <= 1 for r in got)
 
 
+def test_rows_without_an_id_are_thinned(spark):
+    rows = [(None, f"the {i} and of", "en") for i in range(400)] + [(i, f"und {i} der zu", "de") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    net = L.train(df, per_language=5)
+    got = L.predict(df, net).groupBy("lang", "lang_pred").count().collect()
+    assert net.languages == ["de", "en"] and sum(r["count"] for r in got) == 800
+
+
 def test_nothing_to_learn_and_empty_table(spark):
     df = spark.createDataFrame([(1, "text", None)], "doc_id long, text string, lang string")
     assert L.train(df) is None

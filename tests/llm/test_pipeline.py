@@ -68,3 +68,14 @@ def test_stages_keep_the_columns_and_empty_tables(spark, tmp_path):
         out = stage(spark, docs, str(tmp_path))
         assert out.columns == docs.columns and out.count() == 0, name
     assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == 0
+
+
+def test_null_languages_are_told(spark):
+    rng = random.Random(2)
+    text = lambda ws: " ".join(rng.choice(ws) for _ in range(40))
+    known = [(i, text(["the", "and", "of"]), "en") for i in range(60)] + [(100 + i, text(["und", "der", "zu"]), "de") for i in range(60)]
+    asked = [(300, text(["the", "and", "of"]), None), (301, text(["und", "der", "zu"]), None), (302, "12", None), (303, "of the", "de")]
+    docs = spark.createDataFrame([(i, t, lang, "s", len(t)) for i, t, lang in known + asked],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    out = {r["doc_id"]: r["lang"] for r in corpus_pipeline.identify_language(spark, docs, "").collect()}
+    assert out == {**{i: lang for i, _, lang in known}, 300: "en", 301: "de", 303: "de"}
