@@ -19,15 +19,17 @@ from snapdiff.session import scratch_path
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with an identified language: those that get ``und`` (null or
-    without a letter) are rejected. The network learns from the labelled rows
-    of this stage's input whose crc32(doc_id) mod 3 is not 1; without any such
-    row no language can be told, and all documents with a letter stay."""
+    without a letter) are rejected, and a null ``lang`` becomes the predicted one.
+    The network learns from the labelled rows of this stage's input whose
+    crc32(doc_id) mod 3 is not 1; without any such row no language can be told,
+    and all documents with a letter stay as they are."""
     net = language.train(docs.where(crc_mod("doc_id", 3) != 1))
     if net is None:
         return language.with_letters(docs)
     lang, score = free_names(docs, "_lang_pred", "_lang_score")
     found = language.predict(docs, net, out=(lang, score))
-    return found.where(F.col(lang) != language.UNKNOWN).select(*docs.columns)
+    told = found.where(F.col(lang) != language.UNKNOWN)
+    return told.withColumn("lang", F.coalesce("lang", F.col(lang))).select(*docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
