@@ -85,6 +85,12 @@ def read_shards(
 
 
 def _from_documents(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Nodes and adjacency of the document form: each document is parsed once for either,
+    its list and its two maps exploded together into one row an entry.
+
+    Plain ``from_json``, not VARIANT: a document holds a whole shard pair, and VARIANT
+    parsing turns documents beyond its size limit into nulls. Of a node with several
+    values the least counts. A document without subjects on both sides is skipped."""
     pair = r"_(\d+)-(\d+)\.json$"  # shard pair ids from the file name
     docs = lines.select(
         F.from_json("value", schemas.SHARD_DOC).alias("d"),
@@ -93,33 +99,26 @@ def _from_documents(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     ).where(
         F.col("d.originalGraph.subjectNodes").isNotNull() & F.col("d.perturbedGraph.subjectNodes").isNotNull()
     )
-    nodes, adj = [], []
-    for side, half, part in ((ORIGINAL, "d.originalGraph", "i"), (PERTURBED, "d.perturbedGraph", "j")):
-        h = docs.select(F.lit(side).alias("side"), F.col(part).alias("part"), F.col(half).alias("h"))
-        subjects = h.select("side", "part", F.explode("h.subjectNodes").alias("node_id"))
-        keys = h.select("side", "part", F.explode("h.adjList").alias("k", "nbrs"))
-        values = h.select("side", "part", F.explode("h.storedValues").alias("k", "stored_value")).select(
-            "side", "part", F.col("k").try_cast("long").alias("node_id"), "stored_value"
-        )
-        members = keys.select("side", "part", F.col("k").try_cast("long").alias("node_id")).unionByName(
-            subjects
-        ).distinct()
-        flagged = members.join(
-            subjects.select("side", "part", "node_id", F.lit(True).alias("is_subject")).distinct(),
-            ["side", "part", "node_id"],
-            "left",
-        ).join(values.distinct(), ["side", "part", "node_id"], "left")
-        nodes.append(
-            flagged.select(
-                "side", "part", "node_id", "stored_value", F.coalesce("is_subject", F.lit(False)).alias("is_subject")
-            )
-        )
-        adj.append(
-            keys.select(
-                "side", "part", F.col("k").try_cast("long").alias("src"), F.explode("nbrs").alias("dst")
-            ).distinct()
-        )
-    return nodes[0].unionByName(nodes[1]), adj[0].unionByName(adj[1])
+    half = lambda side, part, name: F.struct(F.lit(side).alias("side"), F.col(part).alias("part"), F.col(name).alias("h"))
+    halves = docs.select(F.inline(F.array(half(ORIGINAL, "i", "d.originalGraph"), half(PERTURBED, "j", "d.perturbedGraph"))))
+
+    def entry(node, value=None, nbrs=None, subject=False, member=True):
+        value = F.lit(None).cast("string") if value is None else value
+        nbrs = F.lit(None).cast("array<bigint>") if nbrs is None else nbrs
+        return F.struct(node.alias("node_id"), value.alias("stored_value"), nbrs.alias("nbrs"),
+                        F.lit(subject).alias("is_subject"), F.lit(member).alias("member"))
+
+    listed = lambda entries: F.coalesce(entries, F.array())
+    key = lambda e: e["key"].try_cast("long")
+    entries = halves.select("side", "part", F.inline(F.concat(
+        F.transform("h.subjectNodes", lambda x: entry(x, subject=True)),
+        listed(F.transform(F.map_entries("h.adjList"), lambda e: entry(key(e), nbrs=e["value"]))),
+        listed(F.transform(F.map_entries("h.storedValues"), lambda e: entry(key(e), value=e["value"], member=False))),
+    )))
+    nodes = entries.groupBy("side", "part", "node_id").agg(
+        F.min("stored_value").alias("stored_value"), F.bool_or("is_subject").alias("is_subject"), F.bool_or("member").alias("member"))
+    adj = entries.select("side", "part", F.col("node_id").alias("src"), F.explode("nbrs").alias("dst")).distinct()
+    return nodes.where("member").drop("member"), adj
 
 
 def side_of(df: DataFrame, side: str) -> DataFrame:

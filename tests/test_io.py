@@ -109,6 +109,33 @@ def test_legacy_shard_documents(spark, tmp_path):
     assert m[("original", 1)] == 1.0 and m[("original", 2)] == 0.21
 
 
+def test_shard_documents_against_plain_reading(spark, tmp_path):
+    d = tmp_path / "pairs"
+    d.mkdir()
+    half = {p: {"subjectNodes": [10 * p, 10 * p + 1], "adjList": {str(10 * p): [10 * p + 1, 7], "7": [10 * p], "x": [1]},
+                "storedValues": {str(10 * p): "a", "7": "h", "99": "no node"}} for p in range(3)}
+    half[2] = {"subjectNodes": [20]}  # no maps
+    for i in range(3):
+        for j in range(3):
+            (d / f"subgraph_shard_{i}-{j}.json").write_text(json.dumps({"originalGraph": half[i], "perturbedGraph": half[j]}) + "\n")
+    (d / "subgraph_shard_3-0.json").write_text(json.dumps({"originalGraph": {"adjList": {"1": [2]}}, "perturbedGraph": half[0]}) + "\n")
+    nodes, adj = read_shards(spark, str(d), nested=True)
+    want_nodes, want_adj = set(), set()
+    for side in ("original", "perturbed"):
+        for p, h in half.items():
+            values = h.get("storedValues", {})
+            for n in {*map(str, h["subjectNodes"]), *h.get("adjList", {})}:
+                number = int(n) if n.isdigit() else None
+                want_nodes.add((side, p, number, values.get(n), number in h["subjectNodes"]))
+            for n, nbrs in h.get("adjList", {}).items():
+                want_adj |= {(side, p, int(n) if n.isdigit() else None, x) for x in nbrs}
+    got_nodes, got_adj = [tuple(r) for r in nodes.collect()], [tuple(r) for r in adj.collect()]
+    assert len(got_nodes) == len(want_nodes) and set(got_nodes) == want_nodes
+    assert len(got_adj) == len(want_adj) and set(got_adj) == want_adj
+    plan = nodes._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1 and "Join" not in plan
+
+
 def test_score_sink(spark):
     report = spark.createDataFrame([(0.1, 0.2)], "acc double, vpr double")
     path = scratch_path(spark, "scores")
