@@ -1,7 +1,10 @@
 """Language ID: held-out accuracy on labelled text, and the odd cases."""
 
+import math
 import random
 
+import numpy as np
+
 from pyspark.sql import functions as F
 
 from snapdiff.llm import language as L
@@ -47,3 +50,29 @@ def test_nothing_to_learn_and_empty_table(spark):
     assert L.predict(df, None).first()["lang_pred"] == "und"
     empty = spark.createDataFrame([], "doc_id long, text string, score string")
     assert L.predict(empty, None, out=("l", "s")).columns == ["doc_id", "text", "score", "l", "s"]
+
+
+def test_network_against_a_plain_convolution():
+    """Filter by filter and place by place in Python floats."""
+    net = L.ByteNet(["a", "b", "c"], seed=3)
+    rng = np.random.Generator(np.random.PCG64(1))
+    net.bias[:] = rng.normal(0, 0.2, len(net.bias))
+    texts = [rng.integers(0, 256, k, dtype=np.uint8).tobytes() for k in (L.WINDOW, 3 * L.WINDOW - 17, 5)]
+
+    def window(data):
+        data = data.ljust(L.WINDOW, b" ")
+        peaks = []
+        for f in range(L.FILTERS * len(L.WIDTHS)):
+            width = L.WIDTHS[f // L.FILTERS]
+            places = range(L.WINDOW - max(L.WIDTHS) + 1)
+            best = max(sum(float(net.embed[data[i + k]][e]) * float(net.conv[k * L.EMBED + e, f]) for k in range(width) for e in range(L.EMBED))
+                       for i in places)
+            peaks.append(max(best + float(net.bias[f]), 0.0))
+        z = [sum(p * float(w) for p, w in zip(peaks, net.dense[:, c])) for c in range(3)]
+        top = sum(math.exp(x) for x in z)
+        return [math.exp(x) / top for x in z]
+
+    for text, got in zip(texts, net.probabilities(texts)):
+        cut = [text[i : i + L.WINDOW] for i in range(0, len(text), L.WINDOW)]
+        want = [sum(window(c)[k] * len(c) for c in cut) / len(text) for k in range(3)]
+        assert np.allclose(got, want, atol=1e-5)
