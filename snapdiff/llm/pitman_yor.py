@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +27,18 @@ HOT_SHARE = 4
 #: Rounds between the contexts of two bytes or more and the shorter ones, sweeps of a
 #: round, and sweeps whose predictions are averaged.
 ROUNDS, SWEEPS, SAMPLES = 3, 3, 5
+#: Rounds between the restaurants after a previous word and the restaurant of words.
+TURNS = 2
 #: Bytes of text in a chunk.
 CHUNK = 4 << 20
 #: The end token's hash.
 END_TOKEN = np.uint64(0xE4D0F7E87)
+#: Blobs: a chunk's words (number, customers and whether the chunk owns it, count, spelling's
+#: probability); its pairs in a bucket (contexts, sizes, tokens, times, hot); a bucket's pairs.
+TOLD = (np.int64, np.int64, np.int64, np.float32)
+PAIRS = (np.int64, np.int32, np.int64, np.int32, np.uint8)
+MERGED = (np.int64, np.int32, np.int64, np.int64, np.uint8)
+HOT = "array<struct<id: bigint, left: double, tables: double>>"
 
 
 def spell(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -271,7 +280,7 @@ def symbol_counts(told: DataFrame, n: int) -> DataFrame:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             for words, spelling, known in zip(*(c.to_pylist() for c in batch.columns)):
-                count, own = _known(np.frombuffer(words, np.uint64), known, n)
+                count, own, _ = _known(np.frombuffer(words, np.uint64), known, n)
                 key, ptr = spell(spelling.split(b"\n"))
                 held.append((key, np.repeat((own & (count > 0)).astype(np.int64), np.diff(ptr))))
                 held = [_merged(held)]
@@ -285,22 +294,31 @@ def symbol_counts(told: DataFrame, n: int) -> DataFrame:
     return parts.groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def _known(words: np.ndarray, answers: list[dict], n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Count of each word in all training texts, and whether this chunk owns it."""
-    told = gathered(_bucket(words, n), answers, np.int64)
-    return told >> 1, (told & 1).astype(bool)
-
-
-def token_pairs(token: np.ndarray, ptr: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct tokens, each token's number among them, then the distinct (previous, token)
-    pairs as numbers in that order, and each token's pair. A text's first token
-    follows the end token."""
-    distinct, number = np.unique(token, return_inverse=True)
+def _known(words: np.ndarray, answers: list[dict], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Count of each word in all training texts, whether this chunk owns it, and its
+    number: its place in its bucket, times ``n``, plus the bucket."""
+    told, ids = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+    said = {a["bucket"]: a["answer"] for a in answers}
+    for b, rows in dealt(_bucket(words, n)):
+        told[rows], step = _loose(said[b], np.int64, np.int64)
+        ids[rows] = np.cumsum(step) * n + b
+    return told >> 1, (told & 1).astype(bool), ids
+
+
+def token_pairs(token: np.ndarray, ptr: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each token's place among the distinct tokens (by hash), then the distinct (previous,
+    token) pairs as such places, ordered by the words' numbers ``ids``, and
+    each token's pair. A text's first token follows the end token."""
+    distinct, place = np.unique(token, return_inverse=True)
+    order = np.argsort(ids)
+    rank = np.empty_like(order)
+    rank[order] = np.arange(len(order))
+    number = rank[place]
     before = np.empty_like(number)
     before[1:] = number[:-1]
-    before[ptr[:-1]] = np.searchsorted(distinct, END_TOKEN)
+    before[ptr[:-1]] = rank[np.searchsorted(distinct, END_TOKEN)]
     code, pair = np.unique(before * len(distinct) + number, return_inverse=True)
-    return distinct, number, code // len(distinct), code % len(distinct), pair
+    return place, order[code // len(distinct)], order[code % len(distinct)], pair
 
 
 def pair_buckets(previous: np.ndarray, token: np.ndarray, seen: np.ndarray, train_tokens: int, n: int) -> np.ndarray:
@@ -314,61 +332,76 @@ def is_hot(seen: np.ndarray, train_tokens: int, n: int) -> np.ndarray:
     return seen * n > HOT_SHARE * train_tokens
 
 
-def pair_sweeps(previous: np.ndarray, customers: np.ndarray, parent: np.ndarray, spread: np.ndarray,
-                seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def estimated_discount(once: int, twice: int) -> float:
+    return min(0.95, max(0.05, once / max(1, once + 2 * twice)))
+
+
+def pair_sweeps(previous: np.ndarray, customers: np.ndarray, parent: np.ndarray, spread: np.ndarray, seed: int,
+                discount: float | None = None, elsewhere: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Gibbs sweeps over the restaurants of some contexts, each with all its pairs here or
-    (hot) with one in ``spread``. Returns what the customers of each pair keep and what
+    (hot) with one in ``spread``; ``elsewhere``: the tables that a context has in other
+    buckets, where they are known (else -1). Returns what the customers of each pair keep and what
     they leave to the parent (averaged over the last sweeps), and the pair's
     tables of the last sweep, which are customers of the parent.
 
-    The discount is estimated from the pairs here; a context adds up what its
-    pairs leave, so its probabilities sum to one also where buckets differ.
+    Without ``discount`` it is estimated from the pairs here. A context adds up what
+    its pairs leave, so its probabilities sum to one.
     """
     rng = np.random.Generator(np.random.PCG64(seed))
-    once, twice = int((customers == 1).sum()), int((customers == 2).sum())
-    discount = min(0.95, max(0.05, once / max(1, once + 2 * twice)))
+    if discount is None:
+        discount = estimated_discount(int((customers == 1).sum()), int((customers == 2).sum()))
+    if elsewhere is None:
+        elsewhere = np.full(len(customers), -1.0)
     _, room = np.unique(previous, return_inverse=True)
     tables = (customers > 0).astype(np.int64)
     mean = np.zeros(len(customers))
     for turn in range(SWEEPS + SAMPLES):
-        others = np.bincount(room, tables)[room] * spread - tables if len(room) else tables
+        here = np.bincount(room, tables)[room] if len(room) else tables
+        others = np.where(elsewhere >= 0, here + elsewhere, here * spread) - tables
         tables = seat(customers, parent, others, PAIR_STRENGTH, discount, lambda live, _: 1 - rng.random(len(live)))
         if turn >= SWEEPS:
             mean += tables / SAMPLES
     return np.maximum(customers - discount * mean, 0), discount * mean, tables
 
 
-def _packed(previous: np.ndarray, *rest: np.ndarray) -> bytes:
-    """Pairs in the order of their contexts as one compressed blob."""
-    first = np.flatnonzero(np.concatenate([[True], previous[1:] != previous[:-1]]))
-    size = np.diff(np.append(first, len(previous)))
-    head = np.array([len(first), len(previous)], np.int64)
-    blob = b"".join([previous[first].tobytes(), size.astype(np.int32).tobytes(), *(x.tobytes() for x in rest)])
-    return head.tobytes() + pa.Codec("zstd").compress(blob, asbytes=True)
+def _tight(*arrays: np.ndarray) -> bytes:
+    """Arrays as one compressed blob, each by planes of equal bytes of its numbers, so that
+    the high bytes of small numbers take no room."""
+    planes = b"".join(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in map(np.ascontiguousarray, arrays))
+    return np.array([len(a) for a in arrays], np.int64).tobytes() + pa.Codec("zstd").compress(planes, asbytes=True)
+
 
+def _loose(blob: bytes, *kinds: type) -> list[np.ndarray]:
+    sizes = np.frombuffer(blob, np.int64, len(kinds)).tolist()
+    width = [np.dtype(k).itemsize for k in kinds]
+    planes = pa.Codec("zstd").decompress(blob[8 * len(kinds) :], sum(m * w for m, w in zip(sizes, width)), asbytes=True)
+    out, at = [], 0
+    for kind, m, w in zip(kinds, sizes, width):
+        part = np.frombuffer(planes, np.uint8, m * w, at).reshape(w, m)
+        out.append(np.ascontiguousarray(part.T).reshape(-1).view(kind))
+        at += m * w
+    return out
 
-def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Contexts, the pairs of each, and the pairs' tokens (64 bits), counts and parent probabilities."""
-    contexts, pairs = np.frombuffer(blob[:16], np.int64).tolist()
-    data = pa.Codec("zstd").decompress(blob[16:], 12 * contexts + 16 * pairs, asbytes=True)
-    at = np.cumsum([0, 8 * contexts, 4 * contexts, 8 * pairs, 4 * pairs]).tolist()
-    kinds, sizes = (np.uint64, np.int32, np.uint64, np.int32, np.float32), (contexts, contexts, pairs, pairs, pairs)
-    return tuple(np.frombuffer(data, k, m, a) for k, m, a in zip(kinds, sizes, at))
 
+def _grouped(previous: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Contexts of ordered pairs (as steps from the one before) and the pairs of each."""
+    first = np.flatnonzero(np.concatenate([[True], previous[1:] != previous[:-1]])[: len(previous)])
+    return np.diff(previous[first], prepend=0), np.diff(np.append(first, len(previous))).astype(np.int32)
 
-def word_tables(count: np.ndarray, base: np.ndarray, tables: float, discount: float) -> np.ndarray:
+
+def word_tables(count: np.ndarray, base: np.ndarray, tables: float, discount: float, samples: int = SAMPLES) -> np.ndarray:
     """Mean tables of each word in the restaurant of words, given the tables of the sweep
     before, over seatings whose chance follows from the word's own count and
     spelling (so every chunk seats a word alike)."""
     mean = np.zeros(len(count))
     seed = base.astype(np.float64).view(np.uint64) ^ mix(count.astype(np.uint64))
     base = base.astype(np.float64)
-    for sample in range(SAMPLES):
+    for sample in range(samples):
         def draw(live: np.ndarray, step: int) -> np.ndarray:
             bits = mix(seed[live] + np.uint64((step * SAMPLES + sample + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
             return ((bits >> np.uint64(11)).astype(np.float64) + 1) * 2.0**-53
 
-        mean += seat(count, base, np.full(len(count), max(tables - 1, 0)), WORD_STRENGTH, discount, draw) / SAMPLES
+        mean += seat(count, base, np.full(len(count), max(tables - 1, 0)), WORD_STRENGTH, discount, draw) / samples
     return mean
 
 
@@ -438,8 +471,10 @@ def score_texts(docs: DataFrame, training: Column, id_col: str = "doc_id", text:
     the spellings are counted over all known words and fitted; the chunks then
     ask the buckets that hold the fitted contexts, so neither vocabulary nor
     model is ever whole in one place. Pairs of tokens are counted in their chunk
-    and go to the bucket of their context, where they are seated given the
-    restaurant of words as counted; their tables then seat that restaurant anew.
+    and merged in the bucket of their context, under one discount estimated over all.
+    In ``TURNS`` rounds the buckets ask for the words' probabilities and seat their
+    pairs (at first given the words as counted), and the pairs' tables seat the
+    restaurant of words anew.
     """
     spark = docs.sparkSession
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -462,7 +497,8 @@ def score_texts(docs: DataFrame, training: Column, id_col: str = "doc_id", text:
         told[first] |= 1  # the first chunk to ask for a word owns it
         at = 0
         for r, a in zip(rows, asked):
-            yield r[1], told[at : at + len(a)].tobytes()
+            here = slice(at, at + len(a))
+            yield r[1], _tight(told[here], np.diff(number[here], prepend=0))
             at += len(a)
         yield -1, np.array([total.sum(), (total > 0).sum(), (total == 1).sum(), (total == 2).sum()], np.int64).tobytes()
 
@@ -470,7 +506,7 @@ def score_texts(docs: DataFrame, training: Column, id_col: str = "doc_id", text:
     counted = cut_lineage(by_bucket(asked, columns, count_words))
     sums = counted.where(F.col("chunk") == -1).select("answer").collect()  # four numbers for each bucket
     train_tokens, types, once, twice = np.sum([np.frombuffer(r["answer"], np.int64) for r in sums] or [[0] * 4], axis=0).tolist()
-    discount = min(0.95, max(0.05, once / max(1, once + 2 * twice)))
+    discount = estimated_discount(once, twice)
 
     known = by_chunk(counted.where(F.col("chunk") >= 0)).withColumnRenamed("answers", "known")
     model = fit(cut_lineage(symbol_counts(vocabulary.join(known, "chunk"), n)))
@@ -503,22 +539,21 @@ def score_texts(docs: DataFrame, training: Column, id_col: str = "doc_id", text:
         for batch in batches:
             for chunk, words, spelling, answers, values in zip(*(c.to_pylist() for c in batch.columns)):
                 words = np.frombuffer(words, np.uint64)
-                count, own = _known(words, answers, n)
+                count, own, ids = _known(words, answers, n)
                 key, ptr = spell(spelling.split(b"\n"))
                 distinct, number = np.unique(key, return_inverse=True)
                 value = gathered(_bucket(distinct, n), values, np.float64)
                 base = 10 ** np.add.reduceat(value[number], ptr[:-1])
                 own &= count > 0
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk], pa.int64()), pa.array([(count << 1 | own).tobytes()], pa.binary()),
-                     pa.array([base.astype(np.float32).tobytes()], pa.binary()), pa.array([float(base[own].sum())])],
-                    names=["chunk", "known_counts", "base", "spelled"])
+                    [pa.array([chunk], pa.int64()), pa.array([_tight(ids, count << 1 | own, count, base.astype(np.float32))], pa.binary()),
+                     pa.array([float(base[own].sum())])], names=["chunk", "told", "spelled"])
 
     joined = vocabulary.join(known, "chunk").join(spelled, "chunk")
     out = joined.select("chunk", "words", "spelling", "known", "spelled").mapInArrow(
-        spell_out, "chunk long, known_counts binary, base binary, spelled double")
+        spell_out, "chunk long, told binary, spelled double")
     path = scratch_path(spark, "spelled")
-    out.write.option("compression", "zstd").parquet(path)
+    out.write.option("compression", "none").parquet(path)
     based = spark.read.parquet(path)
     spelled_known = float(based.agg(F.sum("spelled")).first()[0] or 0)
 
@@ -528,13 +563,13 @@ def score_texts(docs: DataFrame, training: Column, id_col: str = "doc_id", text:
             def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for batch in batches:
                     total = 0.0
-                    for told, base in zip(*(c.to_pylist() for c in batch.columns)):
-                        told, base = np.frombuffer(told, np.int64), np.frombuffer(base, np.float32)
-                        own = (told & 1) == 1
-                        total += float(word_tables(told[own] >> 1, base[own], tables, discount).sum())
+                    for blob in batch.column(0).to_pylist():
+                        _, guest, _, base = _loose(blob, *TOLD)
+                        own = (guest & 1) == 1
+                        total += float(word_tables(guest[own] >> 1, base[own], tables, discount, 1).sum())
                     yield pa.RecordBatch.from_arrays([pa.array([total])], names=["tables"])
 
-            return float(table.select("known_counts", "base").mapInArrow(run, "tables double").agg(F.sum("tables")).first()[0] or 0)
+            return float(table.select("told").mapInArrow(run, "tables double").agg(F.sum("tables")).first()[0] or 0)
 
         # each sweep reseats every word given the tables of the sweep before
         before, tables = float(start), seated(float(start))
@@ -549,143 +584,219 @@ def score_texts(docs: DataFrame, training: Column, id_col: str = "doc_id", text:
     before, tables = restaurant(based, types, discount)
     unseen = (WORD_STRENGTH + discount * tables) / (WORD_STRENGTH + train_tokens)  # chance of a new table
 
-    # the restaurants after a previous word, given the words as counted
+    # the words of each pair by number, merged in the bucket of their context
     def ask_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk, flags, sizes, data, count, base in zip(*(c.to_pylist() for c in batch.columns)):
+            for chunk, flags, sizes, data, blob in zip(*(c.to_pylist() for c in batch.columns)):
                 token, ptr, _, _ = tokens(texts_of(sizes, data))
-                distinct, _, first, second, pair = token_pairs(token, ptr)
-                count, base = np.frombuffer(count, np.int64) >> 1, np.frombuffer(base, np.float32)
-                parent = predicted(count, base, before, unseen, train_tokens, discount).astype(np.float32)
+                ids, _, count, _ = _loose(blob, *TOLD)
+                _, first, second, pair = token_pairs(token, ptr, ids)
                 learned = np.repeat(np.array(flags, bool), np.diff(ptr))
                 times = np.bincount(pair, learned, len(first)).astype(np.int32)
-                place = pair_buckets(distinct[first], distinct[second], count[first], train_tokens, n)
-                for b, r in dealt(place):
-                    hot = is_hot(count[np.unique(first[r])], train_tokens, n)
-                    yield _sent([(b, chunk, _packed(distinct[first[r]], distinct[second[r]], times[r], parent[second[r]]), hot.tobytes())])
-
-    def seat_pairs(rows: list[tuple]) -> Iterator[tuple[int, bytes]]:
-        asked = [_unpacked(r[2]) for r in rows]
-        previous = np.concatenate([np.repeat(a[0], a[1]) for a in asked])
+                for b, r in dealt(known_buckets(first, second, ids, count)):
+                    if b < n:
+                        step, size = _grouped(ids[first[r]])
+                        hot = is_hot(count[first[r]][np.cumsum(size) - size], train_tokens, n).astype(np.uint8)
+                        yield _sent([(b, chunk, _tight(step, size, ids[second[r]], times[r], hot), b"")])
+
+    def known_buckets(first: np.ndarray, second: np.ndarray, ids: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Buckets of pairs; ``n`` for pairs with an unknown word, which no bucket knows."""
+        place = pair_buckets(ids[first].astype(np.uint64), ids[second].astype(np.uint64), count[first], train_tokens, n)
+        return np.where((count[first] > 0) & (count[second] > 0), place.astype(np.int64), n)
+
+    def merge_pairs(rows: list[tuple]) -> Iterator[tuple[int, bytes]]:
+        asked = [_loose(r[2], *PAIRS) for r in rows]
+        previous = np.concatenate([np.repeat(np.cumsum(a[0]), a[1]) for a in asked])
         token = np.concatenate([a[2] for a in asked])
-        _, first, number = np.unique(mix(previous * np.uint64(_BASE) + token), return_index=True, return_inverse=True)
+        hot = np.concatenate([np.repeat(a[4], a[1]) for a in asked])
+        order = np.lexsort((token, previous))
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(previous[order]) != 0) | (np.diff(token[order]) != 0)
+        number = np.empty(len(order), np.int64)
+        number[order] = np.cumsum(new) - 1
+        first = order[new]
         customers = np.bincount(number, np.concatenate([a[3] for a in asked]), len(first)).astype(np.int64)
-        parent = np.concatenate([a[4] for a in asked])[first].astype(np.float64)
-        contexts, room = np.unique(previous[first], return_inverse=True)
-        hot = np.zeros(len(contexts), bool)
-        for r, a in zip(rows, asked):
-            hot[np.searchsorted(contexts, a[0])] = np.frombuffer(r[3], bool)
-        keep, left, sent = pair_sweeps(previous[first], customers, parent, np.where(hot, n, 1)[room], rows[0][0])
-        reserve = np.bincount(room, left, len(contexts))
+        step, size = _grouped(previous[first])
+        yield -1, _tight(step, size, token[first], customers, hot[first][np.cumsum(size) - size])
+        yield -2, np.array([(customers == 1).sum(), (customers == 2).sum()], np.int64).tobytes()
         at = 0
         for r, a in zip(rows, asked):
-            own = keep[number[at : at + len(a[2])]].astype(np.float32)
+            yield r[1], _tight(np.diff(number[at : at + len(a[2])], prepend=0))
             at += len(a[2])
-            blob = reserve[np.searchsorted(contexts, a[0])].tobytes() + own.tobytes()
-            yield r[1], np.array([len(a[0]), len(own)], np.int64).tobytes() + pa.Codec("zstd").compress(blob, asbytes=True)
-        words, at_word = np.unique(token[first], return_inverse=True)
-        served = np.bincount(at_word, sent, len(words)).astype(np.int64)
-        yield -1, np.array([(served > 0).sum()], np.int64).tobytes() + words[served > 0].tobytes() + served[served > 0].tobytes()
-        yield -2, contexts[hot].tobytes() + reserve[hot].tobytes()
-
-    def hot_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for answer in batch.column(0).to_pylist():
-                half = len(answer) // 16
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.frombuffer(answer, np.int64, half)), pa.array(np.frombuffer(answer, np.float64, half, 8 * half))], names=["word", "left"])
 
-    told = chunks.join(based.select("chunk", "known_counts", "base"), "chunk")
-    asked = told.select("chunk", "flags", "sizes", "data", "known_counts", "base").mapInArrow(ask_pairs, request)
+    asked = chunks.join(based.select("chunk", "told"), "chunk").select("chunk", "flags", "sizes", "data", "told").mapInArrow(ask_pairs, request)
     path = scratch_path(spark, "pairs")
-    by_bucket(asked, columns, seat_pairs).write.option("compression", "none").parquet(path)
+    by_bucket(asked, columns, merge_pairs).write.option("compression", "none").parquet(path)
     paired = spark.read.parquet(path)
-    # contexts with so large a share: fewer than there are buckets
-    found = paired.where(F.col("chunk") == -2).select("answer").mapInArrow(hot_rows, "word long, left double")
-    found = sorted((r["word"] % (1 << 64), r["left"]) for r in found.groupBy("word").agg(F.sum("left").alias("left")).collect())
-    hot_words, hot_left = np.array([w for w, _ in found], np.uint64), np.array([x for _, x in found])
+    sums = paired.where(F.col("chunk") == -2).select("answer").collect()  # two numbers for each bucket
+    pair_discount = estimated_discount(*np.sum([np.frombuffer(r["answer"], np.int64) for r in sums] or [[0] * 2], axis=0).tolist())
+    merged = paired.where(F.col("chunk") == -1).select("bucket", "answer")
+
+    def ask_parents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for bucket, blob in zip(*(c.to_pylist() for c in batch.columns)):
+                ids = np.unique(_loose(blob, *MERGED)[2])
+                yield _sent([(b, bucket, _tight(ids[r]), b"") for b, r in dealt(ids % n)])
+
+    def tell_parents(rows: list[tuple]) -> Iterator[tuple[int, bytes]]:
+        held = [_loose(r[2], np.int64, np.float32) for r in rows if r[1] == -1]
+        value = np.zeros(1 + max((int(i[-1]) // n for i, _ in held if len(i)), default=0), np.float32)
+        for i, p in held:
+            value[i // n] = p
+        for r in rows:
+            if r[1] != -1:
+                yield r[1], _tight(value[_loose(r[2], np.int64)[0] // n])
+
+    def seat_turn(words: DataFrame, parent: Callable, turn: int, last: DataFrame | None) -> DataFrame:
+        """Every bucket's pairs seated given the words: what they keep, their contexts
+        leave, the tables sent to each word, and the sums of hot contexts; a written table.
+        Hot contexts have as many tables elsewhere as in the turn before (``last``)."""
+        totals = hot_ids, hot_tables
+
+        def offer_parents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for blob in batch.column(0).to_pylist():
+                    ids, guest, count, base = _loose(blob, *TOLD)
+                    own = np.flatnonzero(((guest & 1) == 1) & (count > 0))
+                    own = own[np.argsort(ids[own])]
+                    p = parent(guest[own] >> 1, base[own]).astype(np.float32)
+                    yield _sent([(b, -1, _tight(ids[own][r], p[r]), b"") for b, r in dealt(ids[own] % n)])
+
+        def seat_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for bucket, blob, answers, earlier in zip(*(c.to_pylist() for c in batch.columns)):
+                    step, size, token, customers, hot = _loose(blob, *MERGED)
+                    contexts, hot = np.cumsum(step), hot.astype(bool)
+                    ids, at = np.unique(token, return_inverse=True)
+                    p = np.zeros(len(ids), np.float32)
+                    told = {a["bucket"]: a["answer"] for a in answers}
+                    for b, r in dealt(ids % n):
+                        p[r] = _loose(told[b], np.float32)[0]
+                    room = np.repeat(np.arange(len(size)), size)
+                    elsewhere = np.full(len(size), -1.0)
+                    if earlier:  # the same contexts in the same order
+                        elsewhere[hot] = totals[1][np.searchsorted(totals[0], contexts[hot])] - [h["tables"] for h in earlier]
+                    spread = np.where(hot, n, 1)
+                    keep, left, sent = pair_sweeps(room, customers, p[at].astype(np.float64), spread[room],
+                                                   turn * n + bucket, pair_discount, elsewhere[room])
+                    left, tables = np.bincount(room, left, len(size)), np.bincount(room, sent, len(size))
+                    served = np.bincount(at, sent, len(ids)).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([bucket], pa.int32()), pa.array([_tight(keep.astype(np.float32), left, size)], pa.binary()),
+                         pa.array([_tight(ids[served > 0], served[served > 0])], pa.binary()),
+                         pa.array([list(zip(contexts[hot].tolist(), left[hot].tolist(), tables[hot].tolist()))],
+                                  pa.list_(pa.struct([("id", pa.int64()), ("left", pa.float64()), ("tables", pa.float64())])))],
+                        names=["bucket", "kept", "served", "hot"])
+
+        wanted = merged.mapInArrow(ask_parents, request).union(words.select("told").mapInArrow(offer_parents, request))
+        parents = by_chunk(by_bucket(wanted, columns, tell_parents)).withColumnRenamed("chunk", "bucket")
+        path = scratch_path(spark, "seated")
+        earlier = F.array().cast(HOT) if last is None else F.col("hot")
+        rows = merged.join(parents, "bucket") if last is None else merged.join(parents, "bucket").join(last.select("bucket", "hot"), "bucket")
+        rows.select("bucket", "answer", "answers", earlier.alias("earlier")).mapInArrow(
+            seat_bucket, f"bucket int, kept binary, served binary, hot {HOT}",
+        ).write.option("compression", "none").parquet(path)
+        return spark.read.parquet(path)
 
     # the restaurant of words again: its customers are the tables of the pairs
     def offer_tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for answer in batch.column(0).to_pylist():
-                size = int(np.frombuffer(answer[:8], np.int64)[0])
-                words, sent = np.frombuffer(answer, np.uint64, size, 8), np.frombuffer(answer, np.int64, size, 8 + 8 * size)
-                yield _sent([(b, -1, words[r].tobytes(), sent[r].tobytes()) for b, r in dealt(_bucket(words, n))])
-
-    served = paired.where(F.col("chunk") == -1).select("answer").mapInArrow(offer_tables, request)
-    nothing = np.int64(0).tobytes()
+            for blob in batch.column(0).to_pylist():
+                ids, sent = _loose(blob, np.int64, np.int64)
+                yield _sent([(b, -1, _tight(ids[r]), _tight(sent[r])) for b, r in dealt(ids % n)])
 
     def ask_tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk, words in zip(*(c.to_pylist() for c in batch.columns)):
-                words = np.frombuffer(words, np.uint64)
-                yield _sent([(b, chunk, words[r].tobytes(), nothing * len(r)) for b, r in dealt(_bucket(words, n))])
+            for chunk, blob in zip(*(c.to_pylist() for c in batch.columns)):
+                ids, _, count, _ = _loose(blob, *TOLD)
+                ids = ids[count > 0]
+                yield _sent([(b, chunk, _tight(ids[r]), b"") for b, r in dealt(ids % n)])
 
     def count_tables(rows: list[tuple]) -> Iterator[tuple[int, bytes]]:
-        keys = [np.frombuffer(r[2], np.uint64) for r in rows]
-        distinct, number = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(number, np.concatenate([np.frombuffer(r[3], np.int64) for r in rows]), len(distinct)).astype(np.int64)
-        at = 0
+        keys = [_loose(r[2], np.int64)[0] // n for r in rows]
+        total = np.zeros(1 + max(int(k.max()) for k in keys), np.int64)
+        for r, k in zip(rows, keys):
+            if r[1] == -1:
+                np.add.at(total, k, _loose(r[3], np.int64)[0])
         for r, k in zip(rows, keys):
             if r[1] >= 0:
-                yield r[1], total[number[at : at + len(k)]].tobytes()
-            at += len(k)
+                yield r[1], _tight(total[k])
         yield -1, np.array([total.sum(), (total == 1).sum(), (total == 2).sum()], np.int64).tobytes()
 
-    wanted = vocabulary.select("chunk", "words").mapInArrow(ask_tables, request).union(served)
-    counted = cut_lineage(by_bucket(wanted, columns, count_tables))
-    sums = counted.where(F.col("chunk") == -1).select("answer").collect()  # three numbers for each bucket
-    guests, once, twice = np.sum([np.frombuffer(r["answer"], np.int64) for r in sums] or [[0] * 3], axis=0).tolist()
-    shared = min(0.95, max(0.05, once / max(1, once + 2 * twice)))
-
     def customers_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk, words, count, base, answers in zip(*(c.to_pylist() for c in batch.columns)):
-                own = np.frombuffer(count, np.int64) & 1
-                served = gathered(_bucket(np.frombuffer(words, np.uint64), n), answers, np.int64)
+            for chunk, blob, answers in zip(*(c.to_pylist() for c in batch.columns)):
+                ids, guest, count, base = _loose(blob, *TOLD)
+                asked, served = np.flatnonzero(count > 0), np.zeros(len(ids), np.int64)
+                told = {a["bucket"]: a["answer"] for a in answers or []}
+                for b, r in dealt(ids[asked] % n):
+                    served[asked[r]] = _loose(told[b], np.int64)[0]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk], pa.int64()), pa.array([count], pa.binary()), pa.array([(served << 1 | own).tobytes()], pa.binary()),
-                     pa.array([base], pa.binary())], names=["chunk", "counts", "known_counts", "base"])
-
-    joined = vocabulary.select("chunk", "words").join(based, "chunk").join(by_chunk(counted.where(F.col("chunk") >= 0)), "chunk")
-    path = scratch_path(spark, "served")
-    joined.select("chunk", "words", "known_counts", "base", "answers").mapInArrow(
-        customers_of, "chunk long, counts binary, known_counts binary, base binary").write.option("compression", "zstd").parquet(path)
-    served = spark.read.parquet(path)
-    last, tables = restaurant(served, types, shared)
-    rare = (WORD_STRENGTH + shared * tables) / (WORD_STRENGTH + guests)
-    unknown = rare * max(1 - spelled_known, 1e-12)
+                    [pa.array([chunk], pa.int64()), pa.array([_tight(ids, served << 1 | guest & 1, count, base)], pa.binary())], names=["chunk", "told"])
+
+    served, guests, shared = based, train_tokens, discount
+    seated, hot_ids, hot_tables, hot_left = None, np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
+    for turn in range(TURNS):
+        seated = seat_turn(served, partial(predicted, before=before, unseen=unseen, guests=guests, discount=shared), turn, seated)
+        # contexts with so large a share: fewer than there are buckets
+        found = seated.select(F.inline("hot")).groupBy("id").agg(F.sum("left").alias("left"), F.sum("tables").alias("tables")).orderBy("id").collect()
+        hot_ids = np.array([r["id"] for r in found], np.int64)
+        hot_left, hot_tables = np.array([r["left"] for r in found]), np.array([r["tables"] for r in found])
+        wanted = based.select("chunk", "told").mapInArrow(ask_tables, request).union(seated.select("served").mapInArrow(offer_tables, request))
+        counted = cut_lineage(by_bucket(wanted, columns, count_tables))
+        sums = counted.where(F.col("chunk") == -1).select("answer").collect()  # three numbers for each bucket
+        guests, once, twice = np.sum([np.frombuffer(r["answer"], np.int64) for r in sums] or [[0] * 3], axis=0).tolist()
+        shared = estimated_discount(once, twice)
+        path = scratch_path(spark, "served")
+        based.select("chunk", "told").join(by_chunk(counted.where(F.col("chunk") >= 0)), "chunk", "left").mapInArrow(
+            customers_of, "chunk long, told binary").write.option("compression", "none").parquet(path)
+        served = spark.read.parquet(path)
+        before, tables = restaurant(served, types, shared)
+        unseen = (WORD_STRENGTH + shared * tables) / (WORD_STRENGTH + guests)
+    unknown = unseen * max(1 - spelled_known, 1e-12)
+
+    def answer_chunks(rows: list[tuple]) -> Iterator[tuple[int, bytes]]:
+        keep, left, size = next(_loose(r[2], np.float32, np.float64, np.int32) for r in rows if r[1] == -1)
+        room = np.repeat(np.arange(len(size)), size)
+        for r in rows:
+            if r[1] != -1:
+                pairs = np.cumsum(_loose(r[2], np.int64)[0])
+                at = room[pairs]
+                yield r[1], _tight(keep[pairs], left[at[np.concatenate([[True], at[1:] != at[:-1]])]])
+
+    index = paired.where(F.col("chunk") >= 0).select("bucket", "chunk", F.col("answer").alias("keys"))
+    kept = seated.select("bucket", F.lit(-1).cast("long").alias("chunk"), F.col("kept").alias("keys"))
+    answered = by_chunk(by_bucket(index.union(kept), ["bucket", "chunk", "keys"], answer_chunks))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, flags, sizes, data, count, customers, base, answers in zip(*(c.to_pylist() for c in batch.columns)):
+            for rows, flags, sizes, data, blob, answers in zip(*(c.to_pylist() for c in batch.columns)):
                 token, ptr, _, _ = tokens(texts_of(sizes, data))
-                distinct, number, first, second, pair = token_pairs(token, ptr)
-                count, base = np.frombuffer(count, np.int64) >> 1, np.frombuffer(base, np.float32)
+                ids, guest, count, base = _loose(blob, *TOLD)
+                number, first, second, pair = token_pairs(token, ptr, ids)
                 plain = np.log10((count + 1) / (train_tokens + types + 1))
-                shared_p = predicted(np.frombuffer(customers, np.int64) >> 1, base, last, rare, guests, shared)
-                shared_p = np.where(count > 0, shared_p, unknown)
-                keep, left = np.zeros(len(first)), np.zeros(len(distinct))
-                told = {a["bucket"]: a["answer"] for a in answers}
-                for b, r in dealt(pair_buckets(distinct[first], distinct[second], count[first], train_tokens, n)):
-                    contexts, pairs = np.frombuffer(told[b][:16], np.int64).tolist()
-                    blob = pa.Codec("zstd").decompress(told[b][16:], 8 * contexts + 4 * pairs, asbytes=True)
-                    left[np.unique(first[r])] = np.frombuffer(blob, np.float64, contexts)
-                    keep[r] = np.frombuffer(blob, np.float32, pairs, 8 * contexts)
-                before = np.unique(first)
-                hot = before[is_hot(count[before], train_tokens, n)]
-                left[hot] = hot_left[np.searchsorted(hot_words, distinct[hot])]
+                shared_p = np.full(len(ids), unknown)
+                known = count > 0
+                shared_p[known] = predicted(guest[known] >> 1, base[known], before, unseen, guests, shared)
+                keep, left = np.zeros(len(first)), np.zeros(len(ids))
+                told = {a["bucket"]: a["answer"] for a in answers or []}
+                for b, r in dealt(known_buckets(first, second, ids, count)):
+                    if b < n:
+                        keep[r], reserve = _loose(told[b], np.float32, np.float64)
+                        context = first[r]
+                        left[context[np.concatenate([[True], context[1:] != context[:-1]])]] = reserve
+                hot = np.flatnonzero(is_hot(count, train_tokens, n) & np.isin(ids, hot_ids))
+                left[hot] = hot_left[np.searchsorted(hot_ids, ids[hot])]
                 p = np.log10((keep + (PAIR_STRENGTH + left[first]) * shared_p[second]) / (PAIR_STRENGTH + count[first]))
                 seen = np.add.reduceat((count > 0).astype(np.int64)[number], ptr[:-1])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(flags, pa.bool_()), pa.array(np.diff(ptr)), pa.array(seen),
-                     pa.array(np.full(len(ids), train_tokens, np.int64)), pa.array(np.add.reduceat(plain[number], ptr[:-1])),
+                    [pa.array(rows, pa.int64()), pa.array(flags, pa.bool_()), pa.array(np.diff(ptr)), pa.array(seen),
+                     pa.array(np.full(len(rows), train_tokens, np.int64)), pa.array(np.add.reduceat(plain[number], ptr[:-1])),
                      pa.array(np.add.reduceat(p[pair], ptr[:-1]))],
                     names=["doc_id", "training", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    told = chunks.join(served, "chunk").join(by_chunk(paired.where(F.col("chunk") >= 0)), "chunk")
-    return told.select("ids", "flags", "sizes", "data", "counts", "known_counts", "base", "answers").mapInArrow(
+    told = chunks.join(served, "chunk").join(answered, "chunk", "left")
+    return told.select("ids", "flags", "sizes", "data", "told", "answers").mapInArrow(
         score, "doc_id long, training boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 

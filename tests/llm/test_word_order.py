@@ -51,8 +51,8 @@ def test_order_of_words_counts(spark):
     # the end token stands before so many tokens that its pairs are dealt over 32 buckets
     assert M.is_hot(np.array([3380]), 380 * 41 + 3000, 32).all() and not M.is_hot(np.array([3380]), 380 * 41 + 3000, 4).any()
     dealt_right, dealt_wrong = scores(spark, 32)
-    # (a bucket estimates its own discount, which unseen pairs feel in so small a corpus)
-    assert dealt_right == pytest.approx(right, abs=0.05) and dealt_right.mean() > dealt_wrong.mean() + 0.5
+    # (one discount for all buckets: only the seatings differ)
+    assert dealt_right == pytest.approx(right, abs=0.02) and dealt_right.mean() > dealt_wrong.mean() + 0.5
 
 
 def test_restaurants_sum_to_one():
