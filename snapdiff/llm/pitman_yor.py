@@ -272,25 +272,22 @@ def _vocabularies(chunks: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def symbol_counts(told: DataFrame, n: int) -> DataFrame:
-    """``key, n`` of every context and symbol that some word needs; ``n``: over the known
-    words, each taken once, by the chunk that owns it."""
+def symbol_counts(owned: DataFrame) -> DataFrame:
+    """``key, n`` of every context and symbol of the known words, each word taken once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
-            for words, spelling, known in zip(*(c.to_pylist() for c in batch.columns)):
-                count, own, _ = _known(np.frombuffer(words, np.uint64), known, n)
-                key, ptr = spell(spelling.split(b"\n"))
-                held.append((key, np.repeat((own & (count > 0)).astype(np.int64), np.diff(ptr))))
-                held = [_merged(held)]
+            for spelling in batch.column(0).to_pylist():
+                key, _ = spell(spelling.split(b"\n")[:-1])
+                held = [_merged([*held, (key, np.ones(len(key), np.int64))])]
         if held:
             keys, total = held[0]
             for lo in range(0, len(keys), 1 << 16):
                 yield pa.RecordBatch.from_arrays([pa.array(keys[lo : lo + (1 << 16)].astype(np.int64)), pa.array(total[lo : lo + (1 << 16)])],
                                                  names=["key", "n"])
 
-    parts = told.select("words", "spelling", "known").mapInArrow(run, "key long, n long")
+    parts = owned.select("spelling").mapInArrow(run, "key long, n long")
     return parts.groupBy("key").agg(F.sum("n").alias("n"))
 
 
@@ -468,9 +465,9 @@ def score_texts(docs: DataFrame, training: Column, id_col: str = "doc_id", text:
 
     Texts are stored in chunks, with each chunk's vocabulary. The chunks send
     their words and counts to buckets and are told the totals; the contexts of
-    the spellings are counted over all known words and fitted; the chunks then
-    ask the buckets that hold the fitted contexts, so neither vocabulary nor
-    model is ever whole in one place. Pairs of tokens are counted in their chunk
+    the spellings are counted over all known words and fitted; the chunk that owns a word
+    asks the buckets that hold the fitted contexts and tells its probability to
+    those who need it, so neither vocabulary nor model is ever whole in one place. Pairs of tokens are counted in their chunk
     and merged in the bucket of their context, under one discount estimated over all.
     In ``TURNS`` rounds the buckets ask for the words' probabilities and seat their
     pairs (at first given the words as counted), and the pairs' tables seat the
@@ -508,13 +505,28 @@ def score_texts(docs: DataFrame, training: Column, id_col: str = "doc_id", text:
     train_tokens, types, once, twice = np.sum([np.frombuffer(r["answer"], np.int64) for r in sums] or [[0] * 4], axis=0).tolist()
     discount = estimated_discount(once, twice)
 
+    def own_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, words, spelling, known in zip(*(c.to_pylist() for c in batch.columns)):
+                count, own, ids = _known(np.frombuffer(words, np.uint64), known, n)
+                own &= count > 0
+                said = [w + b"\n" for w, mine in zip(spelling.split(b"\n"), own.tolist()) if mine]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([chunk], pa.int64()), pa.array([_tight(ids, count << 1 | own, count)], pa.binary()),
+                     pa.array([b"".join(said)], pa.binary())], names=["chunk", "told", "spelling"])
+
+    # every known word is spelled in one chunk, its owner
     known = by_chunk(counted.where(F.col("chunk") >= 0)).withColumnRenamed("answers", "known")
-    model = fit(cut_lineage(symbol_counts(vocabulary.join(known, "chunk"), n)))
+    path = scratch_path(spark, "owned")
+    vocabulary.join(known, "chunk").select("chunk", "words", "spelling", "known").mapInArrow(
+        own_words, "chunk long, told binary, spelling binary").write.option("compression", "zstd").parquet(path)
+    owned = spark.read.parquet(path)
+    model = fit(cut_lineage(symbol_counts(owned)))
 
     def ask_symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, spelling in zip(*(c.to_pylist() for c in batch.columns)):
-                distinct = np.unique(spell(spelling.split(b"\n"))[0])
+                distinct = np.unique(spell(spelling.split(b"\n")[:-1])[0])
                 yield _sent([(b, chunk, distinct[r].tobytes(), b"") for b, r in dealt(_bucket(distinct, n))])
 
     def offer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -530,27 +542,26 @@ def score_texts(docs: DataFrame, training: Column, id_col: str = "doc_id", text:
         keys, value = keys[order], value[order]
         for r in rows:
             if r[1] != -1:
-                yield r[1], value[np.searchsorted(keys, np.frombuffer(r[2], np.uint64))].tobytes()
+                yield r[1], value[np.searchsorted(keys, np.frombuffer(r[2], np.uint64))].astype(np.float32).tobytes()
 
-    wanted = vocabulary.select("chunk", "spelling").mapInArrow(ask_symbols, request).union(model.mapInArrow(offer, request))
+    wanted = owned.select("chunk", "spelling").mapInArrow(ask_symbols, request).union(model.mapInArrow(offer, request))
     spelled = by_chunk(by_bucket(wanted, columns, look_up)).withColumnRenamed("answers", "spelled")
 
     def spell_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk, words, spelling, answers, values in zip(*(c.to_pylist() for c in batch.columns)):
-                words = np.frombuffer(words, np.uint64)
-                count, own, ids = _known(words, answers, n)
-                key, ptr = spell(spelling.split(b"\n"))
-                distinct, number = np.unique(key, return_inverse=True)
-                value = gathered(_bucket(distinct, n), values, np.float64)
-                base = 10 ** np.add.reduceat(value[number], ptr[:-1])
-                own &= count > 0
+            for chunk, told, spelling, values in zip(*(c.to_pylist() for c in batch.columns)):
+                ids, guest, count = _loose(told, *TOLD[:3])
+                base = np.zeros(len(ids), np.float32)
+                key, ptr = spell(spelling.split(b"\n")[:-1])
+                if len(key):
+                    distinct, number = np.unique(key, return_inverse=True)
+                    value = gathered(_bucket(distinct, n), values, np.float32).astype(np.float64)
+                    base[(guest & 1) == 1] = 10 ** np.add.reduceat(value[number], ptr[:-1])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk], pa.int64()), pa.array([_tight(ids, count << 1 | own, count, base.astype(np.float32))], pa.binary()),
-                     pa.array([float(base[own].sum())])], names=["chunk", "told", "spelled"])
+                    [pa.array([chunk], pa.int64()), pa.array([_tight(ids, guest, count, base)], pa.binary()),
+                     pa.array([float(base.sum(dtype=np.float64))])], names=["chunk", "told", "spelled"])
 
-    joined = vocabulary.join(known, "chunk").join(spelled, "chunk")
-    out = joined.select("chunk", "words", "spelling", "known", "spelled").mapInArrow(
+    out = owned.join(spelled, "chunk", "left").select("chunk", "told", "spelling", "spelled").mapInArrow(
         spell_out, "chunk long, told binary, spelled double")
     path = scratch_path(spark, "spelled")
     out.write.option("compression", "none").parquet(path)
@@ -647,21 +658,25 @@ def score_texts(docs: DataFrame, training: Column, id_col: str = "doc_id", text:
             if r[1] != -1:
                 yield r[1], _tight(value[_loose(r[2], np.int64)[0] // n])
 
-    def seat_turn(words: DataFrame, parent: Callable, turn: int, last: DataFrame | None) -> DataFrame:
-        """Every bucket's pairs seated given the words: what they keep, their contexts
-        leave, the tables sent to each word, and the sums of hot contexts; a written table.
-        Hot contexts have as many tables elsewhere as in the turn before (``last``)."""
-        totals = hot_ids, hot_tables
-
-        def offer_parents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def offered(words: DataFrame, parent: Callable) -> DataFrame:
+        """The probability of each known word, from the chunk that owns it."""
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for blob in batch.column(0).to_pylist():
-                    ids, guest, count, base = _loose(blob, *TOLD)
-                    own = np.flatnonzero(((guest & 1) == 1) & (count > 0))
+                    ids, guest, _, base = _loose(blob, *TOLD)
+                    own = np.flatnonzero((guest & 1) == 1)
                     own = own[np.argsort(ids[own])]
                     p = parent(guest[own] >> 1, base[own]).astype(np.float32)
                     yield _sent([(b, -1, _tight(ids[own][r], p[r]), b"") for b, r in dealt(ids[own] % n)])
 
+        return words.select("told").mapInArrow(run, request)
+
+    def seat_turn(words: DataFrame, parent: Callable, turn: int, last: DataFrame | None) -> DataFrame:
+        """Every bucket's pairs seated given the words: what they keep, their contexts
+        leave, the tables sent to each word, and the sums of hot contexts; a written table.
+        Hot contexts have as many tables elsewhere as in the turn before (``last``)."""
+        totals = hot_ids, hot_tables
+
         def seat_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for bucket, blob, answers, earlier in zip(*(c.to_pylist() for c in batch.columns)):
@@ -688,7 +703,7 @@ def score_texts(docs: DataFrame, training: Column, id_col: str = "doc_id", text:
                                   pa.list_(pa.struct([("id", pa.int64()), ("left", pa.float64()), ("tables", pa.float64())])))],
                         names=["bucket", "kept", "served", "hot"])
 
-        wanted = merged.mapInArrow(ask_parents, request).union(words.select("told").mapInArrow(offer_parents, request))
+        wanted = merged.mapInArrow(ask_parents, request).union(offered(words, parent))
         parents = by_chunk(by_bucket(wanted, columns, tell_parents)).withColumnRenamed("chunk", "bucket")
         path = scratch_path(spark, "seated")
         earlier = F.array().cast(HOT) if last is None else F.col("hot")
@@ -754,6 +769,9 @@ def score_texts(docs: DataFrame, training: Column, id_col: str = "doc_id", text:
         before, tables = restaurant(served, types, shared)
         unseen = (WORD_STRENGTH + shared * tables) / (WORD_STRENGTH + guests)
     unknown = unseen * max(1 - spelled_known, 1e-12)
+    final = partial(predicted, before=before, unseen=unseen, guests=guests, discount=shared)
+    wanted = based.select("chunk", "told").mapInArrow(ask_tables, request).union(offered(served, final))
+    parents = by_chunk(by_bucket(wanted, columns, tell_parents)).withColumnRenamed("answers", "parents")
 
     def answer_chunks(rows: list[tuple]) -> Iterator[tuple[int, bytes]]:
         keep, left, size = next(_loose(r[2], np.float32, np.float64, np.int32) for r in rows if r[1] == -1)
@@ -770,14 +788,16 @@ def score_texts(docs: DataFrame, training: Column, id_col: str = "doc_id", text:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, flags, sizes, data, blob, answers in zip(*(c.to_pylist() for c in batch.columns)):
+            for rows, flags, sizes, data, blob, parents, answers in zip(*(c.to_pylist() for c in batch.columns)):
                 token, ptr, _, _ = tokens(texts_of(sizes, data))
-                ids, guest, count, base = _loose(blob, *TOLD)
+                ids, _, count, _ = _loose(blob, *TOLD)
                 number, first, second, pair = token_pairs(token, ptr, ids)
                 plain = np.log10((count + 1) / (train_tokens + types + 1))
                 shared_p = np.full(len(ids), unknown)
-                known = count > 0
-                shared_p[known] = predicted(guest[known] >> 1, base[known], before, unseen, guests, shared)
+                known = np.flatnonzero(count > 0)
+                said = {a["bucket"]: a["answer"] for a in parents or []}
+                for b, r in dealt(ids[known] % n):
+                    shared_p[known[r]] = _loose(said[b], np.float32)[0]
                 keep, left = np.zeros(len(first)), np.zeros(len(ids))
                 told = {a["bucket"]: a["answer"] for a in answers or []}
                 for b, r in dealt(known_buckets(first, second, ids, count)):
@@ -795,8 +815,8 @@ def score_texts(docs: DataFrame, training: Column, id_col: str = "doc_id", text:
                      pa.array(np.add.reduceat(p[pair], ptr[:-1]))],
                     names=["doc_id", "training", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    told = chunks.join(served, "chunk").join(answered, "chunk", "left")
-    return told.select("ids", "flags", "sizes", "data", "told", "answers").mapInArrow(
+    told = chunks.join(based.select("chunk", "told"), "chunk").join(parents, "chunk", "left").join(answered, "chunk", "left")
+    return told.select("ids", "flags", "sizes", "data", "told", "parents", "answers").mapInArrow(
         score, "doc_id long, training boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
