@@ -630,6 +630,8 @@ def score_texts(docs: DataFrame, training: Column, id_col: str = "doc_id", text:
         step, size = _grouped(previous[first])
         yield -1, _tight(step, size, token[first], customers, hot[first][np.cumsum(size) - size])
         yield -2, np.array([(customers == 1).sum(), (customers == 2).sum()], np.int64).tobytes()
+        shared_out = (hot[first] > 0) & (customers > 0)
+        yield -3, _tight(*np.unique(previous[first][shared_out], return_counts=True))
         at = 0
         for r, a in zip(rows, asked):
             yield r[1], _tight(np.diff(number[at : at + len(a[2])], prepend=0))
@@ -643,6 +645,16 @@ def score_texts(docs: DataFrame, training: Column, id_col: str = "doc_id", text:
     pair_discount = estimated_discount(*np.sum([np.frombuffer(r["answer"], np.int64) for r in sums] or [[0] * 2], axis=0).tolist())
     merged = paired.where(F.col("chunk") == -1).select("bucket", "answer")
 
+    def hot_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for blob in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in _loose(blob, np.int64, np.int64)], names=["id", "tables"])
+
+    def hot_sums(rows: DataFrame, *names: str) -> list[np.ndarray]:
+        """Sums of each hot context in order of its number: fewer rows than there are buckets."""
+        found = rows.groupBy("id").agg(*[F.sum(c).cast("double").alias(c) for c in names]).orderBy("id").collect()
+        return [np.array([r["id"] for r in found], np.int64), *[np.array([r[c] for r in found]) for c in names]]
+
     def ask_parents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for bucket, blob in zip(*(c.to_pylist() for c in batch.columns)):
@@ -674,7 +686,8 @@ def score_texts(docs: DataFrame, training: Column, id_col: str = "doc_id", text:
     def seat_turn(words: DataFrame, parent: Callable, turn: int, last: DataFrame | None) -> DataFrame:
         """Every bucket's pairs seated given the words: what they keep, their contexts
         leave, the tables sent to each word, and the sums of hot contexts; a written table.
-        Hot contexts have as many tables elsewhere as in the turn before (``last``)."""
+        Hot contexts have as many tables in other buckets as in the turn before (``last``), at
+        first one for each pair."""
         totals = hot_ids, hot_tables
 
         def seat_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -689,10 +702,13 @@ def score_texts(docs: DataFrame, training: Column, id_col: str = "doc_id", text:
                         p[r] = _loose(told[b], np.float32)[0]
                     room = np.repeat(np.arange(len(size)), size)
                     elsewhere = np.full(len(size), -1.0)
-                    if earlier:  # the same contexts in the same order
-                        elsewhere[hot] = totals[1][np.searchsorted(totals[0], contexts[hot])] - [h["tables"] for h in earlier]
-                    spread = np.where(hot, n, 1)
-                    keep, left, sent = pair_sweeps(room, customers, p[at].astype(np.float64), spread[room],
+                    if hot.any():  # the same contexts in the same order in every turn
+                        own = [h["tables"] for h in earlier] if turn else np.bincount(room, customers > 0, len(size))[hot]
+                        told = np.zeros(int(hot.sum()))
+                        held = np.isin(contexts[hot], totals[0])
+                        told[held] = totals[1][np.searchsorted(totals[0], contexts[hot][held])]
+                        elsewhere[hot] = np.maximum(told - own, 0)
+                    keep, left, sent = pair_sweeps(room, customers, p[at].astype(np.float64), np.ones(len(room), np.int64),
                                                    turn * n + bucket, pair_discount, elsewhere[room])
                     left, tables = np.bincount(room, left, len(size)), np.bincount(room, sent, len(size))
                     served = np.bincount(at, sent, len(ids)).astype(np.int64)
@@ -750,13 +766,11 @@ def score_texts(docs: DataFrame, training: Column, id_col: str = "doc_id", text:
                     [pa.array([chunk], pa.int64()), pa.array([_tight(ids, served << 1 | guest & 1, count, base)], pa.binary())], names=["chunk", "told"])
 
     served, guests, shared = based, train_tokens, discount
-    seated, hot_ids, hot_tables, hot_left = None, np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
+    seated = None
+    hot_ids, hot_tables = hot_sums(paired.where(F.col("chunk") == -3).select("answer").mapInArrow(hot_pairs, "id long, tables long"), "tables")
     for turn in range(TURNS):
         seated = seat_turn(served, partial(predicted, before=before, unseen=unseen, guests=guests, discount=shared), turn, seated)
-        # contexts with so large a share: fewer than there are buckets
-        found = seated.select(F.inline("hot")).groupBy("id").agg(F.sum("left").alias("left"), F.sum("tables").alias("tables")).orderBy("id").collect()
-        hot_ids = np.array([r["id"] for r in found], np.int64)
-        hot_left, hot_tables = np.array([r["left"] for r in found]), np.array([r["tables"] for r in found])
+        hot_ids, hot_left, hot_tables = hot_sums(seated.select(F.inline("hot")), "left", "tables")
         wanted = based.select("chunk", "told").mapInArrow(ask_tables, request).union(seated.select("served").mapInArrow(offer_tables, request))
         counted = cut_lineage(by_bucket(wanted, columns, count_tables))
         sums = counted.where(F.col("chunk") == -1).select("answer").collect()  # three numbers for each bucket
