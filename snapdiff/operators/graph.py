@@ -88,17 +88,29 @@ def _round_table(df: DataFrame) -> DataFrame:
     return stored(df, "components")
 
 
-def connected_components(adj: DataFrame, cut: Callable[[DataFrame], DataFrame] = _round_table) -> DataFrame:
+def _edges_once(pairs: DataFrame) -> DataFrame:
+    """Each edge once, its lesser end first; loops drop out."""
+    once = pairs.where(F.col("u") != F.col("v"))
+    return once.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+
+def connected_components(
+    adj: DataFrame, cut: Callable[[DataFrame], DataFrame] = _round_table, symmetric: bool = False
+) -> DataFrame:
     """G2 (first half): ``(node_id, component)`` with component = least node id.
-    ``cut`` stores what a round has made.
+    ``cut`` stores what a round has made. ``symmetric`` tells that ``adj`` has every edge in
+    both directions, as :func:`undirected` gives it, so that nothing is dealt out to find this.
 
     Rounds of contraction until no edge is left. In each round every vertex
     takes the closed neighbour that comes first in that round's pseudo-random
     order, edges are rewritten to these choices, and loops and copies of edges
-    drop out. The edge between a vertex and its choice is rewritten too, so
-    nothing falls apart; about half of a path's vertices and far more of a
-    dense graph's go in a round, so the rounds grow with log n. There is no
-    round limit: the loop ends when the edge set is empty.
+    drop out. In every second round a vertex with one neighbour takes that one,
+    whatever the order: a star's leaves would halve only while its centre ranks
+    after some of them. An edge is stored once, its lesser end first. The edge
+    between a vertex and its choice is rewritten too, so nothing falls apart;
+    about half of a path's vertices and far more of a dense graph's go in a
+    round, so the rounds grow with log n. There is no round limit: the loop
+    ends when the edge set is empty.
 
     A hub costs one partial aggregate row a task when choices are made. The
     rewriting joins read a stored choice table on one side and stored edges on
@@ -106,21 +118,21 @@ def connected_components(adj: DataFrame, cut: Callable[[DataFrame], DataFrame] =
     written to the shared folder, so executor loss replays one round.
     """
     pairs = adj.select(F.col("src").alias("u"), F.col("dst").alias("v"))
-    label = pairs.select("u").union(pairs.select("v")).distinct().select(
-        F.col("u").alias("node_id"), F.col("u").alias("root"))
-    pairs = pairs.where(F.col("u") != F.col("v"))
-    edges = cut(pairs.union(pairs.select("v", "u")).distinct())
+    ends = pairs.select("u") if symmetric else pairs.select("u").union(pairs.select("v"))
+    label = ends.distinct().select(F.col("u").alias("node_id"), F.col("u").alias("root"))
+    edges = cut(pairs.where(F.col("u") < F.col("v")) if symmetric else _edges_once(pairs))
     turn = 0
     while not edges.isEmpty():
         # the first round goes by id, which folds stars around small ids at once
         rank = (lambda c: F.col(c)) if turn == 0 else (lambda c: F.xxhash64(c, F.lit(turn)))
-        order = F.struct(rank("v").alias("h"), F.col("v").alias("v"))
-        own = F.struct(rank("u").alias("h"), F.col("u").alias("v"))
-        first = edges.groupBy("u").agg(F.min(order).alias("best"))
-        choice = cut(first.select(F.col("u").alias("old"), F.least("best", own)["v"].alias("new")))
+        # the hash of a long is one to one, so no two ends rank alike; plain numbers go through a hash aggregate
+        both = edges.union(edges.select("v", "u"))
+        first = both.groupBy("u").agg(F.min(rank("v")).alias("h"), F.min_by("v", rank("v")).alias("v"), F.count(F.lit(1)).alias("n"))
+        moves = (F.col("h") < rank("u")) | (F.col("n") == 1 if turn % 2 else F.lit(False))
+        choice = cut(first.select(F.col("u").alias("old"), F.when(moves, F.col("v")).otherwise(F.col("u")).alias("new")))
         ends = edges.join(choice, F.col("u") == F.col("old")).select(F.col("new").alias("u"), "v")
         ends = ends.join(choice, F.col("v") == F.col("old")).select("u", F.col("new").alias("v"))
-        edges = cut(ends.where(F.col("u") != F.col("v")).distinct())
+        edges = cut(_edges_once(ends))
         label = label.join(choice, F.col("root") == F.col("old"), "left").select(
             "node_id", F.coalesce("new", "root").alias("root"))
         turn += 1
@@ -182,12 +194,12 @@ def ntile_expr(rn: str, n: str, k: int) -> F.Column:
     ).cast("int")
 
 
-def partition_nodes(adj: DataFrame, k: int = 3, components: DataFrame | None = None) -> DataFrame:
+def partition_nodes(adj: DataFrame, k: int = 3, components: DataFrame | None = None, symmetric: bool = False) -> DataFrame:
     """K disjoint, balanced covers of the non-isolated nodes, keeping
     connected nodes together: ``ntile(k)`` over (component, node_id), sizes
     differ by at most one; fewer parts when there are fewer than k nodes.
     Returns ``(part, node_id)`` with part in 0..k-1."""
-    comps = components if components is not None else connected_components(adj)
+    comps = components if components is not None else connected_components(adj, symmetric=symmetric)
     ranked = global_row_number(comps, ["component", "node_id"])
     return ranked.select(ntile_expr("row_number", "group_size", k).alias("part"), "node_id")
 
@@ -236,12 +248,17 @@ def khop_masks(adj: DataFrame, masks: DataFrame, hops: int = 2) -> DataFrame:
     return reached
 
 
-def mask_parts(masks: DataFrame) -> DataFrame:
-    """Rows with bit columns -> a row for each part whose bit is set, the bits replaced by ``part``."""
+def mask_parts(masks: DataFrame, parts: int | None = None) -> DataFrame:
+    """Rows with bit columns -> a row for each part whose bit is set, the bits replaced by ``part``.
+    With ``parts``, their number, only so many bits of a row are looked at."""
     words = [c for c in masks.columns if re.fullmatch(r"w\d+", c)]
-    bits = f"filter(sequence(0, {MASK_BITS - 1}), i -> (shiftright({{w}}, i) & 1L) = 1L)"
-    parts = ", ".join(f"transform({bits.format(w=w)}, i -> i + {k * MASK_BITS})" for k, w in enumerate(words))
-    return masks.select(*[c for c in masks.columns if c not in words], F.explode(F.expr(f"concat({parts})")).alias("part"))
+    parts = parts or len(words) * MASK_BITS
+    bits = "filter(sequence(0, {last}), i -> (shiftright({w}, i) & 1L) = 1L)"
+    lists = ", ".join(
+        f"transform({bits.format(w=w, last=min(parts - k * MASK_BITS, MASK_BITS) - 1)}, i -> i + {k * MASK_BITS})"
+        for k, w in enumerate(words)
+    )
+    return masks.select(*[c for c in masks.columns if c not in words], F.explode(F.expr(f"concat({lists})")).alias("part"))
 
 
 def khop(adj: DataFrame, seeds: DataFrame, hops: int = 2, parts: int | None = None) -> DataFrame:
@@ -249,7 +266,7 @@ def khop(adj: DataFrame, seeds: DataFrame, hops: int = 2, parts: int | None = No
     0 .. parts - 1; returns every node within ``hops`` undirected hops of a seed
     of the same part, as :func:`khop_masks` finds them."""
     parts = parts or _count_parts(seeds)
-    return mask_parts(khop_masks(adj, part_masks(seeds, parts), hops)).select("part", "node_id")
+    return mask_parts(khop_masks(adj, part_masks(seeds, parts), hops), parts).select("part", "node_id")
 
 
 def induced_masks(adj: DataFrame, masks: DataFrame) -> DataFrame:
@@ -265,7 +282,7 @@ def induced_masks(adj: DataFrame, masks: DataFrame) -> DataFrame:
 def induced(adj: DataFrame, members: DataFrame, parts: int | None = None) -> DataFrame:
     """Per part, the edges with both ends among the part's members ``(part, node_id)``."""
     parts = parts or _count_parts(members)
-    return mask_parts(induced_masks(adj, part_masks(members, parts))).select("part", "src", "dst")
+    return mask_parts(induced_masks(adj, part_masks(members, parts)), parts).select("part", "src", "dst")
 
 
 def _count_parts(rows: DataFrame) -> int:
@@ -295,13 +312,13 @@ def build_shards(
     part plus its ``hops``-hop halo; ``shard_adj(part, src, dst)`` — the
     induced adjacency. Values are looked up by an equi-join (J2/P8)."""
     adj = cut_lineage(undirected(edges))  # read by components, k-hop and induced
-    subjects = cut_lineage(partition_nodes(adj, k))
+    subjects = cut_lineage(partition_nodes(adj, k, symmetric=True))
     members = khop_masks(adj, part_masks(subjects, k), hops)
-    shard_adj = mask_parts(induced_masks(adj, members)).select("part", "src", "dst")
+    shard_adj = mask_parts(induced_masks(adj, members), k).select("part", "src", "dst")
     # a node is the subject of one part: its values are looked up a row a node, before the parts
     own = members.join(subjects.select("node_id", F.col("part").alias("own")), "node_id", "left")
     own = looked_up(own, nodes, strict)
-    shard_nodes = mask_parts(own).select(
+    shard_nodes = mask_parts(own, k).select(
         F.col("part").cast("int").alias("part"),
         "node_id",
         "stored_value",

@@ -162,7 +162,7 @@ def q_degrees(spark, sf_dir):
 
 
 def _components(n, e):
-    return cut_lineage(G.connected_components(cut_lineage(G.undirected(e))))
+    return cut_lineage(G.connected_components(cut_lineage(G.undirected(e)), symmetric=True))
 
 
 def q_connected_components(spark, sf_dir, sparse=False):
@@ -171,7 +171,7 @@ def q_connected_components(spark, sf_dir, sparse=False):
 
 def _parts(n, e, k=DEFAULT_PARTS):
     adj = cut_lineage(G.undirected(e))
-    return cut_lineage(G.partition_nodes(adj, k))
+    return cut_lineage(G.partition_nodes(adj, k, symmetric=True))
 
 
 def q_partition_nodes(spark, sf_dir, sparse=False):
@@ -181,7 +181,7 @@ def q_partition_nodes(spark, sf_dir, sparse=False):
 def q_khop_nodes(spark, sf_dir, sparse=False):
     def members(n, e):
         adj = cut_lineage(G.undirected(e))
-        return G.khop(adj, G.partition_nodes(adj, DEFAULT_PARTS), DEFAULT_HOPS)
+        return G.khop(adj, G.partition_nodes(adj, DEFAULT_PARTS, symmetric=True), DEFAULT_HOPS, DEFAULT_PARTS)
 
     return _both(snapshots(spark, sf_dir, sparse), members)
 
@@ -189,8 +189,8 @@ def q_khop_nodes(spark, sf_dir, sparse=False):
 def q_induced_subgraph(spark, sf_dir, sparse=False):
     def sub(n, e):
         adj = cut_lineage(G.undirected(e))
-        members = cut_lineage(G.khop(adj, G.partition_nodes(adj, DEFAULT_PARTS), DEFAULT_HOPS))
-        return G.induced(adj, members)
+        members = cut_lineage(G.khop(adj, G.partition_nodes(adj, DEFAULT_PARTS, symmetric=True), DEFAULT_HOPS, DEFAULT_PARTS))
+        return G.induced(adj, members, DEFAULT_PARTS)
 
     return _both(snapshots(spark, sf_dir, sparse), sub)
 

@@ -145,3 +145,34 @@ def test_component_rounds_keep_the_planned_size_small(spark):
     size = got._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     assert size < 10**40
     assert got.where("component <> 0").count() == 0 and got.count() == 61
+
+
+def test_component_rounds_store_each_edge_once(spark):
+    """Both directions of an edge are one row of a round's table, whichever way the adjacency is given."""
+    held = []
+
+    def keep(df):
+        held.append(sorted(tuple(r) for r in df.collect()) if df.columns == ["u", "v"] else None)
+        return df
+
+    rows = [(1, 2), (2, 3), (3, 1), (4, 4), (5, 6), (6, 5)]
+    loose = {tuple(r) for r in G.connected_components(edges(spark, rows), keep).collect()}
+    adj = G.undirected(edges(spark, rows))
+    assert loose == {tuple(r) for r in G.connected_components(adj, keep, symmetric=True).collect()}
+    assert loose == {(1, 1), (2, 1), (3, 1), (4, 4), (5, 5), (6, 5)}
+    assert [h for h in held if h is not None].count([(1, 2), (1, 3), (2, 3), (5, 6)]) == 2
+
+
+def test_leaves_of_a_star_go_in_a_few_rounds(spark):
+    """Leaves whose centre ranks after some of them no longer halve round by round."""
+    rounds = []
+
+    def keep(df):
+        rounds.append(df.columns == ["u", "v"])
+        return G._round_table(df)
+
+    # the least id is a leaf of the leaves, so the first round (by id) cannot fold the star
+    star = [(1000, i) for i in range(500)] + [(i, i + 2000) for i in range(500)]
+    got = G.connected_components(edges(spark, star), keep).collect()
+    assert {r["component"] for r in got} == {0} and len(got) == 1001
+    assert sum(rounds) <= 6

@@ -61,3 +61,15 @@ def test_no_members(spark):
     edges = spark.createDataFrame([(1, 2), (2, 1)], "src long, dst long")
     none = spark.createDataFrame([], "part int, node_id long")
     assert G.khop(edges, none).count() == 0 and G.induced(edges, none).count() == 0
+
+
+def test_only_bits_of_given_parts_are_looked_at(spark):
+    """A row's bits are looked at for as many parts as there are, not for all that its columns hold."""
+    seeds = spark.createDataFrame([(0, 1), (2, 1), (1, 2), (64, 2)], "part int, node_id long")
+    want = sorted((r["part"], r["node_id"]) for r in seeds.collect())
+    for parts in (65, None):
+        got = G.mask_parts(G.part_masks(seeds, 65), parts).collect()
+        assert sorted((r["part"], r["node_id"]) for r in got) == want
+    few = G.khop(spark.createDataFrame([(1, 2)], "src long, dst long"), seeds.where("part < 3"), 1, 3)
+    plan = few._jdf.queryExecution().analyzed().toString()
+    assert "sequence(0, 2" in plan and "sequence(0, 61" not in plan
