@@ -29,7 +29,7 @@ from snapdiff.plans.change_detection import (
     sharded_matches,
 )
 from snapdiff.plans.fixtures import Snapshots, load_table, snapshots
-from snapdiff.session import cut_lineage, in_parallel, scratch_path
+from snapdiff.session import cut_lineage, in_parallel, scratch_path, stored
 from snapdiff.sources.changes import flatten_change_docs, change_docs, read_changes, write_change_docs
 from snapdiff.sources.graph_io import (
     node_count_values,
@@ -162,7 +162,7 @@ def q_degrees(spark, sf_dir):
 
 
 def _components(n, e):
-    return cut_lineage(G.connected_components(cut_lineage(G.undirected(e)), symmetric=True))
+    return cut_lineage(G.connected_components(stored(G.undirected(e), "adjacency"), symmetric=True))
 
 
 def q_connected_components(spark, sf_dir, sparse=False):
@@ -170,7 +170,7 @@ def q_connected_components(spark, sf_dir, sparse=False):
 
 
 def _parts(n, e, k=DEFAULT_PARTS):
-    adj = cut_lineage(G.undirected(e))
+    adj = stored(G.undirected(e), "adjacency")
     return cut_lineage(G.partition_nodes(adj, k, symmetric=True))
 
 
@@ -180,7 +180,7 @@ def q_partition_nodes(spark, sf_dir, sparse=False):
 
 def q_khop_nodes(spark, sf_dir, sparse=False):
     def members(n, e):
-        adj = cut_lineage(G.undirected(e))
+        adj = stored(G.undirected(e), "adjacency")
         return G.khop(adj, G.partition_nodes(adj, DEFAULT_PARTS, symmetric=True), DEFAULT_HOPS, DEFAULT_PARTS)
 
     return _both(snapshots(spark, sf_dir, sparse), members)
@@ -188,7 +188,7 @@ def q_khop_nodes(spark, sf_dir, sparse=False):
 
 def q_induced_subgraph(spark, sf_dir, sparse=False):
     def sub(n, e):
-        adj = cut_lineage(G.undirected(e))
+        adj = stored(G.undirected(e), "adjacency")
         members = cut_lineage(G.khop(adj, G.partition_nodes(adj, DEFAULT_PARTS, symmetric=True), DEFAULT_HOPS, DEFAULT_PARTS))
         return G.induced(adj, members, DEFAULT_PARTS)
 

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapdiff.session import cut_lineage
+from snapdiff.session import stored
 
 # Fixed values of the perturbation (also used verbatim by the SQL oracles).
 REMOVE_MOD, REMOVE_REM = 17, 3  # node_id % 17 = 3  -> removed
@@ -115,11 +115,11 @@ def snapshots(spark: SparkSession, sf_dir: str, sparse: bool = False, hot: bool
     """Derive both snapshots and the truth from the tables in ``sf_dir``, anew on every call.
 
     Only the original edges, which several relations build on, are stored
-    (checkpointed); the rest is read from the tables by each query."""
+    (as a table); the rest is read from the tables by each query."""
     customer = load_table(spark, sf_dir, "customer")
     orders = load_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     nodes_o = hot_nodes(customer) if hot else original_nodes(customer)
-    edges_o = cut_lineage(sparse_edges(customer) if sparse else original_edges(orders))
+    edges_o = stored(sparse_edges(customer) if sparse else original_edges(orders), "edges")
     nodes_p = perturbed_nodes(nodes_o)
     edges_p = perturbed_edges(edges_o, nodes_o, nodes_p)
     return Snapshots(nodes_o, edges_o, nodes_p, edges_p, true_changes(nodes_o))

@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -176,3 +177,48 @@ def test_leaves_of_a_star_go_in_a_few_rounds(spark):
     got = G.connected_components(edges(spark, star), keep).collect()
     assert {r["component"] for r in got} == {0} and len(got) == 1001
     assert sum(rounds) <= 6
+
+
+def test_the_last_edges_are_joined_without_rounds(spark):
+    """A path of 60 nodes takes one rewritten edge table, not one a halving."""
+    tables = []
+
+    def keep(df):
+        tables.append(df.columns == ["u", "v"])
+        return G._round_table(df)
+
+    got = G.connected_components(edges(spark, [(i, i + 1) for i in range(60)]), keep).collect()
+    assert {r["component"] for r in got} == {0} and len(got) == 61
+    assert sum(tables) <= 2
+
+
+@pytest.mark.parametrize("rest", [0, 5, 1 << 16])
+def test_components_do_not_depend_on_where_the_rounds_end(spark, rest):
+    """Null ends, loops, copies of edges and nodes with a loop only, against plain union-find."""
+    rng = random.Random(rest)
+    rows = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)]
+    rows += [(900, 900), (901, None), (None, 902), (7, 7), *rows[:20]] + [(i, i + 1) for i in range(1000, 1040)]
+    up = {x: x for r in rows for x in r if x is not None}
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for u, v in rows:
+        if u is not None and v is not None:
+            u, v = top(u), top(v)
+            up[max(u, v)] = min(u, v)
+    got = G.connected_components(edges(spark, rows), rest=rest).collect()
+    assert sorted((r["node_id"], r["component"]) for r in got) == sorted((x, top(x)) for x in up)
+    adj = G.undirected(edges(spark, rows))
+    again = G.connected_components(adj, symmetric=True, rest=rest).collect()
+    assert {r["node_id"]: r["component"] for r in again} == {x: top(x) for x in up if x not in (901, 902)}
+
+
+def test_undirected_deals_out_each_edge_once(spark):
+    """Both directions come from one row of an edge; loops stay single, nulls go."""
+    rows = [(1, 2), (2, 1), (2, 1), (3, 3), (3, 3), (4, None), (None, 5), (6, 2)]
+    adj = G.undirected(edges(spark, rows))
+    assert sorted(tuple(r) for r in adj.collect()) == [(1, 2), (2, 1), (2, 6), (3, 3), (6, 2)]
+    assert adj._jdf.queryExecution().optimizedPlan().toString().count("Union") == 0
