@@ -212,7 +212,7 @@ def global_row_number(df: DataFrame, order_cols: list[str], group_cols: list[str
         .withColumn("_pid", F.shiftright("_mid", _POS_BITS))
         .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)))
     )
-    keyed = cut_lineage(keyed)  # pin positions: a replay must see the same ids
+    keyed = stored(keyed, "ranked")  # pin positions: a replay must see the same ids
     counts = keyed.groupBy("_pid", *group_cols).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first")
     )
@@ -245,7 +245,8 @@ def partition_nodes(adj: DataFrame, k: int = 3, components: DataFrame | None = N
     connected nodes together: ``ntile(k)`` over (component, node_id), sizes
     differ by at most one; fewer parts when there are fewer than k nodes.
     Returns ``(part, node_id)`` with part in 0..k-1."""
-    comps = components if components is not None else connected_components(adj, symmetric=symmetric)
+    # stored, as dealing out by range reads it twice, the first time for the bounds
+    comps = components if components is not None else stored(connected_components(adj, symmetric=symmetric), "components")
     ranked = global_row_number(comps, ["component", "node_id"])
     return ranked.select(ntile_expr("row_number", "group_size", k).alias("part"), "node_id")
 
@@ -275,7 +276,7 @@ def khop_masks(adj: DataFrame, masks: DataFrame, hops: int = 2) -> DataFrame:
     before the shuffle."""
     words = [c for c in masks.columns if c != "node_id"]
     some = lambda cols: functools.reduce(lambda x, y: x | y, [F.col(c) != 0 for c in cols])
-    reached = cut_lineage(masks.select("node_id", *words))
+    reached = stored(masks.select("node_id", *words), "reached")
     fresh = reached
     for _ in range(hops):
         step = (
@@ -288,7 +289,7 @@ def khop_masks(adj: DataFrame, masks: DataFrame, hops: int = 2) -> DataFrame:
         both = reached.select("node_id", *words, *[zero.alias(f"n{w}") for w in words]).unionByName(
             step.select("node_id", *[zero.alias(w) for w in words], *[f"n{w}" for w in words]))
         both = both.groupBy("node_id").agg(*[F.bit_or(c).alias(c) for w in words for c in (w, f"n{w}")])
-        both = cut_lineage(both)
+        both = stored(both, "reached")
         reached = both.select("node_id", *[F.col(w).bitwiseOR(F.col(f"n{w}")).alias(w) for w in words])
         fresh = both.select("node_id", *[F.col(f"n{w}").bitwiseAND(F.bitwise_not(F.col(w))).alias(w) for w in words])
     return reached
