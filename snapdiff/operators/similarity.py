@@ -14,6 +14,9 @@ It is computed level by level as sparse relations, never as an N x M grid:
   obtained by joining per-node value counts ``(a, value, n)`` on value;
 * the non-equal positive pairs R_k are joined with both adjacencies
   (``adj_o(a, x) ⋈ R(x, y) ⋈ adj_p(b, y)``) and summed per (a, b);
+* up to level 3 (level 2 with contexts) both steps are row products
+  (:mod:`snapdiff.operators.products`), which store and shuffle no pairs; the
+  joins here make the levels beyond;
 * only nodes without a value-equal partner can score below one, so the top
   level is computed only for them (``restrict``): everything else is a
   perfect match found by a semi-join on value.
@@ -30,9 +33,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapdiff.functions.exprs import ORIGINAL, PERTURBED, score_key, score_shown
+from snapdiff.operators import products
 from snapdiff.operators.graph import active_nodes, global_row_number, undirected
 from snapdiff.operators.skew import hot_keys, salted_join
-from snapdiff.session import cut_lineage, in_parallel
+from snapdiff.session import cut_lineage, in_parallel, stored
 
 # Fixed defaults of the similarity step.
 DEFAULT_DECAY = 0.63
@@ -72,9 +76,9 @@ def whole_graph(nodes: DataFrame, edges: DataFrame, drop_isolated: bool = True,
     distinct rows. Candidates are the nodes with a neighbour, or with
     ``drop_isolated=False`` all nodes."""
     rows = edges.where(F.col("src").isNotNull() & F.col("dst").isNotNull()).select("src", "dst").distinct()
-    adj = cut_lineage(with_degrees(cut_lineage(rows if directed else undirected(edges)), []))
+    adj = stored(with_degrees(stored(rows if directed else undirected(edges), "adjacency"), []), "adjacency")
     single = nodes.groupBy("node_id").agg(F.min("stored_value").alias("stored_value"))
-    vals = cut_lineage(active_nodes(single, adj) if drop_isolated else single)
+    vals = stored(active_nodes(single, adj) if drop_isolated else single, "values")
     return SideGraph(vals=vals, adj=adj)
 
 
@@ -321,6 +325,110 @@ def _inner_levels(
     return prev
 
 
+# ---------------------------------------------------------------- row products
+
+
+@dataclass
+class Profiled:
+    """A snapshot's values as numbers ``(*ctx, node_id, v)`` and its nodes' profiles ``(*ctx, node, d, vs, ns)``."""
+
+    graph: SideGraph
+    values: DataFrame
+    rows: DataFrame
+
+
+def _fits_products(go: SideGraph, gp: SideGraph, depth: int, best: bool) -> bool:
+    """Whether the top level is made by row products: all pairs of level 2, without contexts."""
+    kinds = [[g.vals.schema[c].dataType.simpleString() for c in g.ctx] for g in (go, gp)]
+    known = kinds[0] == kinds[1] and go.ctx == gp.ctx and set(kinds[0]) <= {"int", "bigint", "string"}
+    return known and depth == 2 and not best and not go.ctx
+
+
+def _profiled(go: SideGraph, gp: SideGraph) -> tuple[DataFrame, Profiled, Profiled]:
+    """The shared values' numbers, and both sides by them."""
+    numbers = products.value_numbers(go.vals, gp.vals)
+
+    def one(g: SideGraph) -> Profiled:
+        values = products.numbered(g.vals, numbers, g.ctx)
+        return Profiled(g, values, products.profiles(g.adj, values, g.ctx))
+
+    po, pp = in_parallel(lambda: one(go), lambda: one(gp))
+    return numbers, po, pp
+
+
+def _with_own(rows: DataFrame, side: Profiled, name: str = "own", node: str = "node", known: bool = True) -> DataFrame:
+    """``rows`` with the number of their node's value; with ``known`` only nodes that have a row."""
+    own = side.values.select(F.col("node_id").alias(node), F.col("v").alias(name))
+    met = rows.join(own, node, "inner" if known else "left")
+    return met.withColumn(name, F.coalesce(name, F.lit(products.UNKNOWN)))
+
+
+def _next_profiles(side: Profiled, adj: DataFrame) -> DataFrame:
+    """``(node, d, own, nd, nown, vs, ns)``: for each row of ``adj`` the profile of its far end, if that has a row."""
+    far = _with_own(side.rows, side, "nown").select(F.col("node").alias("dst"), F.col("d").alias("nd"), "nown", "vs", "ns")
+    rows = adj.select(F.col("src").alias("node"), "dst", F.col("sdeg").alias("d"))
+    return _with_own(rows, side, known=False).join(far, "dst").drop("dst")
+
+
+def _next_lists(side: Profiled) -> DataFrame:
+    """``(node, d, own, ys)``: neighbour lists in rows of about PROFILE_CHUNK ids."""
+    chunk = F.pmod(F.hash("dst"), F.ceil(F.col("sdeg") / products.PROFILE_CHUNK)).alias("chunk")
+    lists = side.graph.adj.select("src", "dst", "sdeg", chunk).groupBy(F.col("src").alias("node"), "chunk").agg(
+        F.max("sdeg").alias("d"), F.collect_list("dst").alias("ys"))
+    return stored(_with_own(lists.drop("chunk"), side, known=False), "neighbours")
+
+
+def _pair_scores(go: SideGraph, gp: SideGraph, decay: float, depth: int) -> DataFrame:
+    """``(a, b, score)`` of all pairs with a positive score and unequal values, at level 2 or 3."""
+    _, po, pp = _profiled(go, gp)
+    if depth == 2:
+        return products.scores(_with_own(po.rows, po), _with_own(pp.rows, pp), [], decay)
+    adj = go.adj.join(po.values.select(F.col("node_id").alias("src")), "src", "left_semi")
+    return products.scores(
+        _with_own(po.rows, po), _with_own(pp.rows, pp, known=False), [], decay, _next_profiles(po, adj), _next_lists(pp))
+
+
+def _best_pairs(
+    numbers: DataFrame, fixed: Profiled, free: Profiled, need: DataFrame, side: str, decay: float, depth: int, pairs_per_task: int | None
+) -> DataFrame:
+    """Pairs ``(*ctx, a, *ctx, b, score)`` among which is the best partner of every needed
+    node ``(*ctx, node_id)`` of the fixed side (``side``); at most a few a node and block of the free side.
+
+    Values of more than ``pairs_per_task`` pairs go by lists, as in :func:`_level`."""
+    ctx = fixed.graph.ctx
+    names, tags = (("a", "b"), ("_o", "_p")) if side == "o" else (("b", "a"), ("_p", "_o"))
+    mine = fixed.rows.join(need.select(*ctx, F.col("node_id").alias("node")), [*ctx, "node"], "left_semi")
+    theirs = free.rows
+    if ctx:
+        theirs = stored(products.alike_once(theirs, ctx), "profiles")
+    held = lambda rows: rows.select(F.explode("vs").alias("v"))
+    hot = hot_keys(held(mine), held(theirs), ["v"], pairs_per_task).join(numbers, "v")
+    top = hot.orderBy(F.col("_pairs").desc(), "stored_value").select("v", "stored_value").limit(HOT_VALUES).collect()
+    listed, hot_numbers = [r["stored_value"] for r in top], [r["v"] for r in top]
+    if depth == 2:
+        found = products.scores(mine, theirs, ctx, decay, names=names, best=True, hot=hot_numbers)
+    else:
+        adj = fixed.graph.adj.join(need.select(F.col("node_id").alias("src")), "src", "left_semi")
+        found = products.scores(
+            mine, _with_own(theirs, free, known=False), ctx, decay,
+            _next_profiles(fixed, adj), _next_lists(free), names=names, best=True, hot=hot_numbers)
+    ko, kp = [f"{c}_o" for c in ctx], [f"{c}_p" for c in ctx]
+    for c in ctx:
+        for name, tag in zip(names, tags):
+            found = found.withColumnRenamed(f"{c}_{name}", f"{c}{tag}")
+    if listed:
+        def counts(rows: DataFrame, node: str, tag: str) -> DataFrame:
+            flat = rows.select(*ctx, F.col("node").alias(node), F.col("d").alias(f"deg_{node}"), F.inline(F.arrays_zip(F.col("vs").alias("v"), F.col("ns").alias("n"))))
+            flat = flat.join(F.broadcast(numbers.where(F.col("v").isin(hot_numbers))), "v")
+            return _rename_ctx(flat.select(*ctx, node, "stored_value", F.col("n").cast("long").alias(f"n{tag}"), f"deg_{node}"), ctx, tag)
+
+        vc = {tag: cut_lineage(counts(rows, node, tag)) for rows, node, tag in zip((mine, theirs), names, tags)}
+        found = _hot_value_candidates(cut_lineage(found), vc["_o"], vc["_p"], listed, ko, kp, side)
+    s = F.col("e").cast("double") + F.col("q")
+    score = F.lit(float(decay)) * (s / (F.col("deg_a").cast("double") * F.col("deg_b")))
+    return found.select(*ko, "a", *kp, "b", score.alias("score"))
+
+
 def value_equal_pairs(go: SideGraph, gp: SideGraph) -> DataFrame:
     """Every (a, b) with equal values. Quadratic within a value group by
     definition (only the all-pairs report needs it); hot values are salted."""
@@ -339,6 +447,8 @@ def simrank_pairs(go: SideGraph, gp: SideGraph, decay: float = DEFAULT_DECAY, de
     equal = value_equal_pairs(go, gp)
     if depth == 1:
         return equal
+    if _fits_products(go, gp, depth, best=False):
+        return equal.unionByName(_pair_scores(go, gp, decay, depth))
     prev = _inner_levels(go, gp, decay, depth)
     return equal.unionByName(_level(go, gp, prev, decay))
 
@@ -448,8 +558,14 @@ def match_from_graphs(
 
     ko, kp = _pair_keys(go, gp)
     if depth >= 2:
+        by_rows = _profiled(go, gp) if _fits_products(go, gp, depth, best=True) else None
+
         # unmatched nodes have no value-equal partner: no equal pair to drop
         def top(side: str) -> DataFrame:
+            if by_rows is not None:
+                numbers, *sides = by_rows
+                fixed, free = sides if side == "o" else reversed(sides)
+                return _best_pairs(numbers, fixed, free, un_o if side == "o" else un_p, side, decay, depth, pairs_per_task)
             need = {"need_o": un_o} if side == "o" else {"need_p": un_p}
             own = {"restrict_o": un_o} if side == "o" else {"restrict_p": un_p}
             prev = _inner_levels(go, gp, decay, depth, **need)
