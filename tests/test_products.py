@@ -46,3 +46,22 @@ def test_pairs_of_level_2_are_not_shuffled(spark, small_pieces):
     plan = pair_plan(spark, 2)
     assert "hashpartitioning(a#" not in plan and "MapInArrow" in plan
     all_pairs_match(spark, 2)
+
+
+def best_pairs_match(spark, depth, seed):
+    (adj_o, val_o), (adj_p, val_p), go, gp = two_graphs(seed, spark)
+    ref = brute(adj_o, val_o, adj_p, val_p, 0.63, depth)
+    got = {(r["side"], r["node_id"]): (r["match_id"], r["score"]) for r in S.match_from_graphs(go, gp, depth=depth).collect()}
+    for side, nodes, others, key in (("original", adj_o, adj_p, lambda a, b: (a, b)), ("perturbed", adj_p, adj_o, lambda a, b: (b, a))):
+        for n in nodes:
+            scored = [(round(ref[key(n, m)], 12), -m) for m in others if ref[key(n, m)] > 0]
+            assert got[(side, n)] == ((-max(scored)[1], max(scored)[0]) if scored else (None, 0.0))
+
+
+@pytest.mark.parametrize("seed", [41, 42])
+def test_best_of_level_3_makes_no_table_of_pairs(spark, small_pieces, monkeypatch, seed):
+    def never(*args, **kwargs):
+        raise AssertionError("a table of pairs")
+
+    monkeypatch.setattr(S, "_level", never)
+    best_pairs_match(spark, 3, seed)
