@@ -48,6 +48,12 @@ def test_pairs_of_level_2_are_not_shuffled(spark, small_pieces):
     all_pairs_match(spark, 2)
 
 
+def test_pairs_of_level_3_are_not_shuffled(spark, small_pieces):
+    plan = pair_plan(spark, 3)
+    assert "hashpartitioning(a#" not in plan and "MapInArrow" in plan
+    all_pairs_match(spark, 3)
+
+
 def best_pairs_match(spark, depth, seed):
     (adj_o, val_o), (adj_p, val_p), go, gp = two_graphs(seed, spark)
     ref = brute(adj_o, val_o, adj_p, val_p, 0.63, depth)
@@ -65,3 +71,14 @@ def test_best_of_level_3_makes_no_table_of_pairs(spark, small_pieces, monkeypatc
 
     monkeypatch.setattr(S, "_level", never)
     best_pairs_match(spark, 3, seed)
+
+
+def test_nodes_without_a_row(spark, small_pieces):
+    """A neighbour without a node row counts in the degree and scores nothing."""
+    adj_o, adj_p = {1: [2, 9], 2: [1], 9: [1]}, {11: [12, 19], 12: [11], 19: [11]}
+    go = graph(spark, adj_o, {1: "a", 2: "b"})
+    gp = graph(spark, adj_p, {11: "x", 12: "b"})
+    for depth, want in ((2, 0.63 / 4), (3, 0.63 / 4)):
+        got = {(r["a"], r["b"]): r["score"] for r in S.simrank_pairs(go, gp, depth=depth).collect()}
+        assert got[(2, 12)] == 1.0 and got[(1, 11)] == pytest.approx(want, abs=1e-12)
+        assert {k[0] for k in got} <= {1, 2} and {k[1] for k in got} <= {11, 12}
