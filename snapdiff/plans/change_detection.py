@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame
 
 from snapdiff.operators.classify import classify
 from snapdiff.operators.evaluate import confusion_scores, score_report, traceability_scores
-from snapdiff.operators.graph import build_shards
-from snapdiff.operators.similarity import DEFAULT_DECAY, DEFAULT_DEPTH, best_match, sharded_match
-from snapdiff.session import cut_lineage, in_parallel
+from snapdiff.operators.graph import shard_masks
+from snapdiff.operators.similarity import DEFAULT_DECAY, DEFAULT_DEPTH, best_match, mask_match
+from snapdiff.session import cut_lineage, in_parallel, stored
 from snapdiff.sources.graph_io import node_count_values
 
 # Fixed defaults of the sharded flow.
@@ -50,11 +50,12 @@ def sharded_matches(
     decay: float = DEFAULT_DECAY,
     depth: int = DEFAULT_DEPTH,
 ) -> DataFrame:
-    (so, ao), (sp, ap) = in_parallel(
-        lambda: tuple(cut_lineage(x) for x in build_shards(nodes_o, edges_o, parts, hops)),
-        lambda: tuple(cut_lineage(x) for x in build_shards(nodes_p, edges_p, parts, hops)),
-    )
-    return sharded_match(so, ao, sp, ap, decay, depth)
+    def masks(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+        node_masks, adj_masks = shard_masks(nodes, edges, parts, hops)
+        return stored(node_masks, "shard-nodes"), stored(adj_masks, "shard-adjacency")
+
+    masks_o, masks_p = in_parallel(lambda: masks(nodes_o, edges_o), lambda: masks(nodes_p, edges_p))
+    return mask_match(masks_o, masks_p, parts, decay, depth)
 
 
 def detect_changes_sharded(

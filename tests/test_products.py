@@ -82,3 +82,44 @@ def test_nodes_without_a_row(spark, small_pieces):
         got = {(r["a"], r["b"]): r["score"] for r in S.simrank_pairs(go, gp, depth=depth).collect()}
         assert got[(2, 12)] == 1.0 and got[(1, 11)] == pytest.approx(want, abs=1e-12)
         assert {k[0] for k in got} <= {1, 2} and {k[1] for k in got} <= {11, 12}
+
+
+def shards(spark, seed, parts=3):
+    """Two graphs of many small components and a hub: shards that differ, with a node row that comes twice."""
+    rnd = random.Random(seed)
+    ids = list(range(1, 61))
+    edges = {tuple(sorted(rnd.sample(ids, 2))) for _ in range(45)} | {(1, i) for i in range(2, 14)}
+    cut = {e for e in edges if rnd.random() < 0.9}
+    values = {i: f"v{rnd.randrange(25)}" for i in ids}
+    changed = {i: (v + "#" if i % 5 == 0 else v) for i, v in values.items()}
+    frame = lambda v: spark.createDataFrame([*v.items(), (7, "twice")], "node_id long, stored_value string")
+    link = lambda e: spark.createDataFrame(sorted(e), "src long, dst long")
+    return (frame(values), link(edges)), (frame(changed), link(cut))
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("budget", [None, 8])
+def test_best_of_shards_by_row_products(spark, small_pieces, monkeypatch, budget):
+    """The same as by joins, from rows a part and from bits, with hot values and without; no table of pairs, no row a part and edge."""
+    from snapdiff.operators import skew
+    from snapdiff.plans import change_detection as C
+
+    if budget:
+        monkeypatch.setattr(skew, "PAIRS_PER_TASK", budget)
+        monkeypatch.setattr(S, "HOT_VALUES", 3)
+    o, p = shards(spark, 5)
+    so, sp = G.build_shards(*o), G.build_shards(*p)
+    with monkeypatch.context() as m:
+        m.setattr(S, "_fits_products", lambda *args, **kwargs: False)
+        want = rows_of(S.sharded_match(*so, *sp))
+
+    def never(*args, **kwargs):
+        raise AssertionError("a table of pairs, or of edges by part")
+
+    monkeypatch.setattr(S, "_level", never)
+    assert rows_of(S.sharded_match(*so, *sp)) == want
+    monkeypatch.setattr(S, "with_degrees", never)
+    assert rows_of(C.sharded_matches(*o, *p)) == want
