@@ -69,7 +69,7 @@ def detect_changes_sharded(
     depth: int = DEFAULT_DEPTH,
     method: str = "two_seeds",
 ) -> DataFrame:
-    matches = cut_lineage(sharded_matches(nodes_o, edges_o, nodes_p, edges_p, parts, hops, decay, depth))
+    matches = stored(sharded_matches(nodes_o, edges_o, nodes_p, edges_p, parts, hops, decay, depth), "matches")
     return classify(matches, method)
 
 

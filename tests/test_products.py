@@ -123,3 +123,20 @@ def test_best_of_shards_by_row_products(spark, small_pieces, monkeypatch, budget
     assert rows_of(S.sharded_match(*so, *sp)) == want
     monkeypatch.setattr(S, "with_degrees", never)
     assert rows_of(C.sharded_matches(*o, *p)) == want
+
+
+def test_sharded_changes_keep_no_checkpoint_of_matches(spark, small_pieces, monkeypatch):
+    """The same changes as from the matches by joins; what grows with all nodes is a written table."""
+    from snapdiff.operators.classify import classify
+    from snapdiff.plans import change_detection as C
+
+    o, p = shards(spark, 6)
+    with monkeypatch.context() as m:
+        m.setattr(S, "_fits_products", lambda *args, **kwargs: False)
+        want = rows_of(classify(S.sharded_match(*G.build_shards(*o), *G.build_shards(*p)), "two_seeds"))
+
+    def never(df):
+        raise AssertionError("a checkpoint")
+
+    monkeypatch.setattr(C, "cut_lineage", never)
+    assert rows_of(C.detect_changes_sharded(*o, *p)) == want and want
